@@ -150,3 +150,85 @@ def q_compare_collections(spark, sf_dir):
     counts = lab.groupBy(F.col("source").alias("run"), "filter_step", "filter_reason").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"))
     return A.compare_runs(counts)
+
+
+# --- M1-M11: MinHash near-duplicates ------------------------------------------------------------------------------
+
+from textsift.operators import dedup as D  # noqa: E402
+from textsift.operators import minhash as M  # noqa: E402
+
+
+def _docs_src(spark, sf_dir):
+    return table(spark, sf_dir, "documents", cpu_heavy=True).select("doc_id", "text", "source")
+
+
+def _mh_sql(select: str, cfg=M.PER_COLLECTION, scope: tuple[str, ...] = (),
+            src: str = "(SELECT doc_id AS id, text, source FROM documents)") -> str:
+    return f"WITH RECURSIVE src AS {src},\n{O.minhash_ctes('src', cfg, scope)}\n{select}"
+
+
+@register("minhash_signatures", _mh_sql("SELECT id AS doc_id, CAST(k AS BIGINT) AS k, mh AS minhash FROM sig"))
+def q_minhash_signatures(spark, sf_dir):
+    s = M.signatures(_docs_src(spark, sf_dir), M.PER_COLLECTION)
+    return s.select(F.col("id").alias("doc_id"), F.posexplode("sig")).select(
+        "doc_id", (F.col("pos") + 1).cast("bigint").alias("k"), F.col("col").alias("minhash"))
+
+
+@register("minhash_buckets", _mh_sql("SELECT id AS doc_id, CAST(band AS BIGINT) AS band, dup_of FROM edges"))
+def q_minhash_buckets(spark, sf_dir):
+    cfg = M.PER_COLLECTION
+    e = M.bucket_edges(M.band_keys(M.signatures(_docs_src(spark, sf_dir), cfg), cfg))
+    return e.select(F.col("id").alias("doc_id"), F.col("band").cast("bigint").alias("band"), "dup_of")
+
+
+@register("minhash_clusters", _mh_sql("""SELECT id AS doc_id, cluster_id AS minhash_cluster_id,
+  size AS minhash_cluster_size FROM clusters"""))
+def q_minhash_clusters(spark, sf_dir):
+    return D.minhash_clusters(_docs_src(spark, sf_dir), M.PER_COLLECTION)
+
+
+@register("minhash_dedup", _mh_sql(f"""SELECT id AS doc_id, size AS minhash_cluster_size,
+  {O.upsampling_sql('size')} AS upsampling_weight FROM clusters WHERE cluster_id = id"""))
+def q_minhash_dedup(spark, sf_dir):
+    kept, _ = D.dedup(_docs_src(spark, sf_dir), M.PER_COLLECTION)
+    return kept.select("doc_id", "minhash_cluster_size", "upsampling_weight")
+
+
+@register("minhash_dedup_per_collection", _mh_sql(f"""SELECT source, id AS doc_id, size AS minhash_cluster_size,
+  {O.upsampling_sql('size')} AS upsampling_weight FROM clusters WHERE cluster_id = id""", scope=("source",)))
+def q_minhash_dedup_per_collection(spark, sf_dir):
+    """Every collection deduplicated on its own, all in one plan (collection is part of the band key)."""
+    kept, _ = D.dedup(_docs_src(spark, sf_dir), M.PER_COLLECTION, scope=("source",))
+    return kept.select("source", "doc_id", "minhash_cluster_size", "upsampling_weight")
+
+
+# Tiers for the fixture: labelled quality 1 -> high, 0 -> low, unlabelled -> medium; benchmark passages form a
+# second collection in the high tier. Ids are made unique across the two tables (documents even, benchmark odd).
+TIER_SRC_SQL = """(
+  SELECT d.doc_id * 2 AS id, d.text, d.source AS collection,
+         CASE l.quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' ELSE 'medium' END AS tier
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+  UNION ALL
+  SELECT item_id * 2 + 1 AS id, text, 'benchmark' AS collection, 'high' AS tier FROM benchmark)"""
+
+
+def tiered_corpus(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+    labels = table(spark, sf_dir, "labels")
+    tier = (F.when(F.col("quality") == 1, F.lit("high")).when(F.col("quality") == 0, F.lit("low"))
+            .otherwise(F.lit("medium")))
+    d = docs.join(labels.select("doc_id", "quality"), "doc_id", "left").select(
+        (F.col("doc_id") * 2).alias("id"), "text", F.col("source").alias("collection"), tier.alias("tier"))
+    b = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 2 + 1).alias("id"), "text",
+                                                  F.lit("benchmark").alias("collection"), F.lit("high").alias("tier"))
+    return d.unionByName(b)
+
+
+@register("minhash_dedup_per_tier", _mh_sql(f"""SELECT tier, id, collection, size AS minhash_cluster_size,
+  {O.upsampling_sql('size')} AS upsampling_weight
+FROM clusters JOIN (SELECT id AS cid, collection FROM src) s ON clusters.id = s.cid
+WHERE cluster_id = id""", cfg=M.PER_TIER, scope=("tier",), src=TIER_SRC_SQL))
+def q_minhash_dedup_per_tier(spark, sf_dir):
+    """All collections of a tier deduplicated together (40 x 15 bands, 4-grams), tiers independent."""
+    kept, _ = D.dedup(tiered_corpus(spark, sf_dir), M.PER_TIER, id_col="id", scope=("tier",))
+    return kept.select("tier", "id", "collection", "minhash_cluster_size", "upsampling_weight")

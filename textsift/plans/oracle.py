@@ -197,3 +197,53 @@ lab AS (
   SELECT id, text, split_part(sr, '|', 1) AS filter_step, split_part(sr, '|', 2) AS filter_reason
   FROM lab0)
 {select}"""
+
+
+# --- MinHash (independent relational form) ---------------------------------------------------------------------------
+
+def md5_31(expr: str) -> str:
+    return f"(CAST(('0x' || substr(md5({expr}), 1, 8)) AS BIGINT) % 2147483647)"
+
+
+def minhash_ctes(src: str, cfg, scope: tuple[str, ...] = ()) -> str:
+    """CTEs over ``src(id, text, scope...)``: sig(id, k, mh), bands, edges(scope..., id, band, dup_of),
+    comp(id, component) via a recursive CTE, clusters(scope..., id, cluster_id, size)."""
+    n, r, k = cfg.n_grams, cfg.rows, cfg.bands * cfg.rows
+    sc = "".join(f"{c}, " for c in scope)
+    sc_eq = "".join(f"b1.{c} = b2.{c} AND " for c in scope)
+    return f"""
+mh_w AS (SELECT {sc}id, regexp_extract_all(lower(text), {lit(NORM)}) AS w FROM {src}),
+mh_sh AS (
+  SELECT DISTINCT id, array_to_string(w, ' ') AS s FROM mh_w WHERE len(w) < {n}
+  UNION
+  SELECT DISTINCT id, array_to_string(list_slice(w, r.i, r.i + {n - 1}), ' ') AS s
+  FROM mh_w, range(1, len(w) - {n} + 2) r(i) WHERE len(w) >= {n}),
+mh_h AS (SELECT id, {md5_31('s')} AS h FROM mh_sh),
+mh_p AS (
+  SELECT t.k, (CAST(('0x' || substr(md5('a' || t.k), 1, 8)) AS BIGINT) % 2147483646) + 1 AS a,
+         {md5_31("'b' || t.k")} AS b
+  FROM range(1, {k + 1}) t(k)),
+sig AS (SELECT id, k, min((a * h + b) % 2147483647) AS mh FROM mh_h, mh_p GROUP BY id, k),
+bands AS (
+  SELECT {"".join(f"w.{c}, " for c in scope)}s.id, (s.k - 1) // {r} AS band,
+         string_agg(CAST(s.mh AS VARCHAR), ',' ORDER BY s.k) AS key
+  FROM sig s JOIN mh_w w ON s.id = w.id GROUP BY ALL),
+bmin AS (SELECT {sc}band, key, min(id) AS dup_of FROM bands GROUP BY ALL HAVING count(*) > 1),
+edges AS (
+  SELECT {"".join(f"b1.{c}, " for c in scope)}b1.id, b1.band, b2.dup_of
+  FROM bands b1 JOIN bmin b2 ON {sc_eq}b1.band = b2.band AND b1.key = b2.key
+  WHERE b1.id <> b2.dup_of),
+und AS (SELECT id AS a, dup_of AS b FROM edges UNION SELECT dup_of AS a, id AS b FROM edges),
+reach(a, b) AS (SELECT a, b FROM und UNION SELECT r.a, u.b FROM reach r JOIN und u ON r.b = u.a),
+comp AS (SELECT a AS id, least(a, min(b)) AS component FROM reach GROUP BY a),
+csize AS (SELECT component, count(*) AS size FROM comp GROUP BY component),
+clusters AS (
+  SELECT {"".join(f"s.{c}, " for c in scope)}s.id, coalesce(c.component, s.id) AS cluster_id,
+         CAST(coalesce(z.size, 1) AS BIGINT) AS size
+  FROM {src} s LEFT JOIN comp c ON s.id = c.id LEFT JOIN csize z ON c.component = z.component)"""
+
+
+def upsampling_sql(size: str) -> str:
+    from textsift.operators.dedup import UPSAMPLING_STEPS
+    whens = " ".join(f"WHEN {size} >= {lo} THEN {w}" for lo, w in reversed(UPSAMPLING_STEPS))
+    return f"CAST(CASE {whens} ELSE 1 END AS INTEGER)"
