@@ -232,3 +232,145 @@ def q_minhash_dedup_per_tier(spark, sf_dir):
     """All collections of a tier deduplicated together (40 x 15 bands, 4-grams), tiers independent."""
     kept, _ = D.dedup(tiered_corpus(spark, sf_dir), M.PER_TIER, id_col="id", scope=("tier",))
     return kept.select("tier", "id", "collection", "minhash_cluster_size", "upsampling_weight")
+
+
+# --- S1/F1-F14: crawl index rows derived from pages ------------------------------------------------------------------
+
+from textsift.functions import urls as U  # noqa: E402
+from textsift.operators import extract as X  # noqa: E402
+from textsift.operators import index as IX  # noqa: E402
+from textsift.sources import readers as S  # noqa: E402
+
+INDEX_ROWS_SQL = """
+idx0 AS (
+  SELECT page_id, url,
+         lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) AS host,
+         regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1) AS path
+  FROM pages),
+idx1 AS (
+  SELECT page_id, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path AS surt,
+         CAST(20080101000000 + page_id AS VARCHAR) AS timestamp, url,
+         CASE WHEN page_id % 7 = 0 THEN '404' ELSE '200' END AS status,
+         CASE WHEN page_id % 11 = 0 THEN 'application/pdf' ELSE 'text/html' END AS mime
+  FROM idx0),
+idx AS (SELECT * FROM idx1 UNION ALL SELECT * FROM idx1 WHERE page_id % 5 = 0)"""
+
+
+def _pages(spark, sf_dir, heavy=False):
+    return table(spark, sf_dir, "pages", cpu_heavy=heavy)
+
+
+@register("index_rows", f"WITH {INDEX_ROWS_SQL}\nSELECT surt, timestamp, url, status, mime FROM idx")
+def q_index_rows(spark, sf_dir):
+    """Index text lines (rendered from pages) parsed back: split on the first two spaces + JSON."""
+    return S.parse_index_lines(S.index_lines_from_pages(_pages(spark, sf_dir))).select(
+        "surt", "timestamp", "url", "status", "mime")
+
+
+@register("index_selection", f"""WITH {INDEX_ROWS_SQL}
+SELECT DISTINCT surt, timestamp, url, status, mime FROM idx
+WHERE status = '200' AND mime = 'text/html'
+  AND (url LIKE '%.es/%' OR url LIKE '%/es/%' OR url LIKE '%/es-%' OR url LIKE '%/es\\_%' ESCAPE '\\'
+       OR url LIKE '%/es' OR surt LIKE 'es,%')""")
+def q_index_selection(spark, sf_dir):
+    """F1 + F2 + F5 with country token ``es``."""
+    rows = S.index_rows_from_pages(_pages(spark, sf_dir)).drop("page_id")
+    return IX.select_index(rows, tok="es")
+
+
+@register("foreign_variant_filter", """
+SELECT page_id, url FROM pages
+WHERE url IS NOT NULL AND NOT (contains(url, '/pt-es') OR contains(url, '/pt_es/') OR contains(url, '.com/es')
+                               OR contains(url, '.es') OR contains(url, '/es/'))""")
+def q_foreign_variant_filter(spark, sf_dir):
+    """F4 with variant token ``es`` (substring semantics)."""
+    p = _pages(spark, sf_dir)
+    return p.where(U.not_foreign_variant(F.col("url"), variant="es")).select("page_id", "url")
+
+
+@register("fetch_list", f"""WITH {INDEX_ROWS_SQL},
+d AS (SELECT DISTINCT surt, timestamp, url FROM idx WHERE status = '200' AND mime = 'text/html')
+SELECT surt, timestamp, url, 'https://replay.example/wayback/' || timestamp || 'id_/' || url AS replay_url,
+       CAST((row_number() OVER (ORDER BY surt, timestamp, url) - 1) // {IX.FETCH_BATCH} AS BIGINT) AS batch
+FROM d""")
+def q_fetch_list(spark, sf_dir):
+    """F9 + F10 + F11: fetch list of the selected index with replay URLs and consecutive 990-row batches."""
+    rows = S.index_rows_from_pages(_pages(spark, sf_dir))
+    ok = IX.dedup_index(rows.where(U.http_ok(F.col("status"), F.col("mime"))).select("surt", "timestamp", "url"),
+                        keys=("surt", "timestamp", "url"))
+    return IX.fetch_list(ok)
+
+
+@register("fetch_outcomes", """
+WITH g AS (
+  SELECT coalesce(event_type, 'total') AS status, count(*) AS n, sum(value) * 8 AS bits
+  FROM events GROUP BY ROLLUP (event_type)),
+span AS (SELECT epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM events)
+SELECT status, CAST(n AS BIGINT) AS n, round(bits, 6) AS bits,
+       round(CASE WHEN us > 0 THEN bits / (us / 1e6) END, 6) AS bits_per_s
+FROM g, span""")
+def q_fetch_outcomes(spark, sf_dir):
+    """F12 over the events table used as a fetch log (status = event_type, bytes = value)."""
+    return IX.fetch_stats(IX.fetch_log_from_events(table(spark, sf_dir, "events")))
+
+
+@register("fetch_ok", "SELECT event_id AS fetch_id, event_type AS status, value AS bytes FROM events "
+                      "WHERE event_type = 'view' AND value > 0")
+def q_fetch_ok(spark, sf_dir):
+    """fetches that yield a page."""
+    return IX.fetch_ok(IX.fetch_log_from_events(table(spark, sf_dir, "events"))).select("fetch_id", "status", "bytes")
+
+
+DOMAIN_SQL = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
+
+
+@register("domain_counts", f"""
+SELECT {DOMAIN_SQL} AS domain, CAST(count(*) AS BIGINT) AS n FROM pages
+WHERE {DOMAIN_SQL} <> '' GROUP BY 1""")
+def q_domain_counts(spark, sf_dir):
+    """F13 + A6: pages per network location."""
+    return A.domain_counts(_pages(spark, sf_dir))
+
+
+@register("top_domains", f"""
+SELECT domain, n FROM (
+  SELECT {DOMAIN_SQL} AS domain, CAST(count(*) AS BIGINT) AS n FROM pages WHERE {DOMAIN_SQL} <> '' GROUP BY 1)
+ORDER BY n DESC, domain ASC LIMIT 50""")
+def q_top_domains(spark, sf_dir):
+    """The 50 largest domains (a top-k report: the limit is the feature)."""
+    return A.top_k(A.domain_counts(_pages(spark, sf_dir)), "domain", k=50)
+
+
+def _extract_sql() -> str:
+    x = "html"
+    for rx in X.DROP_BLOCKS:
+        x = f"regexp_replace({x}, {O.lit(rx)}, ' ', 'g')"
+    x = (f"(CASE WHEN regexp_extract({x}, {O.lit(X.ARTICLE_RE)}, 1) <> '' "
+         f"THEN regexp_extract({x}, {O.lit(X.ARTICLE_RE)}, 1) ELSE {x} END)")
+    x = f"regexp_replace({x}, {O.lit(X.BLOCK_TAGS)}, chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+
+    def dec(e):
+        for ent, ch in X.ENTITIES:
+            e = f"replace({e}, {O.lit(ent)}, {O.lit(ch)})"
+        return e
+
+    def tidy(e):
+        e = f"regexp_replace({e}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
+        e = f"regexp_replace({e}, '(?m)^ +| +$', '', 'g')"
+        e = f"regexp_replace({e}, '\\n{{2,}}', chr(10), 'g')"
+        return f"regexp_replace({e}, '\\A\\n+|\\n+\\z', '', 'g')"
+
+    title = tidy(dec(f"regexp_extract(html, {O.lit(X.TITLE_RE)}, 1)"))
+    return f"""
+WITH e AS (SELECT page_id, url, {tidy(dec(x))} AS text, {title} AS title FROM pages)
+SELECT page_id, url, CASE WHEN title <> '' THEN title END AS title, text FROM e WHERE text <> ''"""
+
+
+@register("extract_pages", _extract_sql())
+def q_extract_pages(spark, sf_dir):
+    """X1 + F6: title and main text of every page; pages with no text left are dropped."""
+    p = _pages(spark, sf_dir, heavy=True)
+    out = p.select("page_id", "url", X.extract_title(F.col("html")).alias("title"),
+                   X.extract_text(F.col("html")).alias("text"))
+    return out.where(F.col("text").isNotNull() & (F.col("text") != ""))
