@@ -102,13 +102,18 @@ def compare_runs(counts: DataFrame, run_col: str = "run") -> DataFrame:
 
 def top_n_with_others(counts: DataFrame, key_col: str, n_col: str = "n", top: int = 40,
                       others: str = "Others") -> DataFrame:
-    """Top ``top`` keys by count (ties by key) and one ``Others`` row with the rest (0 when none)."""
-    w = Window.orderBy(F.col(n_col).desc(), F.col(key_col).asc())
-    ranked = counts.withColumn("_rk", F.row_number().over(w))
-    head = ranked.where(F.col("_rk") <= top).select(F.col(key_col).alias("key"), F.col(n_col).cast("bigint").alias("n"),
-                                                   F.col("_rk").cast("bigint").alias("rank"))
-    rest = ranked.agg(F.coalesce(F.sum(F.when(F.col("_rk") > top, F.col(n_col))), F.lit(0)).cast("bigint").alias("n"))
-    return head.unionByName(rest.select(F.lit(others).alias("key"), "n", F.lit(top + 1).cast("bigint").alias("rank")))
+    """The ``top`` keys by count (ties by key) and one ``Others`` row with the rest (0 when none).
+
+    The head is a distributed top-k (``TakeOrderedAndProject``), at most ``top`` rows, so broadcasting it back is
+    bounded; every other key is folded into ``Others`` by one aggregation.
+    """
+    head = (counts.orderBy(F.col(n_col).desc(), F.col(key_col).asc()).limit(top)
+            .select(F.col(key_col).alias("_k"), F.lit(True).alias("_top")))
+    marked = counts.join(F.broadcast(head), counts[key_col] == head["_k"], "left")
+    key = F.when(F.col("_top"), F.col(key_col)).otherwise(F.lit(others))
+    zero = counts.sparkSession.range(1).select(F.lit(others).alias("key"), F.lit(0).cast("bigint").alias("n"))
+    rows = marked.select(key.alias("key"), F.col(n_col).cast("bigint").alias("n")).unionByName(zero)
+    return rows.groupBy("key").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def top_k(counts: DataFrame, key_col: str, n_col: str = "n", k: int = 50) -> DataFrame:
@@ -124,11 +129,17 @@ def rounded_score_counts(hist: DataFrame, score_col: str = "language_score", n_c
 
 
 def format_count(x: Column) -> Column:
-    """>= 1e6 -> 'x.xM', >= 1e3 -> 'x.xK', else the integer (half-up on decimal)."""
-    d = x.cast("decimal(38,6)")
-    return (F.when(x >= 1_000_000, F.concat(F.format_number(F.round(d / 1_000_000, 1), 1), F.lit("M")))
-            .when(x >= 1_000, F.concat(F.format_number(F.round(d / 1_000, 1), 1), F.lit("K")))
-            .otherwise(x.cast("bigint").cast("string")))
+    """>= 1e6 -> 'x.xM', >= 1e3 -> 'x.xK', else the integer; one decimal rounded half-up, in exact integer
+    arithmetic (the Python original rounds the binary float, so 1250 gave '1.2K'; here it is '1.3K')."""
+    v = x.cast("bigint")
+
+    def tenths(unit: int) -> Column:
+        t = F.floor((v + F.lit(unit // 20)) / F.lit(unit // 10)).cast("bigint")
+        return F.concat(F.floor(t / 10).cast("bigint").cast("string"), F.lit("."), (t % 10).cast("string"))
+
+    return (F.when(v >= 1_000_000, F.concat(tenths(1_000_000), F.lit("M")))
+            .when(v >= 1_000, F.concat(tenths(1_000), F.lit("K")))
+            .otherwise(v.cast("string")))
 
 
 def pretty_reason(x: Column) -> Column:

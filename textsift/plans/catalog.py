@@ -374,3 +374,244 @@ def q_extract_pages(spark, sf_dir):
     out = p.select("page_id", "url", X.extract_title(F.col("html")).alias("title"),
                    X.extract_text(F.col("html")).alias("text"))
     return out.where(F.col("text").isNotNull() & (F.col("text") != ""))
+
+
+# --- L1/L2 + A1/A2/A11/A13: language identification and its statistics ---------------------------------------------
+
+from textsift.operators import language as LG  # noqa: E402
+
+LANG_BUCKETS = 1 << 16
+TARGET_LANGS = ("en",)
+
+
+def language_scores(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+    model = LG.train(docs, text_col="text", label_col="lang", buckets=LANG_BUCKETS)
+    return LG.detect(model, docs, id_col="doc_id", text_col="text")
+
+
+def _lang_sql(select: str) -> str:
+    b = LANG_BUCKETS
+    norm = O.lit(O.NORM)
+    return f"""
+WITH tw AS (SELECT lang, unnest(regexp_extract_all(lower(text), {norm})) AS word FROM documents),
+cnt AS (SELECT lang, {O.md5_31('word')} % {b} AS bucket, count(*) AS c FROM tw GROUP BY ALL),
+tot AS (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang),
+dper AS (SELECT lang, count(*) AS d FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+lp AS (SELECT dper.lang, ln(dper.d / (SELECT sum(d) FROM dper)) AS log_prior, ln(coalesce(tot.n, 0) + {b}) AS log_denom
+       FROM dper LEFT JOIN tot ON dper.lang = tot.lang),
+dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {norm})) AS word FROM documents),
+db AS (SELECT doc_id, {O.md5_31('word')} % {b} AS bucket FROM dw),
+nw AS (SELECT doc_id, len(regexp_extract_all(lower(text), {norm})) AS nw FROM documents),
+m AS (SELECT db.doc_id, cnt.lang, sum(ln(cnt.c + 1)) AS s FROM db JOIN cnt ON db.bucket = cnt.bucket GROUP BY ALL),
+sc AS (SELECT nw.doc_id, nw.nw, lp.lang,
+              (lp.log_prior + coalesce(m.s, 0) - nw.nw * lp.log_denom) / greatest(nw.nw, 1) AS z
+       FROM nw CROSS JOIN lp LEFT JOIN m ON m.doc_id = nw.doc_id AND m.lang = lp.lang),
+sm AS (SELECT doc_id, nw, lang, exp(z - max(z) OVER (PARTITION BY doc_id)) AS e FROM sc),
+fin AS (SELECT doc_id, nw, lang, e / sum(e) OVER (PARTITION BY doc_id) AS p,
+               row_number() OVER (PARTITION BY doc_id ORDER BY e DESC, lang ASC) AS rk FROM sm),
+scored AS (SELECT doc_id, CASE WHEN nw > 0 THEN lang END AS language,
+                  CASE WHEN nw > 0 THEN round(p, 6) ELSE 0.0 END AS language_score FROM fin WHERE rk = 1),
+removed AS (SELECT * FROM scored WHERE NOT coalesce(language IN ({", ".join(O.lit(x) for x in TARGET_LANGS)})
+                                                    AND language_score >= {O.dbl(0.799)}, FALSE))
+{select}"""
+
+
+@register("language_id", _lang_sql("SELECT doc_id, language, language_score FROM scored"))
+def q_language_id(spark, sf_dir):
+    """L1: naive-Bayes language label and score for every document (trained on the labelled documents)."""
+    return language_scores(spark, sf_dir)
+
+
+@register("language_removed", _lang_sql("SELECT doc_id, language, language_score FROM removed"))
+def q_language_removed(spark, sf_dir):
+    """L2: documents removed by the language filter (target en, threshold 0.799), with label and score."""
+    _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
+    return removed
+
+
+@register("removed_per_language", _lang_sql(
+    "SELECT language, CAST(count(*) AS BIGINT) AS n FROM removed GROUP BY language"))
+def q_removed_per_language(spark, sf_dir):
+    """A2."""
+    _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
+    return A.removed_per_language(removed)
+
+
+@register("target_language_score_hist", _lang_sql(
+    "SELECT language_score, CAST(count(*) AS BIGINT) AS n FROM removed WHERE language = 'en' GROUP BY 1"))
+def q_target_language_score_hist(spark, sf_dir):
+    """A1: removed documents labelled with the target language, per exact score."""
+    _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
+    return A.language_score_hist(removed, "en")
+
+
+@register("rounded_score_hist", _lang_sql("""
+SELECT CAST(round(CAST(language_score AS DECIMAL(20, 10)), 3) AS DOUBLE) AS score, CAST(count(*) AS BIGINT) AS n
+FROM removed WHERE language = 'en' GROUP BY 1"""))
+def q_rounded_score_hist(spark, sf_dir):
+    """The target-language removed-score histogram (A1) merged after rounding to 3 decimals."""
+    _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
+    return A.rounded_score_counts(A.language_score_hist(removed, "en"))
+
+
+@register("top_removed_languages", _lang_sql("""
+, c AS (SELECT language AS key, count(*) AS n FROM removed GROUP BY 1),
+r AS (SELECT key, n, row_number() OVER (ORDER BY n DESC, key ASC) AS rk FROM c)
+SELECT key, CAST(n AS BIGINT) AS n FROM r WHERE rk <= 40
+UNION ALL
+SELECT 'Others' AS key, CAST(coalesce(sum(n) FILTER (WHERE rk > 40), 0) AS BIGINT) AS n FROM r"""))
+def q_top_removed_languages(spark, sf_dir):
+    """Top-40 removed languages and an ``Others`` row (always present)."""
+    _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
+    return A.top_n_with_others(A.removed_per_language(removed), "language", top=40)
+
+
+# --- C1-C6: scoring and tiers -----------------------------------------------------------------------------------------
+
+from textsift.operators import scoring as SC  # noqa: E402
+
+
+@register("quality_scores", None)
+def q_quality_scores(spark, sf_dir):
+    """C1 + C2 + C3: pyspark.ml quality model trained on ``labels``, applied to every document (rows-only check)."""
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    model = SC.train_quality_model(labelled)
+    return SC.score_documents(model, docs.select("doc_id", "source", "text")).select(
+        "doc_id", "source", "quality_label", "edu_score", "depth_score", "binary_edu_score")
+
+
+@register("quality_argmax", """
+SELECT vec_id, CASE
+  WHEN embedding[1] >= embedding[2] AND embedding[1] >= embedding[3] THEN 'low'
+  WHEN embedding[2] >= embedding[3] THEN 'medium' ELSE 'high' END AS quality_label
+FROM embeddings""")
+def q_quality_argmax(spark, sf_dir):
+    """label = argmax of three logits (first three embedding components as logits; first wins ties)."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", SC.argmax_label(F.slice("embedding", 1, 3)).alias("quality_label"))
+
+
+TIER_SQL = "CASE l.quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' ELSE 'medium' END"
+
+
+def labelled_tiers(spark, sf_dir) -> DataFrame:
+    """Documents with a tier from ``labels`` (1 -> high, 0 -> low, unlabelled -> medium) and a token count."""
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+    labels = table(spark, sf_dir, "labels")
+    tier = (F.when(F.col("quality") == 1, F.lit("high")).when(F.col("quality") == 0, F.lit("low"))
+            .otherwise(F.lit("medium")))
+    return docs.join(labels.select("doc_id", "quality"), "doc_id", "left").select(
+        "doc_id", F.col("source").alias("collection"), tier.alias("quality_label"),
+        N.token_count(F.col("text")).alias("token_count"))
+
+
+TIERED_SQL = f"""
+WITH t AS (
+  SELECT d.doc_id, d.source AS collection, {TIER_SQL} AS quality_label,
+         CAST(len(regexp_extract_all(d.text, {O.lit(N.TOKEN_RE)})) AS BIGINT) AS token_count
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+@register("tier_counts", TIERED_SQL + """
+SELECT collection, quality_label, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY ALL""")
+def q_tier_counts(spark, sf_dir):
+    """Documents per (collection, tier)."""
+    return SC.tier_counts(labelled_tiers(spark, sf_dir))
+
+
+@register("skip_labelled", """
+SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def q_skip_labelled(spark, sf_dir):
+    """Incremental run: documents already in the done manifest (``labels``) are skipped (left anti join)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return S.skip_done(docs, table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+# --- A4/A5/A7/A8/A14/A15/A16: corpus statistics over the tiers ---------------------------------------------------------
+
+@register("corpus_totals", TIERED_SQL + """,
+g AS (SELECT quality_label AS tier, count(*) AS total_entries, sum(token_count) AS total_token_count FROM t GROUP BY 1)
+SELECT tier, CAST(total_entries AS BIGINT) AS total_entries, CAST(total_token_count AS BIGINT) AS total_token_count
+FROM g
+UNION ALL
+SELECT 'total', CAST(sum(total_entries) AS BIGINT), CAST(sum(total_token_count) AS BIGINT)
+FROM g WHERE tier IN ('medium', 'high')""")
+def q_corpus_totals(spark, sf_dir):
+    """A4 + A8: entries and tokens per tier, plus the total over medium and high only."""
+    per = A.corpus_totals(labelled_tiers(spark, sf_dir))
+    return A.with_grand_total(per, [], ["total_entries", "total_token_count"]).select(
+        "tier", "total_entries", "total_token_count")
+
+
+def _dist_sql(select: str) -> str:
+    cols = ", ".join(f"sum(CASE WHEN token_count >= {lo} THEN 1 ELSE 0 END) AS b_{name}"
+                     for name, lo in A.TOKEN_BUCKETS)
+    unions = " UNION ALL ".join(f"SELECT tier, '{name}' AS bucket, CAST(b_{name} AS BIGINT) AS n FROM w"
+                                for name, _ in A.TOKEN_BUCKETS)
+    return TIERED_SQL + f""",
+w AS (SELECT quality_label AS tier, {cols} FROM t GROUP BY 1),
+dist AS ({unions}),
+dist_all AS (SELECT * FROM dist UNION ALL
+             SELECT 'total', bucket, CAST(sum(n) AS BIGINT) FROM dist WHERE tier IN ('medium', 'high') GROUP BY bucket)
+{select}"""
+
+
+@register("token_distribution", _dist_sql("SELECT tier, bucket, n FROM dist_all"))
+def q_token_distribution(spark, sf_dir):
+    """A5 + A8: cumulative counts of documents with >= 4k ... 256k tokens per tier, plus the medium+high total."""
+    per = A.token_distribution(labelled_tiers(spark, sf_dir))
+    return A.with_grand_total(per, ["bucket"], ["n"]).select("tier", "bucket", "n")
+
+
+@register("token_ranges", _dist_sql("SELECT tier, bucket, n FROM dist_all WHERE n > 100 AND bucket <> '4k'"))
+def q_token_ranges(spark, sf_dir):
+    """Ranges with more than 100 documents, ``4k`` excluded."""
+    per = A.token_distribution(labelled_tiers(spark, sf_dir))
+    return A.keep_ranges(A.with_grand_total(per, ["bucket"], ["n"])).select("tier", "bucket", "n")
+
+
+@register("tokens_per_collection", TIERED_SQL + """
+SELECT quality_label AS tier, split_part(collection || '_n0_gpu0_00001.jsonl.gz', '_', 1) AS collection,
+       CAST(sum(token_count) AS BIGINT) AS tokens
+FROM t GROUP BY ALL""")
+def q_tokens_per_collection(spark, sf_dir):
+    """A7 + F14: tokens per collection, the collection read from the tier file name prefix."""
+    t = labelled_tiers(spark, sf_dir).withColumn(
+        "file_name", F.concat(F.col("collection"), F.lit("_n0_gpu0_00001.jsonl.gz")))
+    t = t.withColumn("collection", S.collection_of(F.col("file_name")))
+    return A.tokens_per_collection(t, tier_col="quality_label")
+
+
+def _fmt_sql(x: str) -> str:
+    return (f"CASE WHEN {x} >= 1000000 THEN CAST(({x} + 50000) // 1000000 AS VARCHAR) || '.' || "
+            f"CAST((({x} + 50000) // 100000) % 10 AS VARCHAR) || 'M' "
+            f"WHEN {x} >= 1000 THEN CAST(({x} + 50) // 1000 AS VARCHAR) || '.' || "
+            f"CAST((({x} + 50) // 100) % 10 AS VARCHAR) || 'K' ELSE CAST({x} AS VARCHAR) END")
+
+
+@register("formatted_counts", TIERED_SQL + f"""
+SELECT doc_id, token_count, {_fmt_sql('token_count')} AS tokens_fmt,
+       {_fmt_sql('token_count * 1000')} AS tokens_x1000_fmt FROM t""")
+def q_formatted_counts(spark, sf_dir):
+    """K/M count labels (half-up), applied to every document's token count and to 1000 times it."""
+    t = labelled_tiers(spark, sf_dir)
+    return t.select("doc_id", "token_count", A.format_count(F.col("token_count")).alias("tokens_fmt"),
+                    A.format_count(F.col("token_count") * 1000).alias("tokens_x1000_fmt"))
+
+
+@register("pretty_reasons", _wf_sql("""
+, c AS (SELECT DISTINCT filter_step, filter_reason FROM lab WHERE filter_step IS NOT NULL)
+SELECT filter_step, filter_reason,
+       array_to_string(list_transform(string_split(replace(filter_step, '_', ' '), ' '),
+                       lambda x: upper(substr(x, 1, 1)) || lower(substr(x, 2))), ' ') AS step_label,
+       upper(substr(replace(filter_reason, '_', ' '), 1, 1)) || lower(substr(replace(filter_reason, '_', ' '), 2))
+         AS reason_label
+FROM c"""))
+def q_pretty_reasons(spark, sf_dir):
+    """Chart labels for the removal reasons and steps."""
+    c = labelled_documents(spark, sf_dir).where(F.col("filter_step").isNotNull()).select(
+        "filter_step", "filter_reason").distinct()
+    return c.select("filter_step", "filter_reason", A.pretty_step(F.col("filter_step")).alias("step_label"),
+                    A.pretty_reason(F.col("filter_reason")).alias("reason_label"))
