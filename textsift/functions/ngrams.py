@@ -64,9 +64,12 @@ def metrics(text: str | None) -> tuple:
             + (sum(map(len, words)),))
 
 
+_NULLS = (None,) * len(NGRAM_SCHEMA.fields)
+
+
 @F.pandas_udf(NGRAM_SCHEMA)
-def _ngram_udf(texts: pd.Series) -> pd.DataFrame:
-    rows = [metrics(t) for t in texts]
+def _ngram_udf(texts: pd.Series, need: pd.Series) -> pd.DataFrame:
+    rows = [metrics(t) if n else _NULLS for t, n in zip(texts, need)]
     return pd.DataFrame(rows, columns=NGRAM_SCHEMA.fieldNames(), dtype="Int64")
 
 
@@ -75,6 +78,10 @@ def _ngram_udf(texts: pd.Series) -> pd.DataFrame:
 _ngram_udf_pinned = _ngram_udf.asNondeterministic()
 
 
-def ngram_metrics(text: Column) -> Column:
-    """Struct of ``top_{2,3,4}gram_chars``, ``dup_{5..10}gram_chars`` and ``word_chars`` per document."""
-    return _ngram_udf_pinned(text)
+def ngram_metrics(text: Column, need: Column | None = None) -> Column:
+    """Struct of ``top_{2,3,4}gram_chars``, ``dup_{5..10}gram_chars`` and ``word_chars`` per document.
+
+    ``need`` (boolean) skips documents whose outcome is already decided by an earlier, cheaper rule: their
+    metrics are null and never read (the waterfall's ``CASE`` stops before them).
+    """
+    return _ngram_udf_pinned(text, F.coalesce(need, F.lit(False)) if need is not None else F.lit(True))

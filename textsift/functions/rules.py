@@ -48,11 +48,13 @@ class Ctx:
     ng: Column | None = None  # struct from ngrams.ngram_metrics when engine="arrow"
 
 
-def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow") -> tuple[DataFrame, Ctx]:
+def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow",
+         ngram_need=None) -> tuple[DataFrame, Ctx]:
     """Materialise the token arrays once; later projections reference them by name.
 
     ``ngram_engine="arrow"`` also computes the n-gram repetition metrics with the Arrow UDF (one pass, all sizes);
-    ``"catalyst"`` leaves them to the higher-order-function forms below.
+    ``"catalyst"`` leaves them to the higher-order-function forms below. ``ngram_need(ctx) -> Column`` limits the
+    UDF to the documents that reach the n-gram rules.
     """
     out = (df.withColumn(W, T.words(text_col))
              .withColumn(NW, T.norm_words(text_col))
@@ -61,7 +63,9 @@ def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow") ->
     ng = None
     if ngram_engine == "arrow":
         from textsift.functions.ngrams import ngram_metrics
-        out = out.withColumn(NG, ngram_metrics(F.col(text_col)))
+        pre = Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB))
+        need = ngram_need(pre) if ngram_need is not None else None
+        out = out.withColumn(NG, ngram_metrics(F.col(text_col), need))
         ng = F.col(NG)
     elif ngram_engine != "catalyst":
         raise ValueError(f"unknown ngram_engine {ngram_engine!r}")

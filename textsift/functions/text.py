@@ -84,6 +84,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def materialize(df, keep: list[str], **cols: Column):
+    """Compute ``cols`` once per row behind a ``Generate`` (``inline`` of a one-element array).
+
+    The optimizer pushes a filter on a projected expression below the projection (and below a repartition),
+    copying the expression into the filter. Predicates on generated columns stay above the ``Generate``, so each
+    expensive column is evaluated once, after any ``spread`` repartition.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num/den as double, 0 when den is 0 (decision 7.6.8)."""
     return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))

@@ -27,6 +27,8 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&
             ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
             ("&amp;", "&")]
 ARTICLE_RE = r"(?is)<article[^>]*>(.*)</article\s*>"
+# Whole document -> the article's content when there is an article; unchanged otherwise (one expression).
+ARTICLE_ONLY_RE = r"(?is)\A.*?<article[^>]*>(.*)</article\s*>.*\z"
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 
 
@@ -44,21 +46,19 @@ def tidy(x: Column) -> Column:
 
 
 def extract_title(html: Column) -> Column:
-    t = tidy(decode_entities(F.regexp_extract(html, TITLE_RE, 1)))
-    return F.when(t != "", t)
+    """Page title; '' when there is none."""
+    return tidy(decode_entities(F.regexp_extract(html, TITLE_RE, 1)))
 
 
 def extract_text(html: Column) -> Column:
-    """Main text of a page; null when nothing is left (never raises)."""
+    """Main text of a page; '' when nothing is left, null for a null page (never raises)."""
     x = html
     for rx in DROP_BLOCKS:
         x = F.regexp_replace(x, rx, " ")
-    art = F.regexp_extract(x, ARTICLE_RE, 1)
-    x = F.when(art != "", art).otherwise(x)
+    x = F.regexp_replace(x, ARTICLE_ONLY_RE, "$1")
     x = F.regexp_replace(x, BLOCK_TAGS, "\n")
     x = F.regexp_replace(x, r"<[^>]*>", "")
-    t = tidy(decode_entities(x))
-    return F.when(t != "", t)
+    return tidy(decode_entities(x))
 
 
 def to_document(text: Column, title: Column, url: Column, date: Column, file_path: Column) -> Column:

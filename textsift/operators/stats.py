@@ -91,8 +91,12 @@ def compare_runs(counts: DataFrame, run_col: str = "run") -> DataFrame:
     """A10: every (run, step, reason) combination present in any run, absent ones filled with 0.
 
     Runs are few (a handful of inputs); the key set is small. Built as distinct keys joined with distinct runs
-    on the step, then a left join of the counts.
+    on the step, then a left join of the counts. ``counts`` is read three times, so it is checkpointed first (a
+    small aggregate; reliable checkpoint in ``spark.checkpoint.dir``) instead of recomputing its input.
     """
+    from textsift.session import checkpoint_dir
+    checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint()
     keys = counts.select("filter_step", "filter_reason").distinct()
     runs = counts.select(run_col, "filter_step").distinct()
     grid = runs.join(keys, "filter_step")

@@ -162,20 +162,32 @@ def label(df: DataFrame, params: FilterParams = FilterParams(), *, text_col: str
     cleaned = N.post_scrape(F.col(text_col), params.remove_dup_lines, params.remove_short_lines,
                             params.min_line_words)
     out = df.withColumn(text_col, cleaned)
-    bound, ctx = R.bind(out, text_col, ngram_engine)
     chain = [(STEP_POST_SCRAPE, "empty_after_post_scrape", lambda c: N.is_empty_text(c.text))]
     if language_col is not None:
         langs = list(params.languages)
         chain.append((STEP_LANGUAGE, "language", lambda c: ~F.col(language_col).isin(langs)
                       | F.col(score_col).isNull() | (F.col(score_col) < params.language_threshold)))
-    chain += (rules if rules is not None else default_rules(params)) + list(extra_rules)
+    body = (rules if rules is not None else default_rules(params)) + list(extra_rules)
+    chain += body
+
+    # The n-gram UDF only runs for documents that pass every rule before the first n-gram rule.
+    first_ng = next((i for i, (_s, r, _p) in enumerate(chain) if "gram" in r), None)
+
+    def need(c: R.Ctx) -> Column:
+        cond = F.lit(True)
+        for _s, _r, pred in chain[:first_ng]:
+            cond = cond & ~F.coalesce(pred(c), F.lit(False))
+        return cond
+
+    bound, ctx = R.bind(out, text_col, ngram_engine, need if first_ng is not None else None)
     step = reason = None
     for st, rs, pred in chain:
         cond = pred(ctx)
         step = F.when(cond, F.lit(st)) if step is None else step.when(cond, F.lit(st))
         reason = F.when(cond, F.lit(rs)) if reason is None else reason.when(cond, F.lit(rs))
-    labelled = bound.withColumn("_fr", F.struct(step.alias("filter_step"), reason.alias("filter_reason")))
-    return R.drop_bound(labelled.select("*", "_fr.*").drop("_fr"))
+    keep = [c for c in out.columns]
+    labelled = R.T.materialize(bound, keep, filter_step=step, filter_reason=reason)
+    return labelled
 
 
 def split(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textsift.functions import normalize as N
 from textsift.functions import rules as R
+from textsift.functions import text as T
 from textsift.operators import stats as A
 from textsift.operators import waterfall as WF
 from textsift.plans import oracle as O
@@ -345,8 +346,7 @@ def _extract_sql() -> str:
     x = "html"
     for rx in X.DROP_BLOCKS:
         x = f"regexp_replace({x}, {O.lit(rx)}, ' ', 'g')"
-    x = (f"(CASE WHEN regexp_extract({x}, {O.lit(X.ARTICLE_RE)}, 1) <> '' "
-         f"THEN regexp_extract({x}, {O.lit(X.ARTICLE_RE)}, 1) ELSE {x} END)")
+    x = f"regexp_replace({x}, {O.lit(X.ARTICLE_ONLY_RE)}, '\\1')"
     x = f"regexp_replace({x}, {O.lit(X.BLOCK_TAGS)}, chr(10), 'g')"
     x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
 
@@ -371,9 +371,10 @@ SELECT page_id, url, CASE WHEN title <> '' THEN title END AS title, text FROM e
 def q_extract_pages(spark, sf_dir):
     """X1 + F6: title and main text of every page; pages with no text left are dropped."""
     p = _pages(spark, sf_dir, heavy=True)
-    out = p.select("page_id", "url", X.extract_title(F.col("html")).alias("title"),
-                   X.extract_text(F.col("html")).alias("text"))
-    return out.where(F.col("text").isNotNull() & (F.col("text") != ""))
+    out = T.materialize(p, ["page_id", "url"], title=X.extract_title(F.col("html")),
+                        text=X.extract_text(F.col("html")))
+    return (out.where(F.col("text").isNotNull() & (F.col("text") != ""))
+            .withColumn("title", F.when(F.col("title") != "", F.col("title"))))
 
 
 # --- L1/L2 + A1/A2/A11/A13: language identification and its statistics ---------------------------------------------
