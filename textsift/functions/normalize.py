@@ -14,7 +14,7 @@ EMAIL_MASK = "email@example.com"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # An IPv4 address not glued to other digits or dots; the neighbours are captured and written back.
 IPV4_RE = r"(^|[^0-9.])(" + _OCTET + r"\." + _OCTET + r"\." + _OCTET + r"\." + _OCTET + r")([^0-9.]|$)"
-IP_MASK = "0.0.0.0"
+IP_MASK = "<ip>"  # must not itself match the address pattern (the second pass relies on it)
 TOKEN_RE = r"[\p{L}\p{N}]+|[^ \t\n\r\f\x0B\p{L}\p{N}]"
 # ---------------------------------------------------------------------------------------------------------------
 
