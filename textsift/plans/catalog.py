@@ -616,3 +616,22 @@ def q_pretty_reasons(spark, sf_dir):
         "filter_step", "filter_reason").distinct()
     return c.select("filter_step", "filter_reason", A.pretty_step(F.col("filter_step")).alias("step_label"),
                     A.pretty_reason(F.col("filter_reason")).alias("reason_label"))
+
+
+# --- end to end -------------------------------------------------------------------------------------------------------
+
+from textsift.plans import corpus as CP  # noqa: E402
+
+
+@register("curated_corpus", None)
+def q_curated_corpus(spark, sf_dir):
+    """Whole flow on the fixture: waterfall (target en) -> formatters -> per-collection MinHash dedup -> quality
+    model -> tiers. Rows-only check (the model is learned)."""
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    model = SC.train_quality_model(labelled)
+    base = docs.select("doc_id", "text", F.col("source").alias("collection"), F.col("lang").alias("language"),
+                       F.lit(1.0).alias("language_score"))
+    tiered, _ = CP.curate(base, model, params=PARAMS)
+    return tiered.select("doc_id", "collection", "quality_label", "token_count", "minhash_cluster_size",
+                         "upsampling_weight", "edu_score", "binary_edu_score")
