@@ -114,3 +114,16 @@ def test_ngram_helpers():
     assert G.top_chars(w, 2) == 3 * 3       # "a b" x3, length 3
     assert G.dup_chars(w, 2) == 4            # positions 2..5 covered -> 4 words of length 1
     assert G.dup_chars(["x"] * 3, 5) == 0 and G.top_chars(["x"], 2) == 0
+
+
+def test_lexicon_rule_and_counts(spark):
+    from textsift.functions.rules import lexicon_counts
+    df = spark.createDataFrame([(1, "a foo b foo c"), (2, "clean text here")], "doc_id long, text string")
+    rule_p = WF.FilterParams(remove_short_lines=False, lexicon=("foo",), max_lexicon_hits=1)
+    lab = WF.label(df, rule_p, language_col=None, rules=WF.doc_quality_rules(
+        WF.FilterParams(min_doc_words=None, min_avg_word_length=None, max_symbol_word_ratio=None,
+                        max_non_alpha_words_ratio=None, min_stop_words=None, lexicon=("foo",),
+                        max_lexicon_hits=1)))
+    assert {r["doc_id"]: r["filter_reason"] for r in lab.collect()} == {1: "lexicon_hits", 2: None}
+    lx = spark.createDataFrame([("foo",), ("here",)], "word string")
+    assert {r["doc_id"]: r["hits"] for r in lexicon_counts(df, lx).collect()} == {1: 2, 2: 1}

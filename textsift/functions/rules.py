@@ -180,3 +180,26 @@ def doc_quality_metrics(c: Ctx, stop_words: list[str] = STOP_WORDS_PT) -> dict[s
         "ellipsis_lines": F.size(F.filter(c.nb, lambda x: x.rlike(ELLIPSIS_LINE_RE))).cast("bigint"),
         "stop_words": F.size(F.array_intersect(F.array_distinct(c.nw), stops)).cast("bigint"),
     }
+
+
+# --- lexicons (G8/G9) ----------------------------------------------------------------------------------------------
+
+def lexicon_hits(c: Ctx, lexicon: list[str], distinct: bool = False) -> Column:
+    """Occurrences (or distinct entries) of a small user lexicon among the normalised words (array literal)."""
+    lx = F.array(*[F.lit(x) for x in lexicon]) if lexicon else F.array().cast("array<string>")
+    if distinct:
+        return F.size(F.array_intersect(F.array_distinct(c.nw), lx)).cast("bigint")
+    return F.size(F.filter(c.nw, lambda x: F.array_contains(lx, x))).cast("bigint")
+
+
+def lexicon_counts(df: DataFrame, lexicon: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                   word_col: str = "word", max_broadcast_rows: int = 5_000_000) -> DataFrame:
+    """(id, hits) for a large lexicon table: explode normalised words, semi-join with the lexicon (broadcast only
+    under a checked row count, else a shuffle join), count per document. Documents without hits get 0."""
+    lx = lexicon.select(F.col(word_col).alias("w")).distinct()
+    n = lx.count()
+    lx = F.broadcast(lx) if n <= max_broadcast_rows else lx
+    words = df.select(F.col(id_col).alias("_id"), F.explode(T.norm_words(F.col(text_col))).alias("w"))
+    hits = words.join(lx, "w", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("hits"))
+    return (df.select(F.col(id_col).alias("_id")).join(hits, "_id", "left")
+            .select(F.col("_id").alias(id_col), F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))

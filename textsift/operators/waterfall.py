@@ -60,6 +60,9 @@ class FilterParams:
     max_non_alpha_words_ratio: float | None = 0.814
     stop_words: tuple[str, ...] = tuple(R.STOP_WORDS_PT)
     min_stop_words: int | None = 2
+    # optional user lexicon (bad words): remove when more than ``max_lexicon_hits`` occurrences; off by default
+    lexicon: tuple[str, ...] = ()
+    max_lexicon_hits: int | None = None
 
 
 Rule = tuple[str, str, Callable[[R.Ctx], Column]]
@@ -135,6 +138,8 @@ def doc_quality_rules(p: FilterParams) -> list[Rule]:
     if p.max_non_alpha_words_ratio is not None:
         out.append((s, "gopher_below_alpha_threshold", lambda c: ratio(
             F.size(F.filter(c.w, lambda x: x.rlike(R.T.ALPHA_RE))), nw(c)) < p.max_non_alpha_words_ratio))
+    if p.max_lexicon_hits is not None and p.lexicon:
+        out.append((s, "lexicon_hits", lambda c: R.lexicon_hits(c, list(p.lexicon)) > p.max_lexicon_hits))
     if p.min_stop_words is not None and p.stop_words:
         stops = F.array(*[F.lit(x) for x in p.stop_words])
         out.append((s, "gopher_enough_stop_words", lambda c: F.size(
