@@ -33,34 +33,61 @@ def top_chars(words: list[str], n: int) -> int:
     if len(words) < n:
         return 0
     counts = Counter(zip(*(words[i:] for i in range(n))))
-    best_c, best_l = 0, 0
-    for gram, c in counts.items():
-        if c >= best_c:
-            ln = sum(map(len, gram)) + n - 1
-            if c > best_c or ln > best_l:
-                best_c, best_l = c, ln
+    best_c = max(counts.values())
+    best_l = max(sum(map(len, g)) for g, c in counts.items() if c == best_c) + n - 1
     return best_c * best_l
 
 
 def dup_chars(words: list[str], n: int) -> int:
     """Characters of words covered by second-and-later occurrences of an n-gram, each word once."""
-    if len(words) <= n:
-        return 0
-    seen: set = set()
-    covered = bytearray(len(words))
-    for i, gram in enumerate(zip(*(words[j:] for j in range(n)))):
-        if gram in seen:
-            covered[i:i + n] = b"\x01" * n
-        else:
-            seen.add(gram)
-    return sum(len(w) for w, c in zip(words, covered) if c)
+    return dup_chars_all(words, (n,))[0]
+
+
+def dup_chars_all(words: list[str], ns: tuple[int, ...] = DUP_NS) -> tuple[int, ...]:
+    """``dup_chars`` for several sizes in one pass.
+
+    An n-gram can only repeat where its shortest-size prefix repeats, so positions are grouped by that prefix once
+    and the longer n-grams are compared only inside groups with two or more positions (exact, no hashing).
+    """
+    k = len(words)
+    n0 = min(ns)
+    if k <= n0:
+        return (0,) * len(ns)
+    groups: dict = {}
+    for i, g in enumerate(zip(*(words[j:] for j in range(n0)))):
+        groups.setdefault(g, []).append(i)
+    rep = [pos for pos in groups.values() if len(pos) > 1]
+    if not rep:
+        return (0,) * len(ns)
+    lens = [len(w) for w in words]
+    out = []
+    for n in ns:
+        covered = bytearray(k)
+        for pos in rep:  # positions ascending
+            if n == n0:
+                starts = pos[1:]
+            else:
+                seen: set = set()
+                starts = []
+                for i in pos:
+                    if i + n > k:
+                        break
+                    g = tuple(words[i:i + n])
+                    if g in seen:
+                        starts.append(i)
+                    else:
+                        seen.add(g)
+            for i in starts:
+                covered[i:i + n] = b"\x01" * n
+        out.append(sum(l for l, c in zip(lens, covered) if c))
+    return tuple(out)
 
 
 def metrics(text: str | None) -> tuple:
     if text is None:
         return (None,) * len(NGRAM_SCHEMA.fields)
     words = _WORD.findall(text)
-    return (tuple(top_chars(words, n) for n in TOP_NS) + tuple(dup_chars(words, n) for n in DUP_NS)
+    return (tuple(top_chars(words, n) for n in TOP_NS) + dup_chars_all(words, DUP_NS)
             + (sum(map(len, words)),))
 
 

@@ -47,7 +47,11 @@ def spread(df: DataFrame, tasks_per_core: int = 4) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    # The split count is not a reliable signal: a file with one row group plans as several byte-range splits, all
+    # but one empty. Decide on the optimizer's size estimate instead: less than one full split per core = small.
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
+    if size < cores * split:
         return df.repartition(cores * tasks_per_core)
     return df
 
