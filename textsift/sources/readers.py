@@ -49,9 +49,13 @@ def spread(df: DataFrame, tasks_per_core: int = 4) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     # The split count is not a reliable signal: a file with one row group plans as several byte-range splits, all
     # but one empty. Decide on the optimizer's size estimate instead: less than one full split per core = small.
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
-    if size < cores * split:
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
+        small = size < cores * split
+    except Exception:  # noqa: BLE001 - no JVM plan access (e.g. a Connect session): fall back to the split count
+        small = df.rdd.getNumPartitions() < cores
+    if small:
         return df.repartition(cores * tasks_per_core)
     return df
 
