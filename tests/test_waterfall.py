@@ -27,3 +27,17 @@ def test_user_rule(spark):
     lab = WF.label(df, WF.FilterParams(remove_short_lines=False), language_col=None, rules=[], extra_rules=[rule])
     got = {r["id"]: r["filter_reason"] for r in lab.collect()}
     assert got == {1: None, 2: "spam"}
+
+
+def test_python_nodes_in_rule_plans(spark):
+    """Rules stay JVM-side: no Python node with the Catalyst n-gram engine, exactly one Arrow node otherwise."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
+        "doc_id", "text", F.col("lang").alias("language"), F.lit(1.0).alias("language_score"))
+
+    def plan(engine):
+        lab = WF.label(df, PARAMS, ngram_engine=engine)
+        return lab._jdf.queryExecution().executedPlan().toString()
+
+    assert "Python" not in plan("catalyst")
+    arrow = plan("arrow")
+    assert arrow.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in arrow
