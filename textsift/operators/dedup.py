@@ -26,28 +26,41 @@ def upsampling_weight(size: Column) -> Column:
     return w.cast("int")
 
 
-def minhash_clusters(df: DataFrame, cfg: M.MinhashConfig = M.PER_COLLECTION, *, id_col: str = "doc_id",
-                     text_col: str = "text", scope: tuple[str, ...] = (), max_rounds: int = 40) -> DataFrame:
-    """(scope..., id_col, minhash_cluster_id, minhash_cluster_size) for every input row. Ids must be unique."""
+def cluster_members(df: DataFrame, cfg: M.MinhashConfig = M.PER_COLLECTION, *, id_col: str = "doc_id",
+                    text_col: str = "text", scope: tuple[str, ...] = (), max_rounds: int = 40) -> DataFrame:
+    """(id, component, size) for the documents that have at least one near-duplicate (only they have edges)."""
     sigs = M.signatures(df, cfg, id_col=id_col, text_col=text_col, keep=scope)
     edges = M.bucket_edges(M.band_keys(sigs, cfg, scope), scope)
     comp = connected_components(edges.select(F.col("id").alias("src"), F.col("dup_of").alias("dst")),
                                 max_rounds=max_rounds)
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = comp.join(sizes, "component")
-    ids = df.select(*scope, F.col(id_col))
-    return (ids.join(members.withColumnRenamed("id", id_col), id_col, "left")
-            .select(*scope, id_col,
-                    F.coalesce("component", id_col).alias("minhash_cluster_id"),
-                    F.coalesce("size", F.lit(1)).cast("bigint").alias("minhash_cluster_size")))
+    return comp.join(sizes, "component")
+
+
+def _attach(df: DataFrame, members: DataFrame, id_col: str) -> DataFrame:
+    """Left join on the id: documents without near-duplicates are their own cluster of size 1."""
+    return (df.join(members.withColumnRenamed("id", id_col), id_col, "left")
+            .withColumn("minhash_cluster_id", F.coalesce("component", id_col))
+            .withColumn("minhash_cluster_size", F.coalesce("size", F.lit(1)).cast("bigint"))
+            .drop("component", "size"))
+
+
+def minhash_clusters(df: DataFrame, cfg: M.MinhashConfig = M.PER_COLLECTION, *, id_col: str = "doc_id",
+                     text_col: str = "text", scope: tuple[str, ...] = (), max_rounds: int = 40) -> DataFrame:
+    """(scope..., id_col, minhash_cluster_id, minhash_cluster_size) for every input row. Ids must be unique."""
+    members = cluster_members(df, cfg, id_col=id_col, text_col=text_col, scope=scope, max_rounds=max_rounds)
+    return _attach(df.select(*scope, F.col(id_col)), members, id_col).select(
+        *scope, id_col, "minhash_cluster_id", "minhash_cluster_size")
 
 
 def dedup(df: DataFrame, cfg: M.MinhashConfig = M.PER_COLLECTION, *, id_col: str = "doc_id", text_col: str = "text",
           scope: tuple[str, ...] = (), materialise_weight: bool = False) -> tuple[DataFrame, DataFrame]:
     """M7: (kept, removed). The survivor of a cluster is its smallest id; kept rows carry the cluster size and
     ``upsampling_weight``; with ``materialise_weight`` (M9) each kept row is repeated ``weight`` times."""
-    cl = minhash_clusters(df, cfg, id_col=id_col, text_col=text_col, scope=scope)
-    full = df.join(cl, list(scope) + [id_col])
+    # One join of the documents with the (usually small) member table: the text side is shuffled at most once,
+    # and AQE broadcasts the members when their runtime size allows.
+    members = cluster_members(df, cfg, id_col=id_col, text_col=text_col, scope=scope)
+    full = _attach(df, members, id_col)
     kept = (full.where(F.col("minhash_cluster_id") == F.col(id_col))
             .withColumn("upsampling_weight", upsampling_weight(F.col("minhash_cluster_size"))))
     removed = full.where(F.col("minhash_cluster_id") != F.col(id_col))
