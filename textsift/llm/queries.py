@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, topk
+from textsift.llm import licenses, simhash, topk
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -40,3 +40,8 @@ def op1(spark, sf_dir):
 @register("op2_licenses", licenses.oracle())
 def op2(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op6_simhash")
+def op6(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
