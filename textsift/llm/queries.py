@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, simhash, topk
+from textsift.llm import licenses, quality, simhash, topk
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -45,3 +45,8 @@ def op2(spark, sf_dir):
 @register("op6_simhash")
 def op6(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+@register("op9_quality")
+def op9(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"))
