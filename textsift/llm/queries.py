@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, quality, simhash, topk
+from textsift.llm import licenses, mixing, pii, quality, simhash, topk
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -50,3 +50,16 @@ def op6(spark, sf_dir):
 @register("op9_quality")
 def op9(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@register("op7_pii")
+def op7(spark, sf_dir):
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
+MIX = {"budget": (3, 2), "max_epochs": 4, "seed": 7}
+
+
+@register("op3_mixing", mixing.oracle(**MIX))
+def op3(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"), mixing.document_levels(), mixing.WEIGHTS, **MIX)
