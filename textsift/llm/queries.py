@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, pii, quality, simhash, topk
+from textsift.llm import licenses, mixing, packing, pii, quality, simhash, topk
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -63,3 +63,11 @@ MIX = {"budget": (3, 2), "max_epochs": 4, "seed": 7}
 @register("op3_mixing", mixing.oracle(**MIX))
 def op3(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"), mixing.document_levels(), mixing.WEIGHTS, **MIX)
+
+
+PACK = {"max_tokens": 2048, "buckets": 8, "batch_tokens": 65536, "seed": 11}
+
+
+@register("op8_packing", packing.oracle(**PACK))
+def op8(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), **PACK)
