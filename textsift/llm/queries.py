@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, packing, pii, quality, simhash, topk
+from textsift.llm import licenses, mixing, packing, pii, quality, simhash, topk, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -71,3 +71,8 @@ PACK = {"max_tokens": 2048, "buckets": 8, "batch_tokens": 65536, "seed": 11}
 @register("op8_packing", packing.oracle(**PACK))
 def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), **PACK)
+
+
+@register("op4_warc", warc.ORACLE)
+def op4(spark, sf_dir):
+    return warc.page_records(table(spark, sf_dir, "pages"))
