@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, packing, pii, quality, simhash, topk, warc
+from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -76,3 +76,9 @@ def op8(spark, sf_dir):
 @register("op4_warc", warc.ORACLE)
 def op4(spark, sf_dir):
     return warc.page_records(table(spark, sf_dir, "pages"))
+
+
+@register("op5_token_store")
+def op5(spark, sf_dir):
+    import public_tokenizers
+    return tokens.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
