@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, warc
+from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -82,3 +82,8 @@ def op4(spark, sf_dir):
 def op5(spark, sf_dir):
     import public_tokenizers
     return tokens.token_positions(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toxicity.label_chain())
