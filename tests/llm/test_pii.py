@@ -30,13 +30,14 @@ def joined(spans):
 def test_base_against_plain_patterns(spark):
     rnd = random.Random(2)
     texts = [None, "", "a@b.c_d@e.f", "x@y", "a@b.c@d.e", "1.2.3.4.5.6.7.8", "256.1.1.1 0255.1.1.1", "4111 1111 1111 1111", "+1 (415) 555-2671",
-             "+1 2", "\U0001F600 é a.b@c-d.org \U0001F600 10.0.0.1", "4111-1111-1111-1111-1 5500005555555559", "+++1 555 0100 99.", "a" * 60000,
-             "1" * 60000, "1 " * 30000, "a@" * 20000, "+1" + "-" * 50000, "." * 50000 + "@", "1." * 30000, "mail me x@y.z " * 300]
+             "+1 2", "\U0001F600 é a.b@c-d.org \U0001F600 10.0.0.1", "4111-1111-1111-1111-1 5500005555555559", "+++1 555 0100 99.", "a" * 30000,
+             "1" * 30000, "1 " * 8000, "a@" * 8000, "+1" + "-" * 20000, "." * 50000 + "@", "1." * 8000, "mail me x@y.z " * 300]
     pieces = ["a", "Z9", "@", ".", "b.c", "1", "42", "255", "256", " ", "-", "+1", "(", ")", "\n", "é", "\U0001F600", "4111111111111111", "_", "%"]
     texts += ["".join(rnd.choice(pieces) for _ in range(rnd.randrange(40))) for _ in range(1500)]
     df = spark.createDataFrame([(i, t, "clash", 0) for i, t in enumerate(texts)] + [(None, "x@y.zz", "", 1), (3, texts[3], "", 2)], "doc_id long, text string, base string, h int")
-    got = {(r.doc_id): r for r in P.pii_digest(df, min_support=10**6).collect()}
-    assert P.pii_digest(df).count() == len(texts) + 2
+    rows = P.pii_digest(df, min_support=10**6).collect()
+    assert len(rows) == len(texts) + 2
+    got = {r.doc_id: r for r in rows}
     for i, t in enumerate(texts):
         want = base(t or "")
         assert got[i].spans == joined(want), (i, t and t[:200])

@@ -171,7 +171,7 @@ def fit_chain(rows: Rows, labels: np.ndarray, folds: np.ndarray, most: int) -> t
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text",
-          sample_rows: int = 12_000, features: int = 3_000, folds: int = 4) -> list[dict]:
+          sample_rows: int = 20_000, features: int = 3_000, folds: int = 4) -> list[dict]:
     """The chain's models. ``categories``: name -> 0/1 column of ``labels``, in the chain's order."""
     names = [f"c{k}" for k in range(len(categories))]
     marks = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("lid"), *[c.cast("int").alias(n) for n, c in zip(names, categories.values(), strict=True)])
@@ -194,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     return fit_chain(rows, y, (h >> 8) % folds, features)[0]
 
 
-def score(docs: DataFrame, models: list[dict], names: list[str], *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, models: list[dict], names: list[str], *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4) -> DataFrame:
     """(doc_id, p_<category>..., <category>...): probabilities and decisions of every document."""
     tables = [dict(zip(m["known"].tolist(), m["w"].tolist(), strict=True)) for m in models]
     only = set().union(*tables)
