@@ -14,8 +14,8 @@ def brute(rows, k=20, every=20):
     out = []
     for q in sorted(ints):
         if q % every == 0:
-            s = [(-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q and len(v) == len(ints[q])]
-            out += [(q, r, i, max(-2**63, min(2**63 - 1, -n))) for r, (n, i) in enumerate(sorted(s)[:k], 1)]
+            s = [(-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(ints[q], v)))), i) for i, v in ints.items() if i != q and len(v) == len(ints[q])]
+            out += [(q, r, i, -n) for r, (n, i) in enumerate(sorted(s)[:k], 1)]
     return out
 
 

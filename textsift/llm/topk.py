@@ -9,7 +9,8 @@ at most ``query_block`` queries and ``part_rows`` candidates.
 Defined cases: a vector that is null, or has a null, NaN or infinite component, takes no part, nor does a row without
 id. Of rows that share an id, the one with the smallest vector (arrays compared element by element) stands for all.
 A query is compared with vectors of its own length only; empty vectors score 0 against each other. A query with
-no candidate has no row. Scores beyond the range of long are clipped to it.
+no candidate has no row. Scores beyond the range of long are clipped to it
+before they are ranked.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ def _matrix(values: pd.Series) -> np.ndarray:
 
 def _product(q: np.ndarray, s: np.ndarray) -> np.ndarray:
     """Exact integer inner products as int64: BLAS in doubles while every partial sum is below 2**53."""
-    most = max(1.0, np.abs(q).max(initial=0)) * max(1.0, np.abs(s).max(initial=0)) * max(1, q.shape[1])
-    if most < 2.0**53:
+    most = float(max(1.0, np.abs(q).max(initial=0))), float(max(1.0, np.abs(s).max(initial=0)))
+    if most[0] < 2.0**53 / most[1] / max(1, q.shape[1]):
         return (q @ s.T).astype(np.int64)
     exact = np.array([[int(x) for x in r] for r in q], dtype=object).reshape(q.shape)
     other = np.array([[int(x) for x in r] for r in s], dtype=object).reshape(s.shape)

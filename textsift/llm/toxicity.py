@@ -178,7 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     marks = marks.groupBy("lid").agg(*[F.max(n).alias(n) for n in names]).where(F.coalesce(*names).isNotNull())
     marks = marks.withColumn("h", F.xxhash64("lid")).orderBy("h", "lid").limit(sample_rows)
     # the marks are at most sample_rows narrow rows
-    own = docs.join(F.broadcast(marks), F.col(id_col).cast("bigint") == F.col("lid")).select("h", *names, F.col(text_col).alias("t"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("lid"), F.col(text_col).cast("string").alias("t"))
+    own = texts.join(F.broadcast(marks), "lid").select("h", *names, "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Features()
