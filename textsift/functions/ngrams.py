@@ -21,11 +21,12 @@ from textsift.functions.text import WORD_RE
 TOP_NS = (2, 3, 4)
 DUP_NS = (5, 6, 7, 8, 9, 10)
 _WORD = re.compile(WORD_RE)
+FIELDS = tuple(f"top_{n}gram_chars" for n in TOP_NS) + tuple(f"dup_{n}gram_chars" for n in DUP_NS)
+_FIELD = re.compile(r"(top|dup)_([0-9]+)gram_chars")
 
-NGRAM_SCHEMA = Ty.StructType(
-    [Ty.StructField(f"top_{n}gram_chars", Ty.LongType()) for n in TOP_NS]
-    + [Ty.StructField(f"dup_{n}gram_chars", Ty.LongType()) for n in DUP_NS]
-    + [Ty.StructField("word_chars", Ty.LongType())])
+
+def sizes(fields: tuple[str, ...], kind: str) -> tuple[int, ...]:
+    return tuple(sorted(int(m[2]) for m in map(_FIELD.fullmatch, fields) if m[1] == kind))
 
 
 def top_chars(words: list[str], n: int) -> int:
@@ -83,32 +84,26 @@ def dup_chars_all(words: list[str], ns: tuple[int, ...] = DUP_NS) -> tuple[int,
     return tuple(out)
 
 
-def metrics(text: str | None) -> tuple:
-    if text is None:
-        return (None,) * len(NGRAM_SCHEMA.fields)
+def metrics(text: str, tops: tuple[int, ...] = TOP_NS, dups: tuple[int, ...] = DUP_NS) -> tuple[int, ...]:
     words = _WORD.findall(text)
-    return (tuple(top_chars(words, n) for n in TOP_NS) + dup_chars_all(words, DUP_NS)
-            + (sum(map(len, words)),))
-
-
-_NULLS = (None,) * len(NGRAM_SCHEMA.fields)
-
-
-@F.pandas_udf(NGRAM_SCHEMA)
-def _ngram_udf(texts: pd.Series, need: pd.Series) -> pd.DataFrame:
-    rows = [metrics(t) if n else _NULLS for t, n in zip(texts, need)]
-    return pd.DataFrame(rows, columns=NGRAM_SCHEMA.fieldNames(), dtype="Int64")
-
-
-# Marked non-deterministic only so that the optimizer never pushes a filter on a rule outcome below the UDF's
-# projection (a Python UDF inside a pushed-down CASE cannot be evaluated there). The values are deterministic.
-_ngram_udf_pinned = _ngram_udf.asNondeterministic()
+    return tuple(top_chars(words, n) for n in tops) + (dup_chars_all(words, dups) if dups else ())
 
 
-def ngram_metrics(text: Column, need: Column | None = None) -> Column:
-    """Struct of ``top_{2,3,4}gram_chars``, ``dup_{5..10}gram_chars`` and ``word_chars`` per document.
+def ngram_metrics(text: Column, need: Column | None = None, fields: tuple[str, ...] = FIELDS) -> Column:
+    """Struct of the metrics ``fields`` (``top_<n>gram_chars``, ``dup_<n>gram_chars``, any n) of each document.
 
     ``need`` (boolean) skips documents whose outcome is already decided by an earlier, cheaper rule: their
     metrics are null and never read (the waterfall's ``CASE`` stops before them).
     """
-    return _ngram_udf_pinned(text, F.coalesce(need, F.lit(False)) if need is not None else F.lit(True))
+    tops, dups = sizes(fields, "top"), sizes(fields, "dup")
+    names = [f"top_{n}gram_chars" for n in tops] + [f"dup_{n}gram_chars" for n in dups]
+    nulls = (None,) * len(names)
+
+    @F.pandas_udf(Ty.StructType([Ty.StructField(n, Ty.LongType()) for n in names]))
+    def udf(texts: pd.Series, wanted: pd.Series) -> pd.DataFrame:
+        rows = [metrics(t, tops, dups) if n and t is not None else nulls for t, n in zip(texts, wanted)]
+        return pd.DataFrame(rows, columns=names, dtype="Int64")
+
+    # Marked non-deterministic only so that the optimizer never pushes a filter on a rule outcome below the UDF's
+    # projection (a Python UDF inside a pushed-down CASE cannot be evaluated there). The values are deterministic.
+    return udf.asNondeterministic()(text, F.coalesce(need, F.lit(False)) if need is not None else F.lit(True))

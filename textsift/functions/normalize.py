@@ -10,6 +10,10 @@ from textsift.functions import text as T
 # ---------------------------------------------------------------------------------------------------------------
 # Fixed values (our decisions; parameters everywhere).
 EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# What Java runs: the same addresses, in time linear in the text. A local part is entered only where its run begins (or the
+# last match ended) and never given back; at most 127 labels, the limit of the domain name system, bound the recursion.
+EMAIL_JAVA_RE = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}"
+                 r"\.[A-Za-z]{2,}")
 EMAIL_MASK = "email@example.com"
 _OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # An IPv4 address not glued to other digits or dots; the neighbours are captured and written back.
@@ -65,7 +69,7 @@ def is_empty_text(text: Column) -> Column:
 
 
 def mask_email(text: Column, mask: str = EMAIL_MASK) -> Column:
-    return F.regexp_replace(text, F.lit(EMAIL_RE), F.lit(mask))
+    return F.when(text.contains("@"), F.regexp_replace(text, F.lit(EMAIL_JAVA_RE), F.lit(mask))).otherwise(text)
 
 
 def mask_ip(text: Column, mask: str = IP_MASK) -> Column:
@@ -80,8 +84,13 @@ def symbol_lines_re(symbols: list[str]) -> str:
 
 
 def remove_symbol_lines(text: Column, symbols: list[str] = ("|",), replace_char: str = "\n") -> Column:
-    """Every run of lines made only of the symbols (and blanks) collapses into ``replace_char``."""
-    return F.regexp_replace(text, F.lit(symbol_lines_re(list(symbols))), F.lit(replace_char))
+    """Every run of lines made only of the symbols (and blanks) collapses into ``replace_char``.
+
+    The run is matched possessively: Java loops over it instead of recursing once a line, and nothing follows the run
+    that could make it give lines back.
+    """
+    rx = symbol_lines_re(list(symbols))
+    return F.regexp_replace(text, F.lit(rx.replace("(\\n|\\z))+", "(?:\\n|\\z))++").replace("([ \\t]*", "(?:[ \\t]*+")), F.lit(replace_char))
 
 
 def token_count(text: Column) -> Column:

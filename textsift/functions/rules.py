@@ -48,13 +48,30 @@ class Ctx:
     ng: Column | None = None  # struct from ngrams.ngram_metrics when engine="arrow"
 
 
+class NgramFields(dict):
+    """Stands in for ``Ctx.ng`` to find out which n-gram metrics a rule reads."""
+
+    def __missing__(self, field: str) -> Column:
+        self[field] = F.lit(0).cast("bigint")
+        return self[field]
+
+
+def ngram_fields(predicate) -> set[str]:
+    """Names of the n-gram metrics that ``predicate(ctx)`` reads; empty for a rule that needs none."""
+    seen = NgramFields()
+    predicate(Ctx(F.lit(""), F.array().cast("array<string>"), F.array().cast("array<string>"), F.array().cast("array<string>"),
+                  F.array().cast("array<string>"), seen))
+    return set(seen)
+
+
 def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow",
-         ngram_need=None) -> tuple[DataFrame, Ctx]:
+         ngram_need=None, fields: tuple[str, ...] | None = None) -> tuple[DataFrame, Ctx]:
     """Materialise the token arrays once; later projections reference them by name.
 
     ``ngram_engine="arrow"`` also computes the n-gram repetition metrics with the Arrow UDF (one pass, all sizes);
     ``"catalyst"`` leaves them to the higher-order-function forms below. ``ngram_need(ctx) -> Column`` limits the
-    UDF to the documents that reach the n-gram rules.
+    UDF to the documents that reach the n-gram rules; ``fields`` names the metrics wanted (any size, see
+    ``ngrams.FIELDS`` for the default).
     """
     out = (df.withColumn(W, T.words(text_col))
              .withColumn(NW, T.norm_words(text_col))
@@ -62,20 +79,18 @@ def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow",
     out = out.withColumn(NB, T.nonblank(F.col(L)))
     ng = None
     if ngram_engine == "arrow":
-        from textsift.functions.ngrams import ngram_metrics
+        from textsift.functions.ngrams import FIELDS, ngram_metrics
+        fields = FIELDS if fields is None else fields
+    if ngram_engine == "arrow" and fields:
         pre = Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB))
         need = ngram_need(pre) if ngram_need is not None else None
-        out = out.withColumn(NG, ngram_metrics(F.col(text_col), need))
+        out = out.withColumn(NG, ngram_metrics(F.col(text_col), need, tuple(fields)))
         ng = F.col(NG)
-    elif ngram_engine != "catalyst":
+    elif ngram_engine not in ("arrow", "catalyst"):
         raise ValueError(f"unknown ngram_engine {ngram_engine!r}")
     return out, Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB), ng)
 
 
-def drop_bound(df: DataFrame) -> DataFrame:
-    return df.drop(W, NW, L, NB, NG)
-
-
 def top_chars(c: Ctx, n: int) -> Column:
     return c.ng[f"top_{n}gram_chars"] if c.ng is not None else top_ngram_chars(c.w, n)
 
@@ -193,12 +208,10 @@ def lexicon_hits(c: Ctx, lexicon: list[str], distinct: bool = False) -> Column:
 
 
 def lexicon_counts(df: DataFrame, lexicon: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                   word_col: str = "word", max_broadcast_rows: int = 5_000_000) -> DataFrame:
-    """(id, hits) for a large lexicon table: explode normalised words, semi-join with the lexicon (broadcast only
-    under a checked row count, else a shuffle join), count per document. Documents without hits get 0."""
+                   word_col: str = "word") -> DataFrame:
+    """(id, hits) for a large lexicon table: explode normalised words, semi-join with the lexicon (AQE broadcasts it
+    when its measured bytes allow), count per document. Documents without hits get 0."""
     lx = lexicon.select(F.col(word_col).alias("w")).distinct()
-    n = lx.count()
-    lx = F.broadcast(lx) if n <= max_broadcast_rows else lx
     words = df.select(F.col(id_col).alias("_id"), F.explode(T.norm_words(F.col(text_col))).alias("w"))
     hits = words.join(lx, "w", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("hits"))
     return (df.select(F.col(id_col).alias("_id")).join(hits, "_id", "left")

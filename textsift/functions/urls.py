@@ -20,9 +20,15 @@ def country_url(url: Column, surt: Column, tok: str = "pt") -> Column:
         F.lit(False))
 
 
-def not_foreign_variant(url: Column, variant: str = "br", lang: str = "pt") -> Column:
+def not_foreign_variant(url: Column, variant: str = "br", lang: str = "pt", strict: bool = False) -> Column:
     """keep a URL that is not null and contains none of ``/lang-variant``, ``/lang_variant/``, ``.com/variant``,
-    ``.variant``, ``/variant/``. Plain substring tests, as in the reference (``.br`` also matches ``.brown``)."""
+    ``.variant``, ``/variant/``. Plain substring tests, as in the reference (``.br`` also matches ``.brown``);
+    ``strict`` takes ``.variant`` as the end of the host only and the others as whole path parts."""
+    if strict:
+        host = F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
+        path = F.concat(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/"))
+        bad = host.endswith(f".{variant}") | path.contains(f"/{variant}/") | path.contains(f"/{lang}-{variant}/") | path.contains(f"/{lang}_{variant}/")
+        return url.isNotNull() & ~bad
     bad = (url.contains(f"/{lang}-{variant}") | url.contains(f"/{lang}_{variant}/") | url.contains(f".com/{variant}")
            | url.contains(f".{variant}") | url.contains(f"/{variant}/"))
     return url.isNotNull() & ~bad

@@ -33,7 +33,8 @@ def cluster_members(df: DataFrame, cfg: M.MinhashConfig = M.PER_COLLECTION, *, i
     edges = M.bucket_edges(M.band_keys(sigs, cfg, scope), scope)
     comp = connected_components(edges.select(F.col("id").alias("src"), F.col("dup_of").alias("dst")),
                                 max_rounds=max_rounds)
-    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    # a table of its own, so that the join exchanges both sides and AQE can split the members of a giant cluster
+    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size")).checkpoint()
     return comp.join(sizes, "component")
 
 

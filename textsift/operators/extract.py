@@ -3,7 +3,7 @@
 Scope (our decision, not a reimplementation of a boilerplate-removal library): drop comments, scripts, styles,
 navigation, footers, asides and ad blocks first (so a ``</p>`` inside a script string cannot close anything),
 prefer the ``<article>`` element when present (precision over recall), turn block tags into line breaks, strip
-the remaining tags, decode a fixed entity table and normalise whitespace. The title comes from ``<title>``.
+the remaining tags, decode character references and normalise whitespace. The title comes from ``<title>``.
 """
 
 from __future__ import annotations
@@ -11,31 +11,55 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Regexes of removed blocks, block-level tags, and the named/numeric entities decoded.
+from textsift.functions.normalize import CP1252_BYTES, CP1252_SPECIALS
+from textsift.functions.text import let
+
+# Regexes of removed blocks and block-level tags. A tag's name ends at a word boundary (``<head`` isn't
+# ``<header``); an ad block is a div with the class word ``ad``, ``ads`` or ``ad-...`` (``address`` is no ad). A removed block ends
+# at the first end tag of its name: of nested ones, what follows the inner end tag stays.
+_AD_CLASS = r"(?:\"[^\"]*(?<![^\" \t\n])(?:ads?|ad-[^\" ]*)(?![^\" \t\n])[^\"]*\"|'[^']*(?<![^' \t\n])(?:ads?|ad-[^' ]*)(?![^' \t\n])[^']*'|ads?(?=[\s>]))"
 DROP_BLOCKS = [
     r"(?s)<!--.*?-->",
-    r"(?is)<script[^>]*>.*?</script\s*>",
-    r"(?is)<style[^>]*>.*?</style\s*>",
-    r"(?is)<head[^>]*>.*?</head\s*>",
-    r"(?is)<nav[^>]*>.*?</nav\s*>",
-    r"(?is)<footer[^>]*>.*?</footer\s*>",
-    r"(?is)<aside[^>]*>.*?</aside\s*>",
-    r"(?is)<div[^>]*class=\"ad[^\"]*\"[^>]*>.*?</div\s*>",
+    r"(?is)<script\b[^>]*>.*?</script\s*>",
+    r"(?is)<style\b[^>]*>.*?</style\s*>",
+    r"(?is)<head(?=[\s>])[^>]*>.*?</head\s*>",
+    r"(?is)<nav(?=[\s>])[^>]*>.*?</nav\s*>",
+    r"(?is)<footer(?=[\s>])[^>]*>.*?</footer\s*>",
+    r"(?is)<aside(?=[\s>])[^>]*>.*?</aside\s*>",
+    r"(?is)<div\b[^>]*\bclass\s*=\s*" + _AD_CLASS + r"[^>]*>.*?</div\s*>",
 ]
 BLOCK_TAGS = r"(?i)<(br|/?p|/?div|/?h[1-6]|/?li|/?ul|/?ol|/?article|/?section|/?tr|/?table|/?blockquote|/?pre)(\s[^>]*)?/?>"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&#39;", "'"), ("&apos;", "'"),
-            ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
-            ("&amp;", "&")]
-ARTICLE_RE = r"(?is)<article[^>]*>(.*)</article\s*>"
 # Whole document -> the article's content when there is an article; unchanged otherwise (one expression).
-ARTICLE_ONLY_RE = r"(?is)\A.*?<article[^>]*>(.*)</article\s*>.*\z"
-TITLE_RE = r"(?is)<title[^>]*>(.*?)</title\s*>"
+ARTICLE_ONLY_RE = r"(?is)\A.*?<article(?=[\s>])[^>]*>(.*)</article\s*>.*\z"
+TITLE_RE = r"(?is)<title(?=[\s>])[^>]*>(.*?)</title\s*>"
+REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def named_references() -> dict[str, str]:
+    """Every named character reference of HTML that ends in a semicolon; a no-break space becomes a space."""
+    from html.entities import html5
+    return {"&" + k: (" " if v == "\xa0" else v) for k, v in html5.items() if k.endswith(";")}
+
+
+def _code_point(n: Column) -> Column:
+    """Character of a numeric reference: 128-159 as Windows-1252, what is no character as U+FFFD."""
+    c1 = F.translate(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"), "".join(map(chr, CP1252_BYTES)), CP1252_SPECIALS)
+    bad = n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    return F.when(bad, F.lit("\ufffd")).when(n == 160, F.lit(" ")).otherwise(c1)
 
 
 def decode_entities(x: Column) -> Column:
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    """Character references, named, decimal and hexadecimal, decoded once (``&amp;lt;`` becomes ``&lt;``); others stay."""
+    table = F.create_map(*[F.lit(v) for kv in named_references().items() for v in kv])
+
+    def one(r: Column) -> Column:
+        number = F.when(r.rlike("^&#[xX]"), F.conv(F.substring(r, 4, 6), 16, 10)).otherwise(F.regexp_extract(r, "[0-9]+", 0)).cast("bigint")
+        return F.when(r.startswith("&#"), _code_point(number)).otherwise(F.coalesce(F.try_element_at(table, r), r))
+
+    def join(pieces: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(x, F.lit(REFERENCE_RE), F.lit(0)), one)
+        return let(found, lambda f: F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(f, i), F.lit("")))), ""))
+    return F.when(x.contains("&"), let(F.split(x, REFERENCE_RE, -1), join)).otherwise(x)
 
 
 def tidy(x: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textsift.functions import urls as U
+from textsift.session import checkpoint_dir
 
 # Fetch batch size = min(1000, 3960 // 4) (API ceiling 4,000/min used at 99 %).
 FETCH_BATCH = min(1000, 3960 // 4)
@@ -32,20 +33,22 @@ def fetch_list(rows: DataFrame, prefix: str = "https://replay.example/wayback/",
     """F9 + F10 + F11: (surt, timestamp, url, replay_url, batch) with consecutive batches of ``batch`` rows in
     (surt, timestamp, url) order.
 
-    The global row number is computed without a single-partition window: rows are range-partitioned and sorted,
-    each partition's row count is aggregated (one small row per partition) and turned into offsets, which are
-    broadcast back (their number is the partition count, a proven bound).
+    The global row number is computed without a single-partition window: rows are dealt to ranges and sorted, and
+    numbered by partition and position in one pass, which is checkpointed, so that the sampled range boundaries are
+    the same for all that follows. Each partition's size (one row a partition) becomes an offset that is broadcast
+    back. The number of ranges follows the data's size (AQE) unless ``partitions`` is given.
     """
+    checkpoint_dir(rows.sparkSession)
     order = ["surt", "timestamp", "url"]
-    n = partitions or rows.sparkSession.sparkContext.defaultParallelism
-    ranged = (rows.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id()))
-    ranged = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    picked = rows.select(*order)
+    ranged = picked.repartitionByRange(partitions, *order) if partitions else picked.repartitionByRange(*order)
+    # monotonically_increasing_id: partition number in the upper 31 bits, position below
+    ranged = ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    ranged = ranged.select(*order, F.shiftright("_at", 33).alias("_pid"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_pos"))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.select("_pid", (F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1))).alias("_off"))
-    idx = ranged.join(F.broadcast(offsets), "_pid").select(
-        *order, (F.coalesce("_off", F.lit(0)) + F.col("_rn") - 1).alias("_i"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    idx = ranged.join(F.broadcast(offsets), "_pid").select(*order, (F.col("_off") + F.col("_pos")).alias("_i"))
     return idx.select(*order, U.replay_url(F.col("timestamp"), F.col("url"), prefix).alias("replay_url"),
                       F.floor(F.col("_i") / F.lit(batch)).cast("bigint").alias("batch"))
 

@@ -1,10 +1,10 @@
 """Language identification (L1) and the language filter (L2).
 
-L1 is a multinomial naive-Bayes identifier trained and applied with DataFrame operations. Words (lowercased
+L1 is a multinomial naive-Bayes identifier trained with DataFrame operations. Words (lowercased
 letter/digit runs) are hashed into ``buckets`` feature slots (first 4 bytes of MD5 mod p mod buckets), so the
-model has at most ``buckets`` rows whatever the corpus size. Training is one ``explode`` + ``groupBy``; scoring is
-one ``explode_outer``, a join with the model (broadcast only when its row count is under a checked limit, a sort-merge
-join otherwise) and one ``groupBy(doc)`` whose partial aggregation collapses each document's words map-side.
+model has at most ``buckets`` rows whatever the corpus size. Training is one ``explode`` + ``groupBy``; the model, at most
+buckets x languages doubles, goes to the tasks as an array. Scoring is in place: an Arrow UDF sums each document's
+word weights, so there is no row for a word, no shuffle and no join back to the text.
 
 Score: per language, (log prior + sum of log word likelihoods with add-one smoothing) divided by the number of words,
 softmax over languages; the label is the argmax (ties: first language in sorted order) and the score its
@@ -13,8 +13,12 @@ probability. A document without words gets no label and score 0.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +34,11 @@ def word_bucket(word: Column, buckets: int) -> Column:
 
 @dataclass
 class LanguageModel:
-    weights: DataFrame          # (bucket, lc_<i> ...): log(count + 1) per language, one row per bucket
+    weights: np.ndarray         # (buckets, languages): log(count + 1)
     languages: list[str]        # sorted labels
     log_prior: list[float]
     log_denom: list[float]      # log(total words of the language + buckets)
     buckets: int
-    rows: int                   # model rows (for the broadcast decision)
 
 
 def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang",
@@ -43,48 +46,67 @@ def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang
     """Count hashed words per language. The per-language constants are one small row per language."""
     words = labelled.select(F.col(label_col).alias("lang"), F.explode(norm_words(F.col(text_col))).alias("w"))
     counts = words.groupBy("lang", word_bucket(F.col("w"), buckets).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("c")).persist()
+        F.count(F.lit(1)).alias("c"))
     docs = labelled.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("lang")).agg(
         F.count(F.lit(1)).alias("d"))
-    totals = counts.groupBy("lang").agg(F.sum("c").alias("n"))
-    # One row per language label (a handful to a few hundred): fine to bring to the driver.
-    consts = sorted(docs.join(totals, "lang", "left").collect(), key=lambda r: r["lang"])
+    # One row per language label (a handful to a few hundred), then at most buckets x languages counts.
+    consts = sorted(docs.collect(), key=lambda r: r["lang"])
     n_docs = sum(r["d"] for r in consts)
     langs = [r["lang"] for r in consts]
-    import math
+    got = counts.where(F.col("lang").isin(langs)).toPandas()
+    at = {lg: i for i, lg in enumerate(langs)}
+    table = np.zeros((buckets, len(langs)), dtype=np.int64)
+    table[got["bucket"].to_numpy(dtype=np.int64), got["lang"].map(at).to_numpy(dtype=np.int64)] = got["c"]
     log_prior = [math.log(r["d"] / n_docs) for r in consts]
-    log_denom = [math.log((r["n"] or 0) + buckets) for r in consts]
-    wide = counts.groupBy("bucket").agg(*[
-        F.max(F.when(F.col("lang") == lg, F.log(F.col("c") + 1))).alias(f"lc_{i}") for i, lg in enumerate(langs)])
-    wide = wide.persist()
-    rows = wide.count()
-    counts.unpersist()
-    return LanguageModel(wide, langs, log_prior, log_denom, buckets, rows)
-
-
-def detect(model: LanguageModel, df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-           max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    log_denom = [math.log(int(n) + buckets) for n in table.sum(axis=0)]
+    return LanguageModel(np.log(table + 1.0), langs, log_prior, log_denom, buckets)
+
+
+def _python_bucket(word: str, buckets: int) -> int:
+    return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % P31 % buckets
+
+
+def detected(model: LanguageModel, text: Column) -> Column:
+    """Struct (language, language_score) of a text, in place."""
+    weights, buckets = model.weights, model.buckets
+    prior, denom = np.array(model.log_prior), np.array(model.log_denom)
+    names = np.array([*model.languages, None], dtype=object)
+
+    @F.pandas_udf("language string, language_score double")
+    def score(words: pd.Series) -> pd.DataFrame:
+        slot: dict[str, int] = {}
+        out = []
+        for ws in words:
+            at = np.zeros(0 if ws is None else len(ws), dtype=np.int64)
+            for i, w in enumerate(() if ws is None else ws):
+                b = slot.get(w)
+                if b is None:
+                    b = slot[w] = _python_bucket(w, buckets)
+                at[i] = b
+            n = len(at)
+            if not n or not len(prior):
+                out.append((None, 0.0))
+                continue
+            z = (prior + weights[at].sum(axis=0) - n * denom) / n
+            e = np.exp(z - z.max())
+            best = int(np.argmax(z))  # first maximum (languages are sorted)
+            out.append((names[best], float(e[best] / e.sum())))
+        return pd.DataFrame(out, columns=["language", "language_score"])
+
+    return score(norm_words(text))
+
+
+def with_language(model: LanguageModel, df: DataFrame, *, text_col: str = "text", language_col: str = "language",
+                  score_col: str = "language_score") -> DataFrame:
+    """``df`` with label and score of every text; no shuffle, no join."""
+    out = df.withColumn("_lg", detected(model, F.col(text_col)))
+    return (out.withColumn(language_col, F.col("_lg.language"))
+            .withColumn(score_col, F.round(F.col("_lg.language_score"), 6)).drop("_lg"))
+
+
+def detect(model: LanguageModel, df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, language, language_score) for every row of ``df``."""
-    w = df.select(F.col(id_col).alias("_id"), F.explode_outer(norm_words(F.col(text_col))).alias("w"))
-    w = w.withColumn("bucket", word_bucket(F.col("w"), model.buckets))
-    weights = F.broadcast(model.weights) if model.rows <= max_broadcast_rows else model.weights
-    j = w.join(weights, "bucket", "left")
-    L = len(model.languages)
-    agg = j.groupBy("_id").agg(F.count("w").alias("nw"),
-                               *[F.coalesce(F.sum(f"lc_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(L)])
-    nw = F.col("nw")
-    z = [(F.lit(model.log_prior[i]) + F.col(f"s_{i}") - nw * F.lit(model.log_denom[i])) / F.greatest(nw, F.lit(1))
-         for i in range(L)]
-    zs = F.array(*z)
-    mx = F.array_max(zs)
-    ex = F.transform(zs, lambda v: F.exp(v - mx))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, v: a + v)
-    best = F.array_position(zs, mx)  # first maximum (languages are sorted)
-    label = F.element_at(F.array(*[F.lit(x) for x in model.languages]), best.cast("int"))
-    score = F.element_at(ex, best.cast("int")) / tot
-    return agg.select(F.col("_id").alias(id_col),
-                      F.when(nw > 0, label).alias("language"),
-                      F.when(nw > 0, F.round(score, 6)).otherwise(F.lit(0.0)).alias("language_score"))
+    return with_language(model, df.select(id_col, text_col), text_col=text_col).drop(text_col)
 
 
 def language_filter(scored: DataFrame, languages: tuple[str, ...] = ("pt",), threshold: float = 0.799,

@@ -1,9 +1,14 @@
 """MinHash signatures and LSH band buckets (M1-M4).
 
-Shingles are word n-grams of the normalised words (lowercase letters/digits). Each shingle is hashed to 31 bits
-(first 4 bytes of its MD5, mod p = 2^31 - 1) and each of the ``bands * rows`` hash functions is ``(a*h + b) mod p``
-with ``a, b`` drawn by a fixed rule from MD5 as well, so the same signature can be recomputed by any SQL engine.
-Signatures are computed per document in an Arrow-batched UDF (numpy over the shingle hashes); band keys are two
+Shingles are word n-grams of the normalised words (lowercase letters/digits); a document without words has none, hence
+no signature, and is never a duplicate. Two hash families:
+
+* ``xx64`` (64 bits, what production runs use): shingles are hashed in the JVM (xxhash64), hash function i is
+  ``a_i * h + b_i mod 2^64`` with odd ``a_i``;
+* ``affine31`` (portable): the first 4 bytes of the shingle's MD5 mod p = 2^31 - 1, and ``(a*h + b) mod p`` with
+  ``a, b`` drawn by a fixed rule from MD5 as well, so that any SQL engine can recompute the signature.
+
+The minima are taken per document in an Arrow-batched UDF (numpy over the shingle hashes); band keys are two
 64-bit hashes of the band's values, so the shuffle carries ``(scope, band, key1, key2, id)`` and never the text.
 """
 
@@ -18,17 +23,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from textsift.functions.text import norm_words
+from textsift.functions.text import let, norm_words
+from textsift.session import checkpoint_dir
 
 P31 = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
 class MinhashConfig:
-    """Band/row layout and shingle size. Defaults: per-collection run (14 x 8, 5-grams)."""
+    """Band/row layout, shingle size and hash family. Defaults: per-collection run (14 x 8, 5-grams)."""
     bands: int = 14
     rows: int = 8
     n_grams: int = 5
+    family: str = "affine31"
 
     @property
     def num_hashes(self) -> int:
@@ -42,6 +49,8 @@ class MinhashConfig:
 
 PER_COLLECTION = MinhashConfig(14, 8, 5)
 PER_TIER = MinhashConfig(40, 15, 4)
+PER_COLLECTION_64 = MinhashConfig(14, 8, 5, "xx64")
+SALTS = 32  # parts of a bucket, by id
 
 
 def md5_31(s: str) -> int:
@@ -56,9 +65,18 @@ def hash_params(k: int) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+def hash_params_64(k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters of hash function i (1-based): the first 8 bytes of the MD5 of 'a<i>' (made odd) and of 'b<i>'."""
+    eight = lambda s: int.from_bytes(hashlib.md5(s.encode()).digest()[:8], "big")
+    return (np.array([eight(f"a{i}") | 1 for i in range(1, k + 1)], dtype=np.uint64),
+            np.array([eight(f"b{i}") for i in range(1, k + 1)], dtype=np.uint64))
+
+
 def shingles(words, n: int) -> set[str]:
-    """Distinct word n-grams joined by one space; a document shorter than n words is one shingle."""
+    """Distinct word n-grams joined by one space; a document shorter than n words is one shingle, without words none."""
     words = list(words)
+    if not words:
+        return set()
     if len(words) < n:
         return {" ".join(words)}
     return {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
@@ -79,19 +97,51 @@ def _signature_udf(cfg: MinhashConfig):
 
     @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
     def sig(words: pd.Series) -> pd.Series:
-        return pd.Series([None if w is None else signature(w, n, a, b) for w in words])
+        return pd.Series([None if w is None or not len(w) else signature(w, n, a, b) for w in words], dtype=object)
+
+    return sig
+
+
+def signature_64(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
+    out = np.full(len(a), 2**64 - 1, dtype=np.uint64)
+    h = np.asarray(hashes, dtype=np.int64).view(np.uint64)
+    for lo in range(0, len(h), chunk):
+        np.minimum(out, (a[:, None] * h[None, lo:lo + chunk] + b[:, None]).min(axis=1), out=out)
+    return out.view(np.int64).tolist()
+
+
+def _signature_64_udf(cfg: MinhashConfig):
+    a, b = hash_params_64(cfg.num_hashes)
+
+    @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
+    def sig(hashes: pd.Series) -> pd.Series:
+        return pd.Series([None if h is None or not len(h) else signature_64(h, a, b) for h in hashes], dtype=object)
 
     return sig
 
 
+def shingle_hashes(words: Column, n: int) -> Column:
+    """xxhash64 of every shingle, computed in the JVM; null for a document without words."""
+    return let(words, lambda w: F.when(F.size(w) == 0, F.lit(None)).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))))
+
+
 def signatures(df: DataFrame, cfg: MinhashConfig = PER_COLLECTION, *, id_col: str = "doc_id",
                text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep..., id, sig ARRAY<BIGINT>) for every document."""
-    return df.select(*keep, F.col(id_col).alias("id"), _signature_udf(cfg)(norm_words(F.col(text_col))).alias("sig"))
+    words = norm_words(F.col(text_col))
+    if cfg.family == "xx64":
+        # behind a Generate: the hashes are made in the JVM before the UDF, not as part of its argument
+        hashed = df.select(*keep, F.col(id_col).alias("id"), F.inline(F.array(F.struct(shingle_hashes(words, cfg.n_grams).alias("_h")))))
+        return hashed.select(*keep, "id", _signature_64_udf(cfg)("_h").alias("sig"))
+    if cfg.family == "affine31":
+        return df.select(*keep, F.col(id_col).alias("id"), _signature_udf(cfg)(words).alias("sig"))
+    raise ValueError(f"unknown hash family {cfg.family!r}")
 
 
 def band_keys(sigs: DataFrame, cfg: MinhashConfig = PER_COLLECTION, scope: tuple[str, ...] = ()) -> DataFrame:
-    """(scope..., id, band, k1, k2): one row per document and band; (k1, k2) is a 128-bit key of the band."""
+    """(scope..., id, band, k1, k2): one row per document with a signature and band; (k1, k2) is a 128-bit key of the band."""
+    sigs = sigs.where(F.col("sig").isNotNull())
     r = cfg.rows
     bands = F.array(*[F.struct(F.lit(i).alias("band"),
                                F.xxhash64(F.lit("k1"), F.slice("sig", i * r + 1, r)).alias("k1"),
@@ -104,12 +154,16 @@ def bucket_edges(keys: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """(scope..., id, band, dup_of): each document that shares a band bucket with a smaller id points at the
     bucket's smallest id (star edges: linear in the bucket size, never all pairs).
 
-    ``groupBy`` with partial aggregation finds each bucket's minimum; only buckets with two or more members are
-    joined back. A hot bucket (boilerplate shared by a third of the corpus) is pre-aggregated map-side, and the
-    join back is split by AQE's skew-join handling instead of landing in one task.
+    The keys are checkpointed, so signatures are computed once. A bucket is cut into ``SALTS`` parts by id: the
+    minimum of each part comes from a partial aggregation, the bucket's from its at most ``SALTS`` parts, and it is joined
+    back by (bucket, part). The bucket of a boilerplate page that a third of the corpus shares is thus never in one task,
+    whatever AQE does.
     """
+    checkpoint_dir(keys.sparkSession)
     k = list(scope) + ["band", "k1", "k2"]
-    mins = (keys.groupBy(*k).agg(F.min("id").alias("dup_of"), F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).drop("_n"))
-    return (keys.join(mins, k).where(F.col("id") != F.col("dup_of"))
+    keys = keys.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).checkpoint()
+    parts = keys.groupBy(*k, "_part").agg(F.min("id").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    mins = (parts.groupBy(*k).agg(F.min("_m").alias("dup_of"), F.sum("_n").alias("_all")).where(F.col("_all") > 1))
+    mins = parts.join(mins, k).select(*k, "_part", "dup_of")
+    return (keys.join(mins, [*k, "_part"]).where(F.col("id") != F.col("dup_of"))
             .select(*scope, "id", "band", "dup_of"))

@@ -45,8 +45,13 @@ def training_tier(quality: Column, toxic: Column) -> Column:
     return (F.when(quality == 0, F.lit(0.0)).when(toxic == 1, F.lit(1.0)).otherwise(F.lit(2.0)))
 
 
-def train_quality_model(labelled: DataFrame, *, text_col: str = "text", num_features: int = 1 << 18,
+def train_quality_model(labelled: DataFrame, *, text_col: str = "text", num_features: int = 1 << 16,
                         max_iter: int = 30, reg: float = 0.01):
+    """Fit the three-class model. Fit once and pass the model on: scoring is a plan of its own.
+
+    ``num_features`` bounds the coefficients and gradients that every iteration moves (3 x num_features doubles); the
+    gradients meet in a tree of depth 3.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF
@@ -54,16 +59,14 @@ def train_quality_model(labelled: DataFrame, *, text_col: str = "text", num_feat
                            training_tier(F.col("quality"), F.col("toxic")).alias("label"))
     pipe = Pipeline(stages=[HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
                             LogisticRegression(featuresCol="tf", labelCol="label", family="multinomial",
-                                               maxIter=max_iter, regParam=reg)])
+                                               maxIter=max_iter, regParam=reg, aggregationDepth=3)])
     return pipe.fit(data)
 
 
-def score_documents(model, df: DataFrame, *, text_col: str = "text", max_words: int | None = None) -> DataFrame:
-    """C1 + C2 + C3 with the built-in model. ``max_words`` truncates the model input (off by default)."""
+def score_documents(model, df: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """C1 + C2 + C3 with the built-in model, over whole texts."""
     from pyspark.ml.functions import vector_to_array
     words = norm_words(F.col(text_col))
-    if max_words:
-        words = F.slice(words, 1, max_words)
     out = model.transform(df.withColumn("words", words))
     prob = vector_to_array("probability")
     logits = vector_to_array("rawPrediction")

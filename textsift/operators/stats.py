@@ -72,10 +72,16 @@ def tokens_per_collection(docs: DataFrame, collection_col: str = "collection", t
 
 def with_grand_total(per_tier: DataFrame, key_cols: list[str], value_cols: list[str],
                      tiers: tuple[str, ...] = ("medium", "high"), total_label: str = "total") -> DataFrame:
-    """Key-wise sums over the selected tiers only, appended as tier ``total`` (grouping sets)."""
-    sel = per_tier.where(F.col("tier").isin(list(tiers)))
-    total = sel.groupBy(*key_cols).agg(*[F.sum(v).cast("bigint").alias(v) for v in value_cols])
-    return per_tier.unionByName(total.withColumn("tier", F.lit(total_label)))
+    """Key-wise sums over the selected tiers only, as tier ``total``. Each row counts for its tier and, if the tier is
+    selected, for the total: one pass over the input, not one branch for each."""
+    shares = F.array_compact(F.array(F.struct(F.col("tier").alias("t")), F.when(F.col("tier").isin(list(tiers)), F.struct(F.lit(total_label).alias("t")))))
+    rows = per_tier.select(F.explode(shares).alias("s"), *key_cols, *value_cols)
+    out = rows.groupBy(F.col("s.t").alias("tier"), *key_cols).agg(*[F.sum(v).cast("bigint").alias(v) for v in value_cols])
+    # without any selected tier there still is a total where there are no keys
+    if key_cols:
+        return out
+    zero = per_tier.sparkSession.range(1).select(F.lit(total_label).alias("tier"), *[F.lit(None).cast("bigint").alias(v) for v in value_cols])
+    return out.unionByName(zero).groupBy("tier").agg(*[F.sum(v).cast("bigint").alias(v) for v in value_cols])
 
 
 def reason_share(counts: DataFrame) -> DataFrame:
@@ -113,11 +119,13 @@ def top_n_with_others(counts: DataFrame, key_col: str, n_col: str = "n", top: in
     """
     head = (counts.orderBy(F.col(n_col).desc(), F.col(key_col).asc()).limit(top)
             .select(F.col(key_col).alias("_k"), F.lit(True).alias("_top")))
-    marked = counts.join(F.broadcast(head), counts[key_col] == head["_k"], "left")
-    key = F.when(F.col("_top"), F.col(key_col)).otherwise(F.lit(others))
-    zero = counts.sparkSession.range(1).select(F.lit(others).alias("key"), F.lit(0).cast("bigint").alias("n"))
-    rows = marked.select(key.alias("key"), F.col(n_col).cast("bigint").alias("n")).unionByName(zero)
-    return rows.groupBy("key").agg(F.sum("n").cast("bigint").alias("n"))
+    marked = counts.join(F.broadcast(head), counts[key_col].eqNullSafe(head["_k"]), "left")
+    rest = F.col("_top").isNull()
+    key = F.when(~rest, F.col(key_col)).otherwise(F.lit(others))
+    zero = counts.sparkSession.range(1).select(F.lit(True).alias("rest"), F.lit(others).alias("key"), F.lit(0).cast("bigint").alias("n"))
+    rows = marked.select(rest.alias("rest"), key.alias("key"), F.col(n_col).cast("bigint").alias("n")).unionByName(zero)
+    # a null key, or one named like the rest, stays a row of its own
+    return rows.groupBy("rest", "key").agg(F.sum("n").cast("bigint").alias("n")).select("key", "n")
 
 
 def top_k(counts: DataFrame, key_col: str, n_col: str = "n", k: int = 50) -> DataFrame:

@@ -25,6 +25,7 @@ STEP_LINE_QUALITY = "3_fineweb_qual"
 STEP_DOC_QUALITY = "4_gopher_qual"
 
 
+# The reference's step names (above) and thresholds (below).
 @dataclass(frozen=True)
 class FilterParams:
     """Thresholds; defaults are the reference's call-site values (None disables a rule)."""
@@ -175,8 +176,10 @@ def label(df: DataFrame, params: FilterParams = FilterParams(), *, text_col: str
     body = (rules if rules is not None else default_rules(params)) + list(extra_rules)
     chain += body
 
-    # The n-gram UDF only runs for documents that pass every rule before the first n-gram rule.
-    first_ng = next((i for i, (_s, r, _p) in enumerate(chain) if "gram" in r), None)
+    # The n-gram UDF only runs for documents that pass every rule before the first one that reads n-gram metrics;
+    # which rules do, and which metrics, is found by evaluating them on a stand-in, not from their names.
+    fields = [R.ngram_fields(pred) for _s, _r, pred in chain]
+    first_ng = next((i for i, f in enumerate(fields) if f), None)
 
     def need(c: R.Ctx) -> Column:
         cond = F.lit(True)
@@ -184,7 +187,7 @@ def label(df: DataFrame, params: FilterParams = FilterParams(), *, text_col: str
             cond = cond & ~F.coalesce(pred(c), F.lit(False))
         return cond
 
-    bound, ctx = R.bind(out, text_col, ngram_engine, need if first_ng is not None else None)
+    bound, ctx = R.bind(out, text_col, ngram_engine, need if first_ng is not None else None, tuple(sorted(set().union(*fields))))
     step = reason = None
     for st, rs, pred in chain:
         cond = pred(ctx)

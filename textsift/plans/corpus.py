@@ -42,8 +42,7 @@ def curate(docs: DataFrame, quality_model, *, params: WF.FilterParams = WF.Filte
     spark = docs.sparkSession
     checkpoint_dir(spark)
     if language_model is not None:
-        langs = LG.detect(language_model, docs, id_col=id_col)
-        docs = docs.join(langs, id_col)
+        docs = LG.with_language(language_model, docs)
     labelled = WF.label(docs, params).checkpoint()
     kept, _removed = WF.split(labelled)
     formatted = WF.format_survivors(kept)

@@ -214,7 +214,7 @@ def minhash_ctes(src: str, cfg, scope: tuple[str, ...] = ()) -> str:
     return f"""
 mh_w AS (SELECT {sc}id, regexp_extract_all(lower(text), {lit(NORM)}) AS w FROM {src}),
 mh_sh AS (
-  SELECT DISTINCT id, array_to_string(w, ' ') AS s FROM mh_w WHERE len(w) < {n}
+  SELECT DISTINCT id, array_to_string(w, ' ') AS s FROM mh_w WHERE len(w) < {n} AND len(w) > 0
   UNION
   SELECT DISTINCT id, array_to_string(list_slice(w, r.i, r.i + {n - 1}), ' ') AS s
   FROM mh_w, range(1, len(w) - {n} + 2) r(i) WHERE len(w) >= {n}),

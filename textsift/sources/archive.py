@@ -2,18 +2,21 @@
 
 Files are the unit of parallelism (a gzip stream cannot be split): the file listing is a DataFrame
 (``binaryFile`` with the content column pruned, so nothing is loaded by Spark), and ``mapInPandas`` streams each
-file from its filesystem (pyarrow, works for local, HDFS and object stores) through the stdlib gzip decoder,
+file from its filesystem (pyarrow: local, HDFS, S3 including ``s3a://``) through the stdlib gzip decoder,
 record by record; memory holds one record at a time. A file that fails yields an ``error`` row and the task goes
-on (S7). ``limit`` caps records per file, as the reference's per-task limit.
+on (S7).
 """
 
 from __future__ import annotations
 
 import gzip
 import io
+import re
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 ARCHIVE_SCHEMA = Ty.StructType([
@@ -32,28 +35,60 @@ def _open(path: str):
         path = path[5:]
         while path.startswith("//"):
             path = path[1:]
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):  # Hadoop's names of the scheme
+        if path.startswith(hadoop):
+            path = arrow + path[len(hadoop):]
     filesystem, p = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
     return filesystem.open_input_stream(p, compression=None)  # gzip is decoded below, member by member
 
 
-def _http_body(block: bytes) -> tuple[str | None, bytes]:
-    """Split an HTTP response into (content type, body)."""
-    head, _, body = block.partition(b"\r\n\r\n")
-    if not _:
+def _http_body(block: bytes) -> tuple[str | None, bytes, str | None]:
+    """Split an HTTP response into (content type, body, charset); transfer and content encodings are undone."""
+    head, gap, body = block.partition(b"\r\n\r\n")
+    if not gap:
         head, _, body = block.partition(b"\n\n")
-    mime = None
+    fields = {}
     for line in head.split(b"\n")[1:]:
         k, _, v = line.partition(b":")
-        if k.strip().lower() == b"content-type":
-            mime = v.strip().split(b";")[0].decode("latin-1").lower()
-    return mime, body
+        fields[k.strip().lower()] = v.strip().decode("latin-1")
+    kind, _, rest = fields.get(b"content-type", "").partition(";")
+    charset = re.search(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", rest)
+    if "chunked" in fields.get(b"transfer-encoding", "").lower():
+        body = _unchunk(body)
+    coding = fields.get(b"content-encoding", "").lower()
+    try:
+        if coding in ("gzip", "x-gzip"):
+            body = gzip.decompress(body)
+        elif coding == "deflate":
+            body = zlib.decompress(body)
+    except (OSError, EOFError, zlib.error):
+        pass  # some archives store the body decoded but keep the header
+    return kind.strip().lower() or None, body, charset[1] if charset else None
 
 
-def _decode(body: bytes) -> str:
-    try:
-        return body.decode("utf-8")
-    except UnicodeDecodeError:
-        return body.decode("latin-1")
+def _unchunk(body: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]+", size):
+            return body if not out else b"".join(out)  # not chunked after all, or cut short
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(out)
+        out.append(body[end + 2:end + 2 + n])
+        at = end + 2 + n + 2
+
+
+def _decode(body: bytes, charset: str | None = None) -> str:
+    """The declared charset if it fits, else UTF-8, else Latin-1."""
+    for name in (charset, "utf-8"):
+        try:
+            if name:
+                return body.decode(name)
+        except (UnicodeDecodeError, LookupError):
+            pass
+    return body.decode("latin-1")
 
 
 def iter_warc(stream):
@@ -73,9 +108,9 @@ def iter_warc(stream):
             headers[k.strip().lower()] = v.strip()
         block = stream.read(int(headers.get("content-length", "0")))
         if headers.get("warc-type") == "response":
-            mime, body = _http_body(block)
+            mime, body, charset = _http_body(block)
             ts = headers.get("warc-date", "").replace("-", "").replace(":", "").replace("T", "").rstrip("Z")
-            yield headers.get("warc-target-uri"), ts, mime, _decode(body)
+            yield headers.get("warc-target-uri"), ts, mime, _decode(body, charset)
 
 
 def iter_arc(stream):
@@ -91,25 +126,21 @@ def iter_arc(stream):
         url = parts[0].decode("utf-8", "replace")
         if url.startswith("filedesc:"):
             continue
-        mime, body = _http_body(block)
-        yield url, parts[2].decode(), mime or parts[3].decode().lower(), _decode(body)
+        mime, body, charset = _http_body(block)
+        yield url, parts[2].decode(), mime or parts[3].decode().lower(), _decode(body, charset)
 
 
-def _records(path: str, limit: int | None):
+def _records(path: str):
     with _open(path) as raw, gzip.GzipFile(fileobj=raw) as gz:
         stream = io.BufferedReader(gz)
         first = stream.peek(5)[:5]
         it = iter_warc(stream) if first.startswith(b"WARC") else iter_arc(stream)
-        for i, rec in enumerate(it):
-            if limit is not None and i >= limit:
-                return
-            yield rec
+        yield from it
 
 
-def read_archive(spark: SparkSession, path: str, glob: str = "*/*.arc.gz", limit: int | None = None,
-                 html_only: bool = True) -> DataFrame:
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob.split("/")[-1])
-             .option("recursiveFileLookup", "true").load(path).select("path"))
+def read_archive(spark: SparkSession, path: str, glob: str = "*/*.arc.gz", html_only: bool = True) -> DataFrame:
+    """Records of the archives that match ``glob`` below ``path`` (each part of the glob is one level)."""
+    files = spark.read.format("binaryFile").load(f"{path.rstrip('/')}/{glob}").select("path")
     files = files.repartition(max(1, spark.sparkContext.defaultParallelism))
 
     def run(batches):
@@ -117,7 +148,7 @@ def read_archive(spark: SparkSession, path: str, glob: str = "*/*.arc.gz", limit
             for p in pdf["path"]:
                 rows = []
                 try:
-                    for url, ts, mime, html in _records(p, limit):
+                    for url, ts, mime, html in _records(p):
                         if not html_only or (mime or "").startswith("text/html"):
                             rows.append((p, url, ts, mime, html, None))
                         if len(rows) >= 256:  # bounded memory: emit in small Arrow batches
@@ -129,3 +160,11 @@ def read_archive(spark: SparkSession, path: str, glob: str = "*/*.arc.gz", limit
                     yield pd.DataFrame(rows, columns=ARCHIVE_SCHEMA.fieldNames())
 
     return files.mapInPandas(run, ARCHIVE_SCHEMA)
+
+
+def require_some_success(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``read_archive``, unless every file failed: then an error that names the first one."""
+    seen = rows.agg(F.count("url").alias("good"), F.min("error").alias("error")).first()
+    if seen["error"] is not None and not seen["good"]:
+        raise RuntimeError(f"no archive could be read; the first error: {seen['error']}")
+    return rows

@@ -2,9 +2,9 @@
 
 The reference skips inputs whose output already exists. Here a file-source Structured Streaming query with
 ``trigger(availableNow=True)`` processes every file not yet recorded in its checkpoint, then stops; rerunning it
-later picks up only files that arrived since. The checkpoint lives under the shared ``spark.checkpoint.dir``
-(reliable storage), so a restarted job resumes where it stopped. Each micro-batch goes through the same waterfall
-and is written with ``foreachBatch`` (kept documents and removed-by-step), exactly once per batch id.
+later picks up only files that arrived since. The caller names the checkpoint folder, which must be the same in every run and on
+shared storage, so a later or restarted job resumes where the last one stopped. Each micro-batch goes through the same
+waterfall and replaces the folder ``batch_id=<n>``: a batch that is replayed after a failure overwrites what it had written.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsift.operators import waterfall as WF
-from textsift.session import checkpoint_dir
 from textsift.sources.readers import DOCUMENT_SCHEMA
 
 
@@ -28,9 +27,8 @@ def read_documents_stream(spark: SparkSession, path: str, glob: str = "*.jsonl.g
     return r.json(path)
 
 
-def incremental_filter(spark: SparkSession, input_path: str, output_path: str, *, name: str = "filter",
-                       params: WF.FilterParams = WF.FilterParams(), glob: str = "*.jsonl.gz",
-                       checkpoint: str | None = None):
+def incremental_filter(spark: SparkSession, input_path: str, output_path: str, *, checkpoint: str,
+                       params: WF.FilterParams = WF.FilterParams(), glob: str = "*.jsonl.gz"):
     """Run the waterfall over files not processed before; returns the finished ``StreamingQuery``.
 
     Input records carry ``metadata.language``/``metadata.language_score`` from the language step.
@@ -42,11 +40,10 @@ def incremental_filter(spark: SparkSession, input_path: str, output_path: str, *
     labelled = WF.label(flat, params)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("batch_id", F.lit(batch_id))
-        batch.write.mode("append").partitionBy("filter_step").parquet(posixpath.join(output_path, "labelled"))
+        folder = posixpath.join(output_path, "labelled", f"batch_id={batch_id}")
+        batch.write.mode("overwrite").partitionBy("filter_step").parquet(folder)
 
-    ck = checkpoint or posixpath.join(checkpoint_dir(spark), "streams", name)
-    q = (labelled.writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+    q = (labelled.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
