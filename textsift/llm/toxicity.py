@@ -8,7 +8,8 @@ Features are the distinct words of a text (lower case, without the marks around
 (``PREFIXES``), present or not. A model keeps the ``features`` that tell its category apart best on its training rows.
 
 Scale: the models are fitted on at most ``sample_rows`` labelled rows (a parameter; rows in the order of a hash of
-their id), whose features alone reach the driver. Every document is scored whole in one narrow pass; the models
+their id). Spark counts their features and picks those that differ between the categories' values; the rows' picked features,
+some dozens each, reach the driver. Every document is scored whole in one narrow pass; the models
 travel with the tasks and have at most ``features`` weights for each category.
 
 Defined cases: a null or empty text has no features and gets the probabilities of the intercepts. Labels that are null
@@ -27,6 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textsift.llm.common import saved
+
 PREFIXES = (4, 5, 6)
 EDGE = re.compile(r"^\W+|\W+$")
 WORDS_KEPT = 1 << 20
@@ -170,6 +173,19 @@ def fit_chain(rows: Rows, labels: np.ndarray, folds: np.ndarray, most: int) -> t
 
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
+def selected(sample: DataFrame, names: list[str], most: int, least: int = 3) -> set[int]:
+    """At most ``most`` features of the sample that tell some category apart: a first choice, made by Spark; every model
+    then chooses among them from its own training rows."""
+    shares = sample.agg(*[F.avg(n).alias(n) for n in names]).first()
+    sums = [x for n in names for x in (F.sum(n).alias(f"p_{n}"), F.count(n).alias(f"m_{n}"))]
+    counts = sample.select(*names, F.explode("f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= least)
+    scores = [F.abs(F.coalesce(f"p_{n}", F.lit(0)) - F.col(f"m_{n}") * s) / F.sqrt(F.col(f"m_{n}") * (s * (1 - s)) + 1e-9) for n, s in zip(names, shares, strict=True) if s is not None]
+    if not scores:
+        return set()
+    score = F.greatest(*scores, F.lit(0.0)).alias("score")
+    return {r["f"] for r in counts.select("f", score).where("score > 1").orderBy(F.desc("score"), "f").limit(most).collect()}
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text",
           sample_rows: int = 20_000, features: int = 3_000, folds: int = 4) -> list[dict]:
     """The chain's models. ``categories``: name -> 0/1 column of ``labels``, in the chain's order."""
@@ -188,7 +204,14 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.list_(pa.int64()))], ["h", *names, "f"])
     schema = "h bigint, " + ", ".join(f"{n} int" for n in names) + ", f array<bigint>"
     # repeated documents of one id would exceed the bound: the sample is cut again
-    sample = own.mapInArrow(run, schema).orderBy("h", F.hash("f")).limit(sample_rows).toArrow()
+    sample = saved(own.mapInArrow(run, schema).orderBy("h", F.hash("f")).limit(sample_rows), "sample")
+    kept = selected(sample, names, 4 * features)
+
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [[f for f in row if f in kept] for row in b.column(len(names) + 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.list_(pa.int64()))], ["h", *names, "f"])
+    sample = sample.mapInArrow(only, schema).toArrow()
     rows = Rows([np.asarray(x.values, np.int64) for x in sample.column("f")])
     y = np.column_stack([sample.column(n).to_numpy(zero_copy_only=False).astype(float) for n in names]) if sample.num_rows else np.zeros((0, len(names)))
     h = sample.column("h").to_numpy() if sample.num_rows else np.zeros(0, np.int64)
