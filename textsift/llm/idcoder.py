@@ -15,7 +15,7 @@ import zlib
 
 import numpy as np
 
-SLOTS = 12  # log2 of the order-2 table's slots of a block
+SLOTS = 11  # log2 of the order-2 table's slots of a block
 ONE = 1 << 12  # probabilities are 12-bit
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 U12, U16, U48 = np.uint64(12), np.uint64(16), np.uint64(48)
@@ -107,11 +107,12 @@ def alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
     """(alphabet, code) of each block of uint32 ids; block lengths differ by one at most, longer blocks first."""
-    known, symbols = zip(*map(alphabet, blocks), strict=True)
     n, steps, full = len(blocks), len(blocks[0]), len(blocks[-1])
     last = sum(len(b) == steps for b in blocks)
-    s_all = np.zeros((steps, n), np.int64)
-    for i, s in enumerate(symbols):
+    known, s_all = [], np.zeros((steps, n), np.int32)
+    for i, b in enumerate(blocks):
+        distinct, s = alphabet(b)
+        known.append(distinct)
         s_all[:len(s), i] = s + 1
     lanes = Lanes(np.array([len(k) for k in known]))
     low, span = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
@@ -121,7 +122,7 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         if t == full and last < n:
             lanes.narrow(last)
             low_rest, low, span = low[last:], low[:last].copy(), span[:last].copy()
-        s = s_all[t, :len(low)]
+        s = s_all[t, :len(low)].astype(np.int64)
         lanes.predict()
         hit2 = s == lanes.c2
         hit1 = ~hit2 & (s == lanes.c1)
@@ -157,17 +158,17 @@ def decode(coded: list[tuple[bytes, bytes]], lengths: list[int]) -> list[np.ndar
     n, steps, full = len(coded), lengths[0], lengths[-1]
     last = sum(x == steps for x in lengths)
     width = max(len(c) for _, c in coded) // 2 + 8
-    words = np.zeros(n * width, np.uint64)
+    words = np.zeros(n * width, np.uint16)
     for i, (_, c) in enumerate(coded):
         words[i * width:i * width + len(c) // 2] = np.frombuffer(c, "<u2")
     nxt = np.arange(n) * width
     code = np.zeros(n, np.uint64)
     for _ in range(4):
-        code = code << U16 | words[nxt]
+        code = code << U16 | words[nxt].astype(np.uint64)
         nxt += 1
     lanes = Lanes(np.array([len(k) for k in known]))
     low, span = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
-    out = np.zeros((steps, n), np.int64)
+    out = np.zeros((steps, n), np.int32)
     for t in range(steps):
         if t == full and last < n:
             lanes.narrow(last)
@@ -193,7 +194,7 @@ def decode(coded: list[tuple[bytes, bytes]], lengths: list[int]) -> list[np.ndar
         low[i] += r * before.astype(np.uint64)
         span[i] = r * (lanes.flat_cum[base + a + 1] - before).astype(np.uint64)
         while len(m := shift_out(low, span)):
-            code[m] = code[m] << U16 | words[nxt[m]]
+            code[m] = code[m] << U16 | words[nxt[m]].astype(np.uint64)
             nxt[m] += 1
             low[m] <<= U16
             span[m] <<= U16

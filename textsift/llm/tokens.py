@@ -39,7 +39,7 @@ from textsift.llm.common import saved, scratch
 
 MAGIC = b"TSID"
 HEAD = struct.Struct("<4scII")
-WORDS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 18
 
 
 class WordIds(dict):
@@ -126,7 +126,7 @@ def read_groups(data: bytes) -> Iterator[tuple[int, int, list[int | None], list[
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                 block_ids: int = 8192, file_bytes: int = 24 << 20, group_ids: int = 12_000_000) -> None:
+                 block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 4_000_000) -> None:
     """Tokenise ``docs`` and write them below ``path`` in ascending order of id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, words, held, size = TaskContext.get().partitionId(), 0, WordIds(tokenizer), ([], []), 0
