@@ -9,8 +9,8 @@ documents and nothing leaves the executor. The Catalyst forms stay in ``rules.py
 from __future__ import annotations
 
 import re
-from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,64 +29,45 @@ def sizes(fields: tuple[str, ...], kind: str) -> tuple[int, ...]:
     return tuple(sorted(int(m[2]) for m in map(_FIELD.fullmatch, fields) if m[1] == kind))
 
 
-def top_chars(words: list[str], n: int) -> int:
-    """count * length of the most frequent n-gram (ties: the longer one); 0 when there is none."""
-    if len(words) < n:
-        return 0
-    counts = Counter(zip(*(words[i:] for i in range(n))))
-    best_c = max(counts.values())
-    best_l = max(sum(map(len, g)) for g, c in counts.items() if c == best_c) + n - 1
-    return best_c * best_l
-
-
-def dup_chars(words: list[str], n: int) -> int:
-    """Characters of words covered by second-and-later occurrences of an n-gram, each word once."""
-    return dup_chars_all(words, (n,))[0]
-
-
-def dup_chars_all(words: list[str], ns: tuple[int, ...] = DUP_NS) -> tuple[int, ...]:
-    """``dup_chars`` for several sizes in one pass.
+def metrics(text: str, tops: tuple[int, ...] = TOP_NS, dups: tuple[int, ...] = DUP_NS) -> tuple[int, ...]:
+    """``top`` (count * length of the most frequent n-gram, ties: the longer one; 0 when there is none) for each size in
+    ``tops``, then ``dup`` (characters of words covered by second-and-later occurrences, each word once) for ``dups``.
 
-    An n-gram can only repeat where its shortest-size prefix repeats, so positions are grouped by that prefix once
-    and the longer n-grams are compared only inside groups with two or more positions (exact, no hashing).
+    N-grams are numbered from the numbers of the n-grams one word shorter, so equal numbers mean equal n-grams
+    (exact, no hashing), and each size costs one sort of whole numbers. From the size on at which no n-gram
+    repeats, none needs numbering.
     """
+    words = _WORD.findall(text)
     k = len(words)
-    n0 = min(ns)
-    if k <= n0:
-        return (0,) * len(ns)
-    groups: dict = {}
-    for i, g in enumerate(zip(*(words[j:] for j in range(n0)))):
-        groups.setdefault(g, []).append(i)
-    rep = [pos for pos in groups.values() if len(pos) > 1]
-    if not rep:
-        return (0,) * len(ns)
-    lens = [len(w) for w in words]
-    out = []
-    for n in ns:
-        covered = bytearray(k)
-        for pos in rep:  # positions ascending
-            if n == n0:
-                starts = pos[1:]
+    number: dict[str, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, k)
+    lens = np.fromiter(map(len, words), np.int64, k)
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    got: dict[tuple[str, int], int] = {}
+    grams, repeats = ids, len(number) < k
+    for n in range(1, min(max((0, *tops, *dups)), k) + 1):
+        m = k - n + 1
+        if n > 1 and repeats:
+            values, first, grams = np.unique(grams[:m] * max(1, len(number)) + ids[n - 1:], return_index=True, return_inverse=True)
+            repeats = len(values) < m
+        elif repeats and n in dups:
+            first = np.unique(grams, return_index=True)[1]
+        if n in tops:
+            chars = ends[n:] - ends[:m] + n - 1
+            if repeats:
+                count = np.bincount(grams)
+                got["top", n] = int(count.max() * chars[count[grams] == count.max()].max())
             else:
-                seen: set = set()
-                starts = []
-                for i in pos:
-                    if i + n > k:
-                        break
-                    g = tuple(words[i:i + n])
-                    if g in seen:
-                        starts.append(i)
-                    else:
-                        seen.add(g)
-            for i in starts:
-                covered[i:i + n] = b"\x01" * n
-        out.append(sum(l for l, c in zip(lens, covered) if c))
-    return tuple(out)
-
-
-def metrics(text: str, tops: tuple[int, ...] = TOP_NS, dups: tuple[int, ...] = DUP_NS) -> tuple[int, ...]:
-    words = _WORD.findall(text)
-    return tuple(top_chars(words, n) for n in tops) + (dup_chars_all(words, dups) if dups else ())
+                got["top", n] = int(chars.max())
+        if n in dups and repeats:
+            later = np.ones(m, dtype=bool)
+            later[first] = False
+            at = np.flatnonzero(later)
+            cover = np.zeros(k + 1, dtype=np.int64)
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + n, -1)
+            got["dup", n] = int(lens[np.cumsum(cover[:k]) > 0].sum())
+    return tuple(got.get(("top", n), 0) for n in tops) + tuple(got.get(("dup", n), 0) for n in dups)
 
 
 def ngram_metrics(text: Column, need: Column | None = None, fields: tuple[str, ...] = FIELDS) -> Column:
