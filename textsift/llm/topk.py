@@ -4,7 +4,7 @@ Every component x becomes floor(scale * x); the score is the inner product of th
 blocks; a cell is one query block against one part of the shards, and its tiles are plain matrix products. Each tile
 selects its k best by (score descending, id ascending), a cell keeps one list per query, and the lists of the cells
 are merged in rounds of ``FAN_IN`` until one is left. No row is skipped and no group grows with the data: a cell holds
-at most ``query_block`` queries and ``part_rows`` candidates.
+at most about ``query_block`` queries and ``part_rows`` candidates, and ``CELL_NUMBERS`` components of either.
 
 Defined cases: a vector that is null, or has a null, NaN or infinite component, takes no part, nor does a row without
 id. Of rows that share an id, the one with the smallest vector (arrays compared element by element) stands for all.
@@ -27,6 +27,7 @@ from textsift.llm.common import saved, shuffle_partitions
 
 FAN_IN = 8
 TILE_QUERIES, TILE_ROWS = 256, 4096
+CELL_NUMBERS = 1 << 22
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -116,7 +117,9 @@ def top_k(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     rows = saved(rows.select("vec_id", F.transform("v", whole).alias("v"), F.size("v").alias("dim")), "vectors")
 
     sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("vec_id") % query_every == 0).cast("int")).alias("q"))
-    n, q = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("q"), F.lit(0))).first()
+    n, q, dim = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("q"), F.lit(0)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    # a cell holds its block and its part in memory: fewer rows of long vectors
+    part_rows, query_block = (max(1, min(m, CELL_NUMBERS // max(1, dim))) for m in (part_rows, query_block))
     parts = max(1, math.ceil(n / part_rows), min(math.ceil(n / 2048), 2 * shuffle_partitions(spark)))
     blocks = max(1, math.ceil(q / query_block))
 
