@@ -18,6 +18,7 @@ from textsift.operators import scoring as SC
 from textsift.operators import stats as A
 from textsift.operators import waterfall as WF
 from textsift.plans import catalog as C
+from textsift.plans import corpus as CP
 from textsift.plans import oracle as O
 from textsift.session import scratch_path
 from textsift.sinks import writers as K
@@ -202,6 +203,16 @@ def q_archive_pages(spark, sf_dir):
     return rows.where(F.col("error").isNull()).select(F.element_at(F.split("file_path", "/"), -2).alias("kind"), "url", "timestamp", "html")
 
 
+@register("page_documents", f"""SELECT e.text, e.title, e.url, CAST(20080101000000 + e.page_id AS VARCHAR) AS date, 'pages' AS file_path
+FROM ({C._extract_sql()}) e WHERE NOT (contains(url, '/pt-es') OR contains(url, '/pt_es/') OR contains(url, '.com/es') OR contains(url, '.es') OR contains(url, '/es/'))""")
+def q_page_documents(spark, sf_dir):
+    """F4 -> X1 -> F6 -> X2: the archive route from pages to assembled documents."""
+    pages = table(spark, sf_dir, "pages", cpu_heavy=True)
+    pages = pages.withColumn("date", (F.lit(20080101000000) + F.col("page_id")).cast("string")).withColumn("file", F.lit("pages"))
+    out = CP.pages_to_documents(pages, variant="es", date_col="date", file_col="file")
+    return out.select("document.text", "document.title", "document.metadata.url", "document.metadata.date", "document.metadata.file_path")
+
+
 # --- S5/A4/A17: rejects count as entries; accounting ------------------------------------------------------------------------
 
 @register("totals_with_rejects", """

@@ -23,12 +23,15 @@ from textsift.session import checkpoint_dir
 
 
 def pages_to_documents(pages: DataFrame, *, id_col: str = "page_id", variant: str | None = "br",
-                       lang_tok: str = "pt", date_col: str | None = None) -> DataFrame:
-    """Archive route: URL filter (F4) before the costly extraction (X1), then non-empty text (F6) and X2 fields."""
+                       lang_tok: str = "pt", date_col: str | None = None, file_col: str | None = None) -> DataFrame:
+    """Archive route: URL filter (F4) before the costly extraction (X1), then non-empty text (F6) and the assembled
+    ``document`` (X2: text, title, metadata with url, date and file path)."""
     p = pages.where(U.not_foreign_variant(F.col("url"), variant, lang_tok)) if variant else pages
-    keep = [id_col, "url"] + ([date_col] if date_col else [])
+    keep = [id_col, "url"] + [c for c in (date_col, file_col) if c]
     docs = T.materialize(p, keep, title=X.extract_title(F.col("html")), text=X.extract_text(F.col("html")))
-    return docs.where(F.col("text") != "").withColumn("title", F.when(F.col("title") != "", F.col("title")))
+    docs = docs.where(F.col("text") != "").withColumn("title", F.when(F.col("title") != "", F.col("title")))
+    of = lambda c: F.col(c) if c else F.lit(None).cast("string")
+    return docs.withColumn("document", X.to_document(F.col("text"), F.col("title"), F.col("url"), of(date_col), of(file_col)))
 
 
 def curate(docs: DataFrame, quality_model, *, params: WF.FilterParams = WF.FilterParams(),
