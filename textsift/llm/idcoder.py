@@ -19,6 +19,7 @@ SLOTS = 11  # log2 of the order-2 table's slots of a block
 ONE = 1 << 12  # probabilities are 12-bit
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 U12, U16, U48 = np.uint64(12), np.uint64(16), np.uint64(48)
+LONGEST = 8191  # ids in a block: tables of 16 bits hold position << 2 | confidence and sums of counts
 GAIN = 2  # what an occurrence adds to an order-0 count; a symbol of the alphabet starts with 1
 
 
@@ -28,12 +29,12 @@ class Lanes:
     def __init__(self, sizes: np.ndarray):
         n, width = len(sizes), int(sizes.max())
         lane = np.arange(n)
-        self.t2, self.t1 = np.zeros(n << SLOTS, np.int32), np.zeros(n * (width + 1), np.int32)
+        self.t2, self.t1 = np.zeros(n << SLOTS, np.int16), np.zeros(n * (width + 1), np.int16)
         self.p2, self.p1 = np.full(n * 16, ONE // 4, np.int32), np.full(n * 16, ONE // 4, np.int32)
         self.base2, self.base1, self.base16 = lane << SLOTS, lane * (width + 1), lane * 16
-        self.counts = (np.arange(width) < sizes[:, None]).astype(np.int32)
+        self.counts = (np.arange(width) < sizes[:, None]).astype(np.int16)
         self.flat, self.base = self.counts.reshape(-1), lane * width - 1
-        self.cum = np.zeros((n, width + 1), np.int32)
+        self.cum = np.zeros((n, width + 1), np.int16)
         self.flat_cum = self.cum.reshape(-1)
         self.s1, self.s2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.refresh()
@@ -68,12 +69,13 @@ class Lanes:
         self.c1 = np.where(same, 0, self.c1)
 
     def learn(self, s: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        short = s.astype(np.int16)
         self.p2[self.ctx] = np.where(hit2, self.q2 + ((ONE - self.q2) >> 5), self.q2 - (self.q2 >> 5))
         self.p1[self.ctx] = np.where(hit2, self.q1, np.where(hit1, self.q1 + ((ONE - self.q1) >> 5), self.q1 - (self.q1 >> 5)))
-        new = (s << 2 | 1).astype(np.int32)
+        new = short << 2 | 1
         for table, at, entry in ((self.t2, self.h2, self.e2), (self.t1, self.h1, self.e1)):
             sure = entry & 3
-            table[at] = np.where(entry >> 2 == s, entry + (sure < 3), np.where(sure > 1, entry - 1, new))
+            table[at] = np.where(entry >> 2 == short, entry + (sure < 3), np.where(sure > 1, entry - 1, new))
         self.flat[self.base + s] += GAIN
         self.s2, self.s1 = self.s1, s
 
@@ -109,6 +111,8 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
     """(alphabet, code) of each block of uint32 ids; block lengths differ by one at most, longer blocks first."""
     n, steps, full = len(blocks), len(blocks[0]), len(blocks[-1])
     last = sum(len(b) == steps for b in blocks)
+    if steps > LONGEST:
+        raise ValueError(f"a block has at most {LONGEST} ids")
     known, s_all = [], np.zeros((steps, n), np.int32)
     for i, b in enumerate(blocks):
         distinct, s = alphabet(b)
@@ -134,10 +138,10 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
         span = r * size.astype(np.uint64)
         i = np.nonzero(miss)[0]
         at = lanes.base1[i] + s[i]
-        before = lanes.flat_cum[at - 1]
+        before = lanes.flat_cum[at - 1].astype(np.uint64)
         r = span[i] // lanes.total[i]
-        low[i] += r * before.astype(np.uint64)
-        span[i] = r * (lanes.flat_cum[at] - before).astype(np.uint64)
+        low[i] += r * before
+        span[i] = r * (lanes.flat_cum[at].astype(np.uint64) - before)
         while len(m := shift_out(low, span)):
             flat[flat_at[m] + pos[m]] = low[m] >> U48
             pos[m] += 1
@@ -190,9 +194,9 @@ def decode(coded: list[tuple[bytes, bytes]], lengths: list[int]) -> list[np.ndar
         v = np.minimum((code[i] - low[i]) // r, lanes.total[i] - np.uint64(1)).astype(np.int64)
         base, a = lanes.base1[i], lanes.find(i, v)
         s[i] = a + 1
-        before = lanes.flat_cum[base + a]
-        low[i] += r * before.astype(np.uint64)
-        span[i] = r * (lanes.flat_cum[base + a + 1] - before).astype(np.uint64)
+        before = lanes.flat_cum[base + a].astype(np.uint64)
+        low[i] += r * before
+        span[i] = r * (lanes.flat_cum[base + a + 1].astype(np.uint64) - before)
         while len(m := shift_out(low, span)):
             code[m] = code[m] << U16 | words[nxt[m]].astype(np.uint64)
             nxt[m] += 1
