@@ -203,8 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             got = [sorted(known.of_text(t)) for t in b.column(len(names) + 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.list_(pa.int64()))], ["h", *names, "f"])
     schema = "h bigint, " + ", ".join(f"{n} int" for n in names) + ", f array<bigint>"
-    # repeated documents of one id would exceed the bound: the sample is cut again
-    sample = saved(own.mapInArrow(run, schema).orderBy("h", F.hash("f")).limit(sample_rows), "sample")
+    sample = saved(own.mapInArrow(run, schema), "sample")
+    if sample.count() > sample_rows:  # documents that repeat an id exceed the bound: the sample is cut again
+        sample = saved(sample.orderBy("h", F.hash("f")).limit(sample_rows), "sample")
     kept = selected(sample, names, 4 * features)
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
