@@ -9,7 +9,7 @@ Features are the distinct words of a text (lower case, without the marks around
 
 Scale: the models are fitted on at most ``sample_rows`` labelled rows (a parameter; rows in the order of a hash of
 their id). Spark counts their features and picks those that differ between the categories' values; the rows' picked features,
-some dozens each, reach the driver. Every document is scored whole in one narrow pass; the models
+about a hundred each, reach the driver. Every document is scored whole in one narrow pass; the models
 travel with the tasks and have at most ``features`` weights for each category.
 
 Defined cases: a null or empty text has no features and gets the probabilities of the intercepts. Labels that are null
@@ -32,7 +32,7 @@ from textsift.llm.common import saved
 
 PREFIXES = (4, 5, 6)
 EDGE = re.compile(r"^\W+|\W+$")
-WORDS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 18
 
 
 def features_of(word: str) -> list[int]:
@@ -61,29 +61,34 @@ class Features(dict):
 
 
 class Rows:
-    """Sparse 0/1 rows: feature numbers of each row, one after another."""
+    """Sparse 0/1 rows: feature numbers (0 ... width - 1) of each row, one after another."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], width: int | None = None):
         self.n = len(sets)
         self.col = np.concatenate(sets) if sets else np.zeros(0, np.int64)
         self.row = np.repeat(np.arange(self.n), [len(s) for s in sets])
+        self.width = int(self.col.max(initial=-1)) + 1 if width is None else width
 
-    def select(self, rows: np.ndarray, known: np.ndarray) -> Rows:
-        """The given rows, with features numbered by their place in ``known`` (ascending)."""
+    def select(self, rows: np.ndarray, known: np.ndarray | None = None) -> Rows:
+        """The given rows; with ``known``, only these features, numbered by their place in it."""
         place = np.full(self.n, -1)
         place[rows] = np.arange(len(rows))
-        at = np.searchsorted(known, self.col)
-        ok = (place[self.row] >= 0) & (at < len(known))
-        ok[ok] = known[at[ok]] == self.col[ok]
-        out = Rows([])
-        out.n, out.col, out.row = len(rows), at[ok], place[self.row[ok]]
+        ok = place[self.row] >= 0
+        col, row = self.col[ok], place[self.row[ok]]
+        out = Rows([], self.width)
+        if known is not None:
+            number = np.full(self.width, -1)
+            number[known] = np.arange(len(known))
+            ok = number[col] >= 0
+            col, row, out.width = number[col[ok]], row[ok], len(known)
+        out.n, out.col, out.row = len(rows), col, row
         return out
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col], self.n)
 
-    def turned(self, r: np.ndarray, k: int) -> np.ndarray:
-        return np.bincount(self.col, r[self.row], k)
+    def turned(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, r[self.row], self.width)
 
 
 def sigmoid(z):
@@ -122,14 +127,13 @@ def minimise(f, x: np.ndarray, rounds: int = 60, memory: int = 8) -> np.ndarray:
 
 def best_features(rows: Rows, y: np.ndarray, most: int, least: int = 3) -> np.ndarray:
     """The features whose shares among 1s and 0s differ most, in standard errors; ascending."""
-    known, at = np.unique(rows.col, return_inverse=True)
-    pos = np.bincount(at, y[rows.row], len(known))
-    n = np.bincount(at, minlength=len(known))
+    pos = rows.turned(y)
+    n = np.bincount(rows.col, minlength=rows.width)
     share = y.mean()
     z = np.abs(pos - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
     z[n < least] = 0
     top = np.argsort(-z, kind="stable")[:most]
-    return known[np.sort(top[z[top] > 1])]
+    return np.sort(top[z[top] > 1])
 
 
 def fit(rows: Rows, train: np.ndarray, earlier: np.ndarray, y: np.ndarray, most: int, ridge: float = 1.0) -> dict:
@@ -138,16 +142,14 @@ def fit(rows: Rows, train: np.ndarray, earlier: np.ndarray, y: np.ndarray, most:
     if len(t) == 0 or t.min() == t.max():
         p = (t.sum() + 0.5) / (len(t) + 1) if len(t) else 0.0
         return {"known": np.zeros(0, np.int64), "w": np.zeros(0), "e": np.zeros(earlier.shape[1]), "b": float(np.log((p + 1e-9) / (1 - p + 1e-9)))}
-    own = rows.select(train, np.unique(rows.col))
-    all_known = np.unique(rows.col)
-    known = all_known[best_features(own, t, most)]
+    known = best_features(rows.select(train), t, most)
     x, e, k = rows.select(train, known), earlier[train], len(known)
 
     def loss(v):
         z = x.times(v[:k]) + e @ v[k:-1] + v[-1]
         p = sigmoid(z)
         value = np.sum(np.logaddexp(0, z) - t * z) + ridge / 2 * np.sum(v[:-1] ** 2)
-        return value, np.concatenate([x.turned(p - t, k), e.T @ (p - t), [np.sum(p - t)]]) + ridge * np.concatenate([v[:-1], [0]])
+        return value, np.concatenate([x.turned(p - t), e.T @ (p - t), [np.sum(p - t)]]) + ridge * np.concatenate([v[:-1], [0]])
     start = np.zeros(k + e.shape[1] + 1)
     start[-1] = np.log(t.mean() / (1 - t.mean()))
     v = minimise(loss, start)
@@ -187,7 +189,7 @@ def selected(sample: DataFrame, names: list[str], most: int, least: int = 3) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text",
-          sample_rows: int = 20_000, features: int = 3_000, folds: int = 4) -> list[dict]:
+          sample_rows: int = 20_000, features: int = 2_000, folds: int = 4) -> list[dict]:
     """The chain's models. ``categories``: name -> 0/1 column of ``labels``, in the chain's order."""
     names = [f"c{k}" for k in range(len(categories))]
     marks = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("lid"), *[c.cast("int").alias(n) for n, c in zip(names, categories.values(), strict=True)])
@@ -206,17 +208,20 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     sample = saved(own.mapInArrow(run, schema), "sample")
     if sample.count() > sample_rows:  # documents that repeat an id exceed the bound: the sample is cut again
         sample = saved(sample.orderBy("h", F.hash("f")).limit(sample_rows), "sample")
-    kept = selected(sample, names, 4 * features)
+    kept = selected(sample, names, 2 * features)
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [[f for f in row if f in kept] for row in b.column(len(names) + 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.list_(pa.int64()))], ["h", *names, "f"])
     sample = sample.mapInArrow(only, schema).toArrow()
-    rows = Rows([np.asarray(x.values, np.int64) for x in sample.column("f")])
+    # feature numbers while fitting, the features themselves in the models
+    names_of, numbers = np.unique(sample.column("f").combine_chunks().flatten().to_numpy(), return_inverse=True)
+    rows = Rows(np.split(numbers, np.cumsum([len(x) for x in sample.column("f")])[:-1]) if sample.num_rows else [], len(names_of))
     y = np.column_stack([sample.column(n).to_numpy(zero_copy_only=False).astype(float) for n in names]) if sample.num_rows else np.zeros((0, len(names)))
     h = sample.column("h").to_numpy() if sample.num_rows else np.zeros(0, np.int64)
-    return fit_chain(rows, y, (h >> 8) % folds, features)[0]
+    models = fit_chain(rows, y, (h >> 8) % folds, features)[0]
+    return [m | {"known": names_of[m["known"]]} for m in models]
 
 
 def score(docs: DataFrame, models: list[dict], names: list[str], *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4) -> DataFrame:
