@@ -23,6 +23,7 @@ ordered by a hash of their text, then the text. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,13 +40,15 @@ from textsift.llm.common import saved, scratch
 
 MAGIC = b"TSID"
 HEAD = struct.Struct("<4scII")
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 1 << 19  # some 100 MB
+DOCS_AT_ONCE = 100
 
 
 class WordIds(dict):
     """Ids of a word as little-endian u32; words not known yet are encoded together."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores busy
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
 
@@ -126,14 +129,14 @@ def read_groups(data: bytes) -> Iterator[tuple[int, int, list[int | None], list[
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                 block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 4_000_000) -> None:
+                 block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 2_000_000) -> None:
     """Tokenise ``docs`` and write them below ``path`` in ascending order of id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, words, held, size = TaskContext.get().partitionId(), 0, WordIds(tokenizer), ([], []), 0
         out = lambda made: pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["frame"])
         for b in batches:
-            for a in range(0, b.num_rows, 500):
-                piece = b.slice(a, 500)
+            for a in range(0, b.num_rows, DOCS_AT_ONCE):
+                piece = b.slice(a, DOCS_AT_ONCE)
                 coded = words.texts([t or b"" for t in piece.column(1).to_pylist()], end_id)
                 held[0].extend(piece.column(0).to_pylist())
                 held[1].extend(coded)
