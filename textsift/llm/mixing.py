@@ -39,11 +39,11 @@ def weight_of(level: str, value: Column, weights: dict[str, dict[str, int]]) ->
 def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: int) -> DataFrame:
     """``leaves`` (levels, tokens, cap) with the budget of each."""
     total = leaves.agg(F.sum("cap")).first()[0] or 0
-    given = leaves.sparkSession.createDataFrame([(min(budget, int(total)),)], "budget bigint")
+    given = None
     for depth in range(1, len(levels) + 1):
         up, here = levels[:depth - 1], levels[:depth]
         nodes = leaves.groupBy(*here).agg(F.sum("cap").cast(BIG).alias("cap")).withColumn("w", weight_of(levels[depth - 1], F.col(levels[depth - 1]), weights))
-        nodes = nodes.join(given, up) if up else nodes.crossJoin(F.broadcast(given))  # one row, the root's
+        nodes = nodes.join(given, up) if up else nodes.withColumn("budget", F.lit(min(budget, int(total))).cast("bigint"))  # the root's
         by = Window.partitionBy(*up) if up else Window.partitionBy(F.lit(0))
         order = by.orderBy((F.col("cap") / F.col("w")).asc(), F.col(levels[depth - 1]).asc()).rowsBetween(Window.unboundedPreceding, -1)
         zero = F.lit(0).cast(BIG)
