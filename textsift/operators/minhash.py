@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from textsift.functions.text import let, norm_words
-from textsift.session import checkpoint_dir
+from textsift.session import scratch_path
 
 P31 = (1 << 31) - 1
 
@@ -154,14 +154,17 @@ def bucket_edges(keys: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """(scope..., id, band, dup_of): each document that shares a band bucket with a smaller id points at the
     bucket's smallest id (star edges: linear in the bucket size, never all pairs).
 
-    The keys are checkpointed, so signatures are computed once. A bucket is cut into ``SALTS`` parts by id: the
+    The keys are written to a table in the shared folder, so signatures are computed once. A bucket is cut into ``SALTS`` parts by id: the
     minimum of each part comes from a partial aggregation, the bucket's from its at most ``SALTS`` parts, and it is joined
     back by (bucket, part). The bucket of a boilerplate page that a third of the corpus shares is thus never in one task,
     whatever AQE does.
     """
-    checkpoint_dir(keys.sparkSession)
+    spark = keys.sparkSession
     k = list(scope) + ["band", "k1", "k2"]
-    keys = keys.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).checkpoint()
+    keys = keys.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    path = scratch_path(spark, "band_keys")  # a table: an eager checkpoint would compute the signatures twice
+    keys.write.parquet(path)
+    keys = spark.read.schema(keys.schema).parquet(path)
     parts = keys.groupBy(*k, "_part").agg(F.min("id").alias("_m"), F.count(F.lit(1)).alias("_n"))
     mins = (parts.groupBy(*k).agg(F.min("_m").alias("dup_of"), F.sum("_n").alias("_all")).where(F.col("_all") > 1))
     mins = parts.join(mins, k).select(*k, "_part", "dup_of")
