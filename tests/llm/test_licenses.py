@@ -12,3 +12,80 @@ def test_ordered_rules(spark):
     assert got[2].rules == "mit_text" and got[2].sequence == "mit_title mit_grant mit_notice_kept mit_warranty" and got[3].n_sentences == 3
     assert got[7].sequence == "apache2_notice ccbync4_notice apache2_notice ccbync4_notice"
     assert L.scan_licenses(df.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Foo
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+BSD = """Copyright (c) 2020, Foo
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_wrapped_texts(spark):
+    gpl2 = GPL.replace("version 3", "version 2").replace("software:", "software;")
+    whole = {"mit_text": MIT, "bsd2_text": BSD, "bsd2_text,bsd3_text": BSD3, "gpl3_header": GPL, "gpl2_header": gpl2, "apache2_header,apache2_notice": APACHE}
+    marks = ["", "    ", " * ", "# ", "// ", ";; ", "! ", "-- ", "dnl ", "REM "]
+    rows, want = [], {}
+    for rules, text in whole.items():
+        for mark in marks:
+            for end in ("\n", "\r\n"):
+                want[len(rows)] = rules
+                rows.append((len(rows), "x = 1" + end + end + end.join((mark + x).rstrip() if not x else mark + x for x in text.split("\n"))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan_licenses(df).collect()}
+    assert {i: r.rules for i, r in got.items()} == want
+    assert got[0].sequence == "mit_title mit_grant mit_notice_kept mit_warranty"
+    parts = {0: "Released under\nthe MIT\nLicense.", 1: "Released under\n\nthe MIT License.", 2: "Released under.\nthe MIT License.",
+             3: "Released under the MIT License\nReleased under the MIT License", 4: "not released under\nthe MIT License today", 5: "x\nMIT License\ny",
+             6: "Released  under\t\n \t the MIT\nLicense"}
+    got = {r.doc_id: r.sequence for r in L.scan_licenses(spark.createDataFrame(list(parts.items()), "doc_id long, text string")).collect()}
+    assert got == {0: "mit_notice", 1: "mit_title", 2: "mit_title", 3: "mit_notice mit_notice", 4: "", 5: "mit_title", 6: "mit_notice"}
