@@ -90,3 +90,26 @@ def test_within_counts_every_radius():
         S.link_rows(S.planes_of(fps), fps, range(300), 0, 300, radius, f, True)
         want = components([(k, int(x)) for k, x in enumerate(fps)], radius)
         assert f.p[:300].tolist() == want
+
+
+def test_ids_shared_by_different_texts(spark):
+    """An id under several texts is one vertex: it joins their groups, and no group goes without a document."""
+    rnd = random.Random(9)
+    text = [" ".join(rnd.choice([f"w{k}" for k in range(500)]) for _ in range(120)) for _ in range(40)]
+    docs = [(3, text[0]), (5, text[0]), (5, text[1]), (9, text[1])]  # 3 and 5 by text 0, 5 and 9 by text 1
+    docs += [(100, text[2]), (101, text[2]), (101, text[3]), (50, text[3])]  # the smallest id is at the far text
+    docs += [(200, text[4]), (200, text[5]), (200, text[6]), (None, text[6]), (None, text[7])]
+    docs += [(300 + rnd.randrange(25), text[8 + rnd.randrange(32)]) for _ in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    fps, _ = brute(docs)
+    low = list(range(len(docs)))  # row numbers, joined until nothing changes
+    near = [[bin(x ^ y).count("1") <= 4 or (i is not None and i == j) for j, y in fps] for i, x in fps]
+    for _ in docs:
+        low = [min(low[b] for b in range(len(docs)) if near[a][b]) for a in range(len(docs))]
+    ids = {g: [i for (i, _), h in zip(docs, low, strict=True) if h == g and i is not None] for g in set(low)}
+    want = sorted(((str(i), f"{f:016x}", str(min(ids[g], default=None))) for (i, f), g in zip(fps, low, strict=True)))
+    got = S.simhash_components(df).collect()
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
+    assert {r.component_id for r in got if r.doc_id in (3, 5, 9)} == {3} and {r.component_id for r in got if r.doc_id in (100, 101, 50)} == {50}
+    kept = sorted(str(r.doc_id) for r in S.keep_one(df).collect())
+    assert kept == sorted([*(str(min(x)) for x in ids.values() if x), "None", "None"])

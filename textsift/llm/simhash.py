@@ -14,7 +14,7 @@
 
 Defined cases: a null or empty text has no words and the fingerprint zero, linked like any other. A row without id
 gets the component of its fingerprint, or null if no row with an id is in it. Rows that share an id are one
-vertex for linking; each keeps its row. All is done on whole texts.
+vertex for linking, also where their texts differ; each keeps its row. All is done on whole texts.
 """
 
 from __future__ import annotations
@@ -276,7 +276,12 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """(doc_id, fingerprint, component_id), a row per document; the component is the smallest id reachable."""
     fps = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     groups = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "groups")
-    joined = connected_components(links(groups, radius, chunk), "u", "v")
+    edges = links(groups, radius, chunk)
+    several = fps.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+    several = saved(several.where(F.col("a") != F.col("b")).select("doc_id"), "several")
+    if not several.isEmpty():  # an id with several fingerprints links them
+        edges = edges.unionByName(fps.join(several, "doc_id").join(groups, "fp").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")).distinct())
+    joined = connected_components(edges, "u", "v")
     groups = groups.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(groups, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -288,6 +293,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     be told apart by and stay. Columns are those of ``docs``.
     """
     found = saved(simhash_components(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius), "components")
+    # rows of one id have one component, whose smallest id is among the rows
     ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
     rid, n = fresh(docs, "rid", "n")
     ids = ids.where(F.col("c") == F.col("doc_id")).select(F.col("doc_id").alias(rid), F.col("n").alias(n))
