@@ -66,3 +66,30 @@ def test_masking(spark):
     got = {r.spans: r.text for r in P.mask_pii(df).collect()}
     assert got[7] is None and got[9] == "plain" and got[5] == got[6] == got[8]
     assert "a@b" not in got[5] and "10.0.0.1" not in got[5] and "4111111" not in got[5] and got[5].startswith("x <EMAIL>, <") and got[5].endswith("<IP> end")
+
+
+def test_context_is_the_text_around(spark):
+    """A match next to a span is a word of its context, for seeds and candidates, wherever they stand."""
+    far = "\U0001F600 é" * 400
+    texts = ["account 42 AB12-99 end", "A1-111, A2-222, A3-333", "mail 7 (jane@x.org), 8 to", f"{far} one b12345 two c12345 three {far}", "id=a@b.cc_d x12345", "12345", f"{'w' * 300} 12345 {'v' * 300}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = P.observed(df, "doc_id", "text", 5).collect()
+    for r in seen:
+        for x in [*r.base, *r.cand]:
+            t = texts[r.doc_id]
+            assert t[x.s:x.e] == x.m and (x.l, x.r) == (t[max(x.s - P.NEAR, 0):x.s], t[x.e:x.e + P.NEAR]), (x, t)
+    spans = [(x.m, x.l, x.r) for r in seen for x in [*r.base, *r.cand]]
+    df = spark.createDataFrame(spans, "m string, l string, r string")
+    got = {r.m: r.p for r in df.select("m", P.contexts(df.l, df.r).alias("p")).collect()}
+    assert got["AB12-99"] == ["2 account 00", "1 00", "r end"] and got["A2-222"] == ["1 a0-000,", "r a0-000"] and got["A3-333"] == ["2 a0-000, a0-000,", "1 a0-000,"]
+    assert got["jane@x.org"] == ["2 mail 0", "1 0", "r 0"] and got["c12345"] == ["2 b00000 two", "1 two", "r three"] and got["x12345"] == ["1 id=a@b.cc_d"]
+
+
+def test_candidates_behind_other_matches(spark):
+    rows = [(i, f"please send to box 7 user{i}@site{i}.org 8 today") for i in range(30)]
+    rows += [(100 + i, f"please send to box 7 user{i}#at{i} 8 today") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in P.pii_digest(df, reliable=0.8, min_support=5).collect()}
+    for i in range(2):
+        s = rows[30 + i][1].index("user")
+        assert got[100 + i] == f"email:{s}:{s + len(f'user{i}#at{i}')}"

@@ -1,7 +1,8 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction (operator 7), in column expressions only.
 
 Seeds are the base matches: e-mail addresses, IPv4 addresses, card numbers (Luhn), phone numbers. The words around a
-seed are lexical patterns (two or one to its left, one to its right). Candidates are other tokens with a digit or an
+seed are lexical patterns (two or one to its left, one to its right), taken from the whole text for seeds and candidates
+alike: the tokens that a span touches are left out, other matches are words like any. Candidates are other tokens with a digit or an
 at sign. Patterns and instances (texts of seeds and candidates) form a graph that is scored in rounds: a pattern's
 reliability for a kind is the share of its distinct instances that are of that kind, seeds counting 1 and candidates
 their own score; a candidate's score is the reliability of its best pattern. Candidates that stand in a reliable
@@ -38,6 +39,7 @@ EDGE = r"[\"'`(),.;:!?\[\]{}<>]"
 #: Characters of context looked at on either side.
 NEAR = 80
 PART = 200
+BLOCK = 256
 
 SPAN = "struct<k:int,s:int,e:int,m:string,l:string,r:string>"
 
@@ -47,15 +49,15 @@ def _none() -> Column:
 
 
 def located(text: Column, kind: int | None, pattern: str) -> Column:
-    """Matches of ``pattern`` in order, as SPAN: code point positions, the match, and the text next to it."""
+    """Matches of ``pattern`` in order, as SPAN: code point positions and the match; ``in_context`` adds the text next to it."""
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["l"])
         span = F.struct(F.lit(kind).cast("int").alias("k"), start.alias("s"), (start + F.length(x["m"])).alias("e"), x["m"].alias("m"),
-                        F.substring(x["l"], -NEAR, NEAR).alias("l"), F.substring(x["r"], 1, NEAR).alias("r"))
+                        F.lit("").alias("l"), F.lit("").alias("r"))
         return F.struct((start + F.length(x["m"])).alias("at"), F.array_append(acc["out"], span).alias("out"))
 
     def walk(pieces: Column, found: Column) -> Column:
-        zipped = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("l"), F.get(pieces, i + 1).alias("r")))
+        zipped = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("l")))
         length = lambda a, x: a + F.length(x["l"]) + F.length(x["m"])
         add_up = lambda a, x: a + x
         # in parts of PART matches: appending to one long array would copy it for every match
@@ -66,6 +68,17 @@ def located(text: Column, kind: int | None, pattern: str) -> Column:
         bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: walk(pieces, found))))
 
 
+def in_context(spans: Column, blocks: Column) -> Column:
+    """``spans`` with up to NEAR characters of the text on either side; ``blocks``: the text in blocks of BLOCK, so that
+    a span costs two blocks wherever it stands."""
+    block = lambda at: (at / BLOCK).cast("int")
+    two = lambda c: F.concat(F.coalesce(F.get(blocks, c), F.lit("")), F.coalesce(F.get(blocks, c + 1), F.lit("")))
+    part = lambda a, n: F.substring(two(block(a)), a % BLOCK + 1, n)
+    return F.transform(spans, lambda x: F.struct(
+        x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"),
+        part(F.greatest(x["s"] - NEAR, F.lit(0)), F.least(x["s"], F.lit(NEAR))).alias("l"), part(x["e"], F.lit(NEAR)).alias("r")))
+
+
 def luhn(digits: Column) -> Column:
     def step(acc: Column, i: Column) -> Column:
         d = F.substring(digits, F.length(digits) - i + 1, F.lit(1)).cast("int")
@@ -106,7 +119,10 @@ def candidates(text: Column, base: Column, min_length: int) -> Column:
 
 
 def contexts(left: Column, right: Column) -> Column:
-    """Lexical patterns of a span: its two and its last word to the left, its first to the right; digits as 0."""
+    """Lexical patterns of a span: its two and its last word to the left, its first to the right; digits as 0.
+
+    What is joined to the span without white space is no word of its context."""
+    left, right = F.regexp_replace(left, WORD + r"+\z", ""), F.regexp_replace(right, rf"\A{WORD}+", "")
     norm = lambda t: F.array_remove(F.split(F.regexp_replace(F.lower(t), "[0-9]", "0"), SPACE_CLASS + "+", -1), "")
     return bind(norm(left), lambda a: bind(norm(right), lambda b: F.array_compact(F.array(
         F.when(F.size(a) > 1, F.concat(F.lit("2 "), F.array_join(F.slice(a, -2, 2), " "))),
@@ -119,7 +135,10 @@ def observed(docs: DataFrame, id_col: str, text_col: str, min_length: int) -> Da
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), text.alias("t"))
     df = df.select("*", F.concat(*base_spans(F.col("t"))).alias("base"))
-    return df.select("doc_id", "h", "base", candidates(F.col("t"), F.col("base"), min_length).alias("cand"))
+    df = df.select("doc_id", "h", "t", "base", candidates(F.col("t"), F.col("base"), min_length).alias("cand"))
+    some = F.size("base") + F.size("cand") > 0
+    df = df.select("doc_id", "h", "base", "cand", F.when(some, F.regexp_extract_all("t", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("blocks"))
+    return df.select("doc_id", "h", in_context(F.col("base"), F.col("blocks")).alias("base"), in_context(F.col("cand"), F.col("blocks")).alias("cand"))
 
 
 def discovered(seen: DataFrame, *, rounds: int = 2, reliable: float = 0.8, min_support: int = 5) -> DataFrame:
