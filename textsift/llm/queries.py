@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, warc
+from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -87,3 +87,8 @@ def op5(spark, sf_dir):
 @register("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toxicity.label_chain())
+
+
+@register("op12_variants", variants.oracle())
+def op12(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents"))
