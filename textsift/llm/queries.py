@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants, warc
+from textsift.llm import article, licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -92,3 +92,8 @@ def op10(spark, sf_dir):
 @register("op12_variants", variants.oracle())
 def op12(spark, sf_dir):
     return variants.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_article", article.ORACLE)
+def op13(spark, sf_dir):
+    return article.extract_articles(table(spark, sf_dir, "pages"))
