@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsift.llm import article, licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants, warc
+from textsift.llm import alignment, article, licenses, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants, warc
 from textsift.session import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -97,3 +97,9 @@ def op12(spark, sf_dir):
 @register("op13_article", article.ORACLE)
 def op13(spark, sf_dir):
     return article.extract_articles(table(spark, sf_dir, "pages"))
+
+
+@register("op11_alignment")
+def op11(spark, sf_dir):
+    import public_tokenizers as P
+    return alignment.align(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), P.PATTERN)
