@@ -1,9 +1,12 @@
 """MinHash, components and dedup."""
+import hashlib
+
 from pyspark.sql import functions as F
 
 from textsift.operators import components as CC
 from textsift.operators import dedup as D
 from textsift.operators import minhash as M
+from textsift.sources.readers import spread
 
 
 def test_upsampling_weights(spark):
@@ -44,13 +47,26 @@ def test_short_documents_do_not_all_collide(spark):
 
 
 def test_signature_matches_python(spark):
-    df = spark.createDataFrame([(1, "Alpha beta gamma delta epsilon zeta eta")], "doc_id long, text string")
+    """Minima over all shingles, hash by hash, in whole numbers."""
+    words = "alpha beta gamma delta epsilon zeta eta".split()
+    df = spark.createDataFrame([(1, " ".join(words).title())], "doc_id long, text string")
+    eight = lambda s: int.from_bytes(hashlib.md5(s.encode()).digest()[:8], "big")
     sig = M.signatures(df, M.MinhashConfig(2, 3, 5)).collect()[0]["sig"]
     a, b = M.hash_params(6)
-    assert sig == M.signature("alpha beta gamma delta epsilon zeta eta".split(), 5, a, b)
+    assert sig == [min((int(x) * M.md5_31(s) + int(y)) % M.P31 for s in M.shingles(words, 5)) for x, y in zip(a, b)]
+    sig = M.signatures(df, M.MinhashConfig(2, 3, 5, "xx64")).collect()[0]["sig"]
+    h = [r[0] % 2**64 for r in spark.createDataFrame([(s,) for s in M.shingles(words, 5)], "s string").select(F.xxhash64("s")).collect()]
+    assert [x % 2**64 for x in sig] == [min(((eight(f"a{i}") | 1) * x + eight(f"b{i}")) % 2**64 for x in h) for i in range(1, 7)]
     assert abs(M.PER_COLLECTION.threshold - 0.719) < 0.01 and abs(M.PER_TIER.threshold - 0.782) < 0.01
 
 
+def test_signatures_are_computed_once(spark):
+    df = spread(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    for cfg in (M.PER_COLLECTION, M.PER_COLLECTION_64):
+        plan = M.band_keys(M.signatures(df, cfg), cfg)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("Exchange"), plan
+
+
 def test_text_not_in_bucket_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     cfg = M.PER_COLLECTION

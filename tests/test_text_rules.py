@@ -1,4 +1,8 @@
 """Rule metrics and formatters on literal rows: values at, just below and just above each threshold."""
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from textsift.functions import normalize as N
@@ -109,11 +113,34 @@ def test_ngram_python_equals_catalyst(spark):
     assert a == b
 
 
-def test_ngram_helpers():
-    w = "a b a b a b".split()
-    assert G.top_chars(w, 2) == 3 * 3       # "a b" x3, length 3
-    assert G.dup_chars(w, 2) == 4            # positions 2..5 covered -> 4 words of length 1
-    assert G.dup_chars(["x"] * 3, 5) == 0 and G.top_chars(["x"], 2) == 0
+def plain_metrics(text, tops, dups):
+    """The metrics by counting every n-gram as a tuple of words."""
+    w = text.split()
+    out = []
+    for n in tops:
+        grams = [tuple(w[i:i + n]) for i in range(len(w) - n + 1)]
+        count = Counter(grams)
+        out.append(max((count[g] * len(" ".join(g)) for g in grams if count[g] == max(count.values())), default=0))
+    for n in dups:
+        seen, covered = set(), set()
+        for i in range(len(w) - n + 1):
+            g = tuple(w[i:i + n])
+            covered.update(range(i, i + n) if g in seen else ())
+            seen.add(g)
+        out.append(sum(len(w[i]) for i in covered))
+    return tuple(out)
+
+
+def test_ngram_metrics_by_hand():
+    assert G.metrics("a b a b a b", (2,), (2,)) == (3 * 3, 4)  # "a b" three times; words 2 to 5 are covered
+    assert G.metrics("x x x", (), (5,)) == (0,) and G.metrics("x", (2,), ()) == (0,) and G.metrics("", (2,), (5,)) == (0, 0)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "cc", "ddd", "é"]), max_size=60), st.lists(st.integers(1, 12), min_size=1, max_size=4, unique=True))
+def test_ngram_metrics_equal_plain_counts(words, sizes):
+    text = " ".join(words)
+    assert G.metrics(text, tuple(sizes), tuple(sizes)) == plain_metrics(text, sizes, sizes)
 
 
 def test_lexicon_rule_and_counts(spark):

@@ -3,12 +3,12 @@
 Shingles are word n-grams of the normalised words (lowercase letters/digits); a document without words has none, hence
 no signature, and is never a duplicate. Two hash families:
 
-* ``xx64`` (64 bits, what production runs use): shingles are hashed in the JVM (xxhash64), hash function i is
-  ``a_i * h + b_i mod 2^64`` with odd ``a_i``;
+* ``xx64`` (64 bits, what production runs use): xxhash64 of the shingle, hash function i is ``a_i * h + b_i mod 2^64``
+  with odd ``a_i``;
 * ``affine31`` (portable): the first 4 bytes of the shingle's MD5 mod p = 2^31 - 1, and ``(a*h + b) mod p`` with
   ``a, b`` drawn by a fixed rule from MD5 as well, so that any SQL engine can recompute the signature.
 
-The minima are taken per document in an Arrow-batched UDF (numpy over the shingle hashes); band keys are two
+Shingles are hashed in the JVM. The minima are taken per document in an Arrow-batched UDF (numpy over the shingle hashes), once; band keys are two
 64-bit hashes of the band's values, so the shuffle carries ``(scope, band, key1, key2, id)`` and never the text.
 """
 
@@ -82,26 +82,14 @@ def shingles(words, n: int) -> set[str]:
     return {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
-def signature(words, n: int, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
-    hs = np.fromiter((md5_31(s) for s in shingles(words, n)), dtype=np.int64)
-    out = np.full(a.shape[0], P31, dtype=np.int64)
-    for lo in range(0, hs.shape[0], chunk):
-        h = hs[lo:lo + chunk]
-        out = np.minimum(out, ((a[:, None] * h[None, :] + b[:, None]) % P31).min(axis=1))
+def signature_31(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
+    out = np.full(len(a), P31, dtype=np.int64)
+    h = np.asarray(hashes, dtype=np.int64)
+    for lo in range(0, len(h), chunk):
+        np.minimum(out, ((a[:, None] * h[None, lo:lo + chunk] + b[:, None]) % P31).min(axis=1), out=out)
     return out.tolist()
 
 
-def _signature_udf(cfg: MinhashConfig):
-    a, b = hash_params(cfg.num_hashes)
-    n = cfg.n_grams
-
-    @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
-    def sig(words: pd.Series) -> pd.Series:
-        return pd.Series([None if w is None or not len(w) else signature(w, n, a, b) for w in words], dtype=object)
-
-    return sig
-
-
 def signature_64(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
     out = np.full(len(a), 2**64 - 1, dtype=np.uint64)
     h = np.asarray(hashes, dtype=np.int64).view(np.uint64)
@@ -110,38 +98,41 @@ def signature_64(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int =
     return out.view(np.int64).tolist()
 
 
-def _signature_64_udf(cfg: MinhashConfig):
-    a, b = hash_params_64(cfg.num_hashes)
+def _signature_udf(cfg: MinhashConfig):
+    minima, params = (signature_64, hash_params_64) if cfg.family == "xx64" else (signature_31, hash_params)
+    a, b = params(cfg.num_hashes)
 
     @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
     def sig(hashes: pd.Series) -> pd.Series:
-        return pd.Series([None if h is None or not len(h) else signature_64(h, a, b) for h in hashes], dtype=object)
+        return pd.Series([None if h is None or not len(h) else minima(h, a, b) for h in hashes], dtype=object)
 
-    return sig
+    # Marked non-deterministic only so that a filter on the signature is never pushed below the projection (and below a
+    # spread of the input), where it would run the UDF a second time. The values are deterministic.
+    return sig.asNondeterministic()
 
 
-def shingle_hashes(words: Column, n: int) -> Column:
-    """xxhash64 of every shingle, computed in the JVM; null for a document without words."""
+def shingle_hashes(words: Column, n: int, family: str = "xx64") -> Column:
+    """Hash of every shingle, computed in the JVM (``xx64``: xxhash64, ``affine31``: from the MD5); null for a document without words."""
+    def one(shingle: Column) -> Column:
+        return F.xxhash64(shingle) if family == "xx64" else F.conv(F.substring(F.md5(shingle.cast("binary")), 1, 8), 16, 10).cast("bigint") % P31
     return let(words, lambda w: F.when(F.size(w) == 0, F.lit(None)).otherwise(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))))
+        F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), lambda i: one(F.array_join(F.slice(w, i, n), " ")))))
 
 
 def signatures(df: DataFrame, cfg: MinhashConfig = PER_COLLECTION, *, id_col: str = "doc_id",
                text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(keep..., id, sig ARRAY<BIGINT>) for every document."""
-    words = norm_words(F.col(text_col))
-    if cfg.family == "xx64":
-        # behind a Generate: the hashes are made in the JVM before the UDF, not as part of its argument
-        hashed = df.select(*keep, F.col(id_col).alias("id"), F.inline(F.array(F.struct(shingle_hashes(words, cfg.n_grams).alias("_h")))))
-        return hashed.select(*keep, "id", _signature_64_udf(cfg)("_h").alias("sig"))
-    if cfg.family == "affine31":
-        return df.select(*keep, F.col(id_col).alias("id"), _signature_udf(cfg)(words).alias("sig"))
-    raise ValueError(f"unknown hash family {cfg.family!r}")
+    if cfg.family not in ("xx64", "affine31"):
+        raise ValueError(f"unknown hash family {cfg.family!r}")
+    hashes = shingle_hashes(norm_words(F.col(text_col)), cfg.n_grams, cfg.family)
+    # behind a Generate: the hashes are made in the JVM before the UDF, not as part of its argument
+    hashed = df.select(*keep, F.col(id_col).alias("id"), F.inline(F.array(F.struct(hashes.alias("_h")))))
+    return hashed.select(*keep, "id", _signature_udf(cfg)("_h").alias("sig"))
 
 
 def band_keys(sigs: DataFrame, cfg: MinhashConfig = PER_COLLECTION, scope: tuple[str, ...] = ()) -> DataFrame:
     """(scope..., id, band, k1, k2): one row per document with a signature and band; (k1, k2) is a 128-bit key of the band."""
-    sigs = sigs.where(F.col("sig").isNotNull())
+    sigs = sigs.where(F.col("sig").isNotNull())  # stays above the UDF, see _signature_udf
     r = cfg.rows
     bands = F.array(*[F.struct(F.lit(i).alias("band"),
                                F.xxhash64(F.lit("k1"), F.slice("sig", i * r + 1, r)).alias("k1"),

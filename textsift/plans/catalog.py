@@ -203,6 +203,19 @@ def q_minhash_dedup_per_collection(spark, sf_dir):
     return kept.select("source", "doc_id", "minhash_cluster_size", "upsampling_weight")
 
 
+@register("minhash_copies_64", """
+SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies, CAST(1 AS BIGINT) AS clusters
+FROM documents WHERE regexp_matches(lower(text), '[\\p{L}\\p{N}]') GROUP BY lower(text)""")
+def q_minhash_copies_64(spark, sf_dir):
+    """M1: the 64-bit family: documents with the same words, without regard to case, are always in one cluster (its other hash
+    values have no SQL form)."""
+    docs = _docs_src(spark, sf_dir)
+    ids = D.minhash_clusters(docs, M.PER_COLLECTION_64).select("doc_id", "minhash_cluster_id")
+    groups = docs.where(F.lower("text").rlike(T.NORM_WORD_RE)).select("doc_id", F.sha2(F.lower("text"), 256).alias("same"))
+    return groups.join(ids, "doc_id").groupBy("same").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.countDistinct("minhash_cluster_id").alias("clusters")).drop("same")
+
+
 # Tiers for the fixture: labelled quality 1 -> high, 0 -> low, unlabelled -> medium; benchmark passages form a
 # second collection in the high tier. Ids are made unique across the two tables (documents even, benchmark odd).
 TIER_SRC_SQL = """(
