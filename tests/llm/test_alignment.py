@@ -160,7 +160,7 @@ def test_pieces_keep_every_record(monkeypatch):
     keys, docs = rng.integers(0, 40, 500), rng.integers(0, 9, 500)
     keys[:200] = 17  # a hot pair is cut over pieces
     got, count = Counter(), Counter()
-    for _, n, ks, body in L.pieces((keys.astype(np.uint64) << np.uint64(32)) | docs.astype(np.uint64), 4, 10):
+    for _, n, ks, body in L.pieces((keys.astype(np.uint64) << np.uint64(32)) | docs.astype(np.uint64), 4):
         assert n <= 7
         (delta, docs_of, dd, times), = L.unpacked(body, ("<u4",) * 4)
         own = np.repeat(np.cumsum(delta, dtype=np.uint32), docs_of).tolist()

@@ -3,7 +3,7 @@
 Every text is encoded by a byte-level BPE (A) and a sentence-piece model (B). Where tokens of both end at the same byte a
 group ends, and the last tokens of the group are linked. How often an id pair is linked in the corpus is counted outside memory:
 
-1. Tasks write the links as records (pair, document, multiplicity), sorted B-major, radix-partitioned by B id into
+1. Tasks write the links as records (pair, document, multiplicity), sorted B-major, radix-partitioned by the low digits of the B id into
    zstd-compressed runs; a run is a sequence of frames, in pieces of at most ``PIECE`` records.
 2. A k-way heap merge of the runs of a part counts its pairs. A bucket of the radix gets as many parts as its pieces
    need, so a B id with a third of all links is split; the parts' counts (at most one row a pair) are added by Spark.
@@ -290,13 +290,15 @@ def unpacked(raw: bytes, dtypes: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
         yield out
 
 
-def pieces(records: np.ndarray, a_size: int, b_size: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+def pieces(records: np.ndarray, a_size: int) -> Iterator[tuple[int, int, bytes, bytes]]:
     """(bucket, records, keys, body) of a run: records are pair << 32 | document, in any order, with repeats."""
     records.sort()
     first = np.flatnonzero(np.concatenate([[True], records[1:] != records[:-1]]))
     times = np.diff(np.append(first, len(records))).astype("<u4")
     key, doc = (records[first] >> np.uint64(32)).astype(np.uint32), records[first].astype(np.uint32)
-    bucket = key.astype(np.int64) // a_size * BUCKETS // b_size
+    bucket = (key // np.uint32(a_size) % np.uint32(BUCKETS)).astype(np.uint8)
+    order = np.argsort(bucket, kind="stable")
+    bucket, key, doc, times = bucket[order], key[order], doc[order], times[order]
     for k, (x, y) in enumerate(zip(np.searchsorted(bucket, np.arange(BUCKETS), "left"), np.searchsorted(bucket, np.arange(BUCKETS), "right"), strict=True)):
         for s in range(x, y, PIECE):
             e = min(s + PIECE, y)
@@ -395,7 +397,7 @@ def _encoder(a_path: str, b_path: str, pattern: str):
             if size:
                 records = np.concatenate(held)
                 held.clear()
-                for piece, (bucket, _, keys, body) in enumerate(pieces(records, aligner.a.size, aligner.b.size)):
+                for piece, (bucket, _, keys, body) in enumerate(pieces(records, aligner.a.size)):
                     yield _rows(1, {"pid": [pid], "run": [number], "bucket": [bucket], "piece": [piece], "keys": [keys], "body": [body]})
             number, size = number + 1, 0
         for b in batches:
@@ -504,8 +506,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, *, id_col: st
     counts = runs.select(part, "keys").repartition("part").sortWithinPartitions("part").mapInArrow(_count, "pair bigint, n bigint")
     counts = counts.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("b", (F.col("pair") / a_size).cast("int"))
     best = F.max("n").over(Window.partitionBy("b"))
-    b_size = F.lit(_b_size(b_path))
-    counts = counts.select("pair", "n", (F.col("n") == best).cast("int").alias("best"), (F.col("b") * BUCKETS / b_size).cast("int").alias("bucket"))
+    counts = counts.select("pair", "n", (F.col("n") == best).cast("int").alias("best"), (F.col("b") % BUCKETS).alias("bucket"))
     counts = saved(counts, "counts")
 
     every = counts.select(F.explode(F.sequence(lookup(starts, F.col("bucket")), lookup(starts, F.col("bucket")) + lookup(parts, F.col("bucket")) - 1)).alias("part"), F.lit(0).alias("kind"), "pair", "n", "best",
@@ -517,8 +518,3 @@ def align(docs: DataFrame, a_path: str, b_path: str, pattern: str, *, id_col: st
     one = made.where(F.col("bucket").isNull()).join(sums, ["pid", "seq"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return one.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), zero("n_best"), zero("count_sum"), "groups_sha256")
-
-
-def _b_size(path: str) -> int:
-    import sentencepiece
-    return sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size()
