@@ -1,8 +1,11 @@
 """MinHash, components and dedup."""
 import hashlib
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from textsift.functions import bloom
 from textsift.operators import components as CC
 from textsift.operators import dedup as D
 from textsift.operators import minhash as M
@@ -23,9 +26,43 @@ def test_components_chain_and_pairs(spark):
 
 
 def test_long_chain_converges(spark):
-    e = spark.createDataFrame([(i, i + 1) for i in range(200)], "src long, dst long")
-    got = CC.connected_components(e).agg(F.countDistinct("component"), F.max("component")).collect()[0]
-    assert tuple(got) == (1, 0)
+    """10,000 vertices in a row, their ids in and out of order."""
+    for place in (lambda i: i, lambda i: i * 7919 % 10_000):
+        e = spark.createDataFrame([(place(i), place(i + 1)) for i in range(9_999)], "src long, dst long")
+        got = CC.connected_components(e).agg(F.count("*"), F.countDistinct("component"), F.max("component")).first()
+        assert tuple(got) == (10_000, 1, 0)
+
+
+def test_star_of_three_million_is_in_no_task(spark):
+    n = 3_000_000
+    e = spark.range(1, n).select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(0).alias("src"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("dst"))
+    assert tuple(CC.connected_components(e).agg(F.count("*"), F.max("component")).first()) == (n, 0)
+    # rows of the hub by task, before any skew handling
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        both = spark.range(1, 400_000).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+        per = CC._with_min(both, 64).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    counts = sorted(r["count"] for r in per)
+    assert sum(counts) == 399_999 and counts[-1] < 3 * counts[len(counts) // 2]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 25)), st.integers(-5, 25)), max_size=25))
+def test_components_equal_union_find(spark, pairs):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in pairs:
+        if a is not None and a != b:
+            ra, rb = root(a), root(b)
+            parent[max(ra, rb)] = min(ra, rb)
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    assert {r["id"]: r["component"] for r in CC.connected_components(e).collect()} == {x: root(x) for x in parent}
 
 
 def test_identical_texts_share_cluster_and_dedup_idempotent(spark):
@@ -75,3 +112,25 @@ def test_text_not_in_bucket_shuffle(spark):
     for line in plan.splitlines():
         if "Exchange" in line:
             assert "text" not in line
+
+
+def test_dedup_shuffles_no_text(spark):
+    df = spread(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select("doc_id", "text")
+    expected = sorted(map(tuple, D.dedup(df)[0].select("doc_id", "minhash_cluster_size").collect()))
+    kept, _ = D.dedup(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"))
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    # beyond the bound: a Bloom filter first, then an exact join of what it lets through
+    kept, removed = D.dedup(df, broadcast_members=0)
+    assert sorted(map(tuple, kept.select("doc_id", "minhash_cluster_size").collect())) == expected
+    assert removed.count() + len(expected) == df.count() and removed.where("text is null").count() == 0
+
+
+def test_bloom_filter_lets_every_key_through(spark):
+    keys, others = spark.range(0, 20_000), spark.range(20_000, 120_000)
+    for limit, rate in ((bloom.MAX_WORDS, 0.05), (40, 1)):
+        words = bloom.words_for(20_000, limit)
+        table = bloom.build(keys, F.col("id"), words)
+        assert table.count() <= words
+        assert bloom.may_hold(keys, F.col("id"), table, words, "hit").where("hit").count() == 20_000
+        assert bloom.may_hold(others, F.col("id"), table, words, "hit").where("hit").count() <= rate * 100_000
+    assert bloom.may_hold(keys.select(F.lit(None).cast("bigint").alias("id")), F.col("id"), table, words, "hit").where("hit").count() == 0

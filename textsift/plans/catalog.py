@@ -381,12 +381,51 @@ SELECT page_id, url, CASE WHEN title <> '' THEN title END AS title, text FROM f
 def q_extract_pages(spark, sf_dir):
     """X1 + F6: title and main text of every page; pages with no text left are dropped."""
     p = _pages(spark, sf_dir, heavy=True)
-    out = T.materialize(p, ["page_id", "url"], title=X.extract_title(F.col("html")),
-                        text=X.extract_text(F.col("html")))
+    out = p.select("page_id", "url", X.page_parts(F.col("html")).alias("_x")).select("page_id", "url", "_x.title", "_x.text")
     return (out.where(F.col("text").isNotNull() & (F.col("text") != ""))
             .withColumn("title", F.when(F.col("title") != "", F.col("title"))))
 
 
+#: Marks put into every page: a nested ad, an ad inside a box of the article, a list of links, a list item with one link.
+PAGE_EDITS = (('<div class="ad">', '<div class="ad"><div>sponsored</div>by<div>us<div>all</div></div>'),
+              ('</article>', '<ul><li><a href="/x">Related page</a></li><li>Look at <a href="/y">that</a> for more</ul><div class="box">Open<div class="ads top">Buy<div>now</div>!</div>Closed &amp;<b>bold</div></article>'))
+
+
+def _blocks_sql() -> str:
+    """A token table: tags and texts of each page in order, with running depths; ads by the depth of ``div`` around them."""
+    html = "html"
+    for old, new in PAGE_EDITS:
+        html = f"replace({html}, {O.lit(old)}, {O.lit(new)})"
+    text = "replace(replace(replace(replace(replace(replace(tok, '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+    fold = lambda e: f"trim(regexp_replace({e}, '[ \t\n\r\f\x0B]+', ' ', 'g'))"
+    depth = lambda name: f"CAST(sum(CASE WHEN name = '{name}' THEN CASE WHEN shut THEN -1 ELSE 1 END ELSE 0 END) OVER w AS BIGINT) AS d_{name}"
+    return f"""
+WITH t0 AS (SELECT page_id, regexp_extract_all({html}, '(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<[^>]*>|[^<]+') AS l FROM pages),
+t1 AS (SELECT page_id, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM t0),
+t2 AS (SELECT *, regexp_extract(tok, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1) AS name, starts_with(tok, '</') AS shut FROM t1),
+t3 AS (SELECT *, {", ".join(map(depth, ("div", "nav", "footer", "head", "article", "a")))},
+  sum(CASE WHEN regexp_matches(name, '^(p|div|h[1-6]|li|ul|ol|br|article|nav|footer|head|body|html)$') THEN 1 ELSE 0 END) OVER w AS block FROM t2
+  WINDOW w AS (PARTITION BY page_id ORDER BY i ROWS UNBOUNDED PRECEDING)),
+ads AS (SELECT page_id, i AS first, d_div FROM t3 WHERE name = 'div' AND NOT shut AND regexp_matches(tok, 'class="([^"]* )?ads?( [^"]*)?"')),
+gone AS (SELECT ads.page_id, ads.first, min(t3.i) AS last FROM ads JOIN t3 ON t3.page_id = ads.page_id AND t3.i > ads.first AND t3.d_div < ads.d_div GROUP BY ALL),
+t4 AS (SELECT t3.*, {text} AS x FROM t3 WHERE tok[1] <> '<' AND d_nav = 0 AND d_footer = 0 AND d_head = 0
+  AND NOT EXISTS (SELECT 1 FROM gone WHERE gone.page_id = t3.page_id AND t3.i BETWEEN gone.first AND gone.last)),
+b AS (SELECT page_id, block, max(d_article) AS art, {fold("string_agg(x, '' ORDER BY i)")} AS text, {fold("coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE d_a > 0), '')")} AS links FROM t4 GROUP BY ALL),
+c AS (SELECT *, max(art) OVER (PARTITION BY page_id) AS has FROM b WHERE text <> '')
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY block) - 1 AS INTEGER) AS pos, text, CAST(length(text) AS INTEGER) AS n_chars,
+  CAST(length(links) AS INTEGER) AS link_chars, 2 * length(links) <= length(text) AS kept FROM c WHERE art > 0 OR has = 0"""
+
+
+@register("page_blocks", _blocks_sql())
+def q_page_blocks(spark, sf_dir):
+    """Text blocks of every page with their link characters; nested ads, unclosed items and lists of links are put in first."""
+    html = F.col("html")
+    for old, new in PAGE_EDITS:
+        html = F.replace(html, F.lit(old), F.lit(new))
+    p = _pages(spark, sf_dir, heavy=True).select("page_id", X.page_blocks(html).alias("b"))
+    return p.select("page_id", F.posexplode("b").alias("pos", "x")).select("page_id", "pos", "x.text", "x.n_chars", "x.link_chars", "x.kept")
+
+
 # --- L1/L2 + A1/A2/A11/A13: language identification and its statistics ---------------------------------------------
 
 from textsift.operators import language as LG  # noqa: E402

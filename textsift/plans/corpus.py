@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textsift.functions import text as T
 from textsift.functions import urls as U
 from textsift.operators import dedup as D
 from textsift.operators import extract as X
@@ -28,7 +27,7 @@ def pages_to_documents(pages: DataFrame, *, id_col: str = "page_id", variant: st
     ``document`` (X2: text, title, metadata with url, date and file path)."""
     p = pages.where(U.not_foreign_variant(F.col("url"), variant, lang_tok)) if variant else pages
     keep = [id_col, "url"] + [c for c in (date_col, file_col) if c]
-    docs = T.materialize(p, keep, title=X.extract_title(F.col("html")), text=X.extract_text(F.col("html")))
+    docs = p.select(*keep, X.page_parts(F.col("html")).alias("_x")).select(*keep, "_x.title", "_x.text")
     docs = docs.where(F.col("text") != "").withColumn("title", F.when(F.col("title") != "", F.col("title")))
     of = lambda c: F.col(c) if c else F.lit(None).cast("string")
     return docs.withColumn("document", X.to_document(F.col("text"), F.col("title"), F.col("url"), of(date_col), of(file_col)))

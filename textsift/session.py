@@ -56,6 +56,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
 
 
+def saved(df, name: str):
+    """Write ``df`` as a table into the shared folder and read it back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 
