@@ -36,10 +36,11 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 WORD = SPACE_CLASS.replace("[", "[^", 1)
 TOKEN = rf"(?<!{WORD}){WORD.replace(']', '0-9@]')}*+[0-9@]{WORD}*+"
 EDGE = r"[\"'`(),.;:!?\[\]{}<>]"
-#: Characters of context looked at on either side.
-NEAR = 80
+#: Characters looked at on either side of a span; the next size where the words of its context aren't whole, at last the whole text.
+WINDOWS = (80, 2048, 65_536)
 PART = 200
 BLOCK = 256
+BLANK = "\x01"
 
 SPAN = "struct<k:int,s:int,e:int,m:string,l:string,r:string>"
 
@@ -68,15 +69,37 @@ def located(text: Column, kind: int | None, pattern: str) -> Column:
         bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: walk(pieces, found))))
 
 
+def in_blocks(text: Column) -> Column:
+    """A text in blocks of BLOCK code points, so that a part of it costs its own length wherever it stands."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in blocks; what lies beyond it is empty."""
+    first = (start / BLOCK).cast("int")
+    n = F.greatest((end / BLOCK).cast("int") - first + 1, F.lit(1))
+    return F.when(end <= start, F.lit("")).otherwise(F.substring(F.array_join(F.slice(blocks, first + 1, n), ""), start - first * BLOCK + 1, end - start))
+
+
+#: A window whose words of context are whole: two words on the left, one on the right, beside what is joined to the span.
+_LEFT_WHOLE = rf"{SPACE_CLASS}{WORD}++{SPACE_CLASS}++{WORD}++{SPACE_CLASS}++{WORD}*+\z"
+_RIGHT_WHOLE = rf"\A{WORD}*+{SPACE_CLASS}++{WORD}++{SPACE_CLASS}"
+
+
 def in_context(spans: Column, blocks: Column) -> Column:
-    """``spans`` with up to NEAR characters of the text on either side; ``blocks``: the text in blocks of BLOCK, so that
-    a span costs two blocks wherever it stands."""
-    block = lambda at: (at / BLOCK).cast("int")
-    two = lambda c: F.concat(F.coalesce(F.get(blocks, c), F.lit("")), F.coalesce(F.get(blocks, c + 1), F.lit("")))
-    part = lambda a, n: F.substring(two(block(a)), a % BLOCK + 1, n)
-    return F.transform(spans, lambda x: F.struct(
-        x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"),
-        part(F.greatest(x["s"] - NEAR, F.lit(0)), F.least(x["s"], F.lit(NEAR))).alias("l"), part(x["e"], F.lit(NEAR)).alias("r")))
+    """``spans`` with the text on either side, as far as their words of context reach, however long these are."""
+    def left(x: Column, sizes: tuple[int, ...]) -> Column:
+        if not sizes:
+            return part(blocks, F.lit(0), x["s"])
+        window = part(blocks, F.greatest(x["s"] - sizes[0], F.lit(0)), x["s"])
+        return bind(window, lambda w: F.when((x["s"] <= sizes[0]) | w.rlike(_LEFT_WHOLE), w).otherwise(left(x, sizes[1:])))
+
+    def right(x: Column, sizes: tuple[int, ...]) -> Column:
+        if not sizes:
+            return part(blocks, x["e"], F.size(blocks) * BLOCK)
+        window = part(blocks, x["e"], x["e"] + sizes[0])
+        return bind(window, lambda w: F.when((F.length(w) < sizes[0]) | w.rlike(_RIGHT_WHOLE), w).otherwise(right(x, sizes[1:])))
+    return F.transform(spans, lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), left(x, WINDOWS).alias("l"), right(x, WINDOWS).alias("r")))
 
 
 def luhn(digits: Column) -> Column:
@@ -95,34 +118,54 @@ def _card(m: Column) -> Column:
     return bind(_digits(m), lambda d: F.when(F.length(d).between(16, 19), luhn(d)).otherwise(F.lit(False)))
 
 
-def base_spans(text: Column) -> list[Column]:
-    """Arrays of SPAN by kind; ``text`` isn't null."""
+def _kinds(text: Column) -> list[tuple[str, Column, object]]:
+    """(pattern, whether a text can have any, check of a match) by kind."""
     digit = text.rlike("[0-9]")
-    kinds = [
+    return [
         (EMAIL, text.contains("@"), lambda m: F.lit(True)),
         (IP, digit & text.contains("."), lambda m: m.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$")),
         (CARD, digit, _card),
         (PHONE, text.contains("+"), lambda m: F.length(_digits(m)).between(8, 15)),
     ]
+
+
+def base_spans(text: Column) -> list[Column]:
+    """Arrays of SPAN by kind; ``text`` isn't null."""
     only = lambda spans, valid: F.filter(spans, lambda x: valid(x["m"]))
-    return [F.when(gate, only(located(text, k, pattern), valid)).otherwise(_none()) for k, (pattern, gate, valid) in enumerate(kinds)]
+    return [F.when(gate, only(located(text, k, pattern), valid)).otherwise(_none()) for k, (pattern, gate, valid) in enumerate(_kinds(text))]
+
+
+def blanked(text: Column) -> list[Column]:
+    """The text in blocks by kind, with the code points of the kind's base spans blanked."""
+    def without(pattern: str, valid) -> Column:
+        gone = lambda m: F.when(valid(m), F.repeat(F.lit(BLANK), F.length(m))).otherwise(m)
+        return bind(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gone), lambda found: F.array_join(
+            F.transform(F.split(text, pattern, -1), lambda p, i: F.concat(p, F.coalesce(F.get(found, i), F.lit("")))), ""))
+    return [in_blocks(without(pattern, valid)) for pattern, _, valid in _kinds(text)]
 
 
 def candidates(text: Column, base: Column, min_length: int) -> Column:
-    """Tokens with a digit or an at sign, without the punctuation around them, that overlap no base span."""
+    """Tokens with a digit or an at sign, without the punctuation around them, that overlap no base span: they read the
+    same in the text without the base spans of any kind, so each is tested by its own length."""
     def trimmed(x: Column) -> Column:
         lead = F.length(x["m"]) - F.length(F.regexp_replace(x["m"], f"^{EDGE}+", ""))
         m = F.regexp_replace(F.regexp_replace(x["m"], f"^{EDGE}+", ""), rf"(?<!{EDGE}){EDGE}+$", "")
         return F.struct(x["k"].alias("k"), (x["s"] + lead).alias("s"), (x["s"] + lead + F.length(m)).alias("e"), m.alias("m"), x["l"].alias("l"), x["r"].alias("r"))
-    free = lambda x: (F.length(x["m"]) >= min_length) & ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    return F.when(text.rlike("[0-9@]"), F.filter(F.transform(located(text, None, TOKEN), trimmed), free)).otherwise(_none())
+    some = F.when(text.rlike("[0-9@]"), F.filter(F.transform(located(text, None, TOKEN), trimmed), lambda x: F.length(x["m"]) >= min_length)).otherwise(_none())
+
+    def free(spans: Column, k: int, blocks: Column) -> Column:
+        same = lambda a: bind(blocks, lambda bs: F.filter(a, lambda x: part(bs, x["s"], x["e"]) == x["m"]))
+        return bind(spans, lambda a: F.when((F.size(a) == 0) | ~F.exists(base, lambda b: b["k"] == k), a).otherwise(same(a)))
+    for k, blocks in enumerate(blanked(text)):
+        some = free(some, k, blocks)
+    return some
 
 
 def contexts(left: Column, right: Column) -> Column:
     """Lexical patterns of a span: its two and its last word to the left, its first to the right; digits as 0.
 
     What is joined to the span without white space is no word of its context."""
-    left, right = F.regexp_replace(left, WORD + r"+\z", ""), F.regexp_replace(right, rf"\A{WORD}+", "")
+    left, right = F.regexp_replace(left, rf"(?<!{WORD}){WORD}++\z", ""), F.regexp_replace(right, rf"\A{WORD}+", "")
     norm = lambda t: F.array_remove(F.split(F.regexp_replace(F.lower(t), "[0-9]", "0"), SPACE_CLASS + "+", -1), "")
     return bind(norm(left), lambda a: bind(norm(right), lambda b: F.array_compact(F.array(
         F.when(F.size(a) > 1, F.concat(F.lit("2 "), F.array_join(F.slice(a, -2, 2), " "))),
@@ -137,7 +180,7 @@ def observed(docs: DataFrame, id_col: str, text_col: str, min_length: int) -> Da
     df = df.select("*", F.concat(*base_spans(F.col("t"))).alias("base"))
     df = df.select("doc_id", "h", "t", "base", candidates(F.col("t"), F.col("base"), min_length).alias("cand"))
     some = F.size("base") + F.size("cand") > 0
-    df = df.select("doc_id", "h", "base", "cand", F.when(some, F.regexp_extract_all("t", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))).alias("blocks"))
+    df = df.select("doc_id", "h", "base", "cand", F.when(some, in_blocks(F.col("t"))).alias("blocks"))
     return df.select("doc_id", "h", in_context(F.col("base"), F.col("blocks")).alias("base"), in_context(F.col("cand"), F.col("blocks")).alias("cand"))
 
 
@@ -192,15 +235,23 @@ def pii_digest(docs: DataFrame, **options) -> DataFrame:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """``text`` with every span replaced by ``<KIND>``; of spans that overlap the first names the mask for all."""
-    def step(acc: Column, x: Column) -> Column:
-        inside = x["s"] < acc["at"]
-        mask = F.concat(F.lit("<"), F.upper(F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["k"] + 1)), F.lit(">"))
-        gap = F.substring(text, acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, mask)).alias("out"))
-    in_order = F.transform(F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k")))), lambda x: x)
-    return F.aggregate(in_order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    """``text`` with every span replaced by ``<KIND>``; of spans that overlap the first names the mask for all.
+
+    Spans are walked in parts of PART, each from the furthest end before it, and the pieces are joined once."""
+    name = lambda k: F.concat(F.lit("<"), F.upper(F.element_at(F.array(*[F.lit(x) for x in KINDS]), k + 1)), F.lit(">"))
+    furthest = lambda a, at: F.aggregate(a, at, lambda acc, x: F.greatest(acc, x["e"]))
+
+    def walk(blocks: Column, found: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            piece = F.when(x["s"] < acc["at"], F.lit("")).otherwise(F.concat(part(blocks, acc["at"], x["s"]), name(x["k"])))
+            return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.array_append(acc["out"], piece).alias("out"))
+        parts = F.transform(F.sequence(F.lit(0), ((F.size(found) - 1) / PART).cast("int")), lambda c: F.slice(found, c * PART + 1, F.lit(PART)))
+        return bind(parts, lambda ps: bind(F.transform(ps, lambda p: furthest(p, F.lit(0))), lambda ends: F.concat(
+            F.array_join(F.flatten(F.transform(ps, lambda p, c: F.aggregate(
+                p, F.struct(F.coalesce(F.array_max(F.slice(ends, F.lit(1), c)), F.lit(0)).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: acc["out"]))), ""),
+            part(blocks, F.array_max(ends), F.size(blocks) * BLOCK))))
+    in_order = F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    return F.when(F.size(spans) == 0, text).otherwise(bind(in_blocks(text), lambda blocks: bind(in_order, lambda found: walk(blocks, found))))
 
 
 def mask_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
