@@ -36,7 +36,7 @@ def plain_contexts(left, right):
     space = " \t\n\x0b\f\r"
     word = f"[^{space}]"
     norm = lambda t: [w for w in re.split(f"[{space}]+", re.sub("[0-9]", "0", t.lower())) if w]
-    a, b = norm(re.sub(word + r"+\Z", "", left)), norm(re.sub(rf"\A{word}+", "", right))
+    a, b = norm(re.sub(rf"(?<!{word}){word}+\Z", "", left)), norm(re.sub(rf"\A{word}+", "", right))
     return [*(["2 " + " ".join(a[-2:])] if len(a) > 1 else []), *(["1 " + a[-1]] if a else []), *(["r " + b[0]] if b else [])]
 
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsift.session import checkpoint_dir
+from textsift.session import checkpoint_dir, drop_path
 
 #: ASCII white space, as the contracts spell it: \x20 and \x09-\x0D.
 SPACE_CLASS = r"[ \t\n\x0B\f\r]"
@@ -28,6 +28,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete a table of ``saved`` that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/llm-" in folder:
+            drop_path(df.sparkSession, folder)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that no column of ``df`` has (compared without case)."""
     taken = {c.lower() for c in df.columns}

@@ -3,7 +3,9 @@
 Writing: each page becomes a record. Of pages with equal payloads the one with the largest id is a response record,
 the others are revisit records that refer to it and carry its digest and length, not the payload. The records are dealt to files of about
 ``file_bytes`` and sorted within each by (URL key, timestamp, id), so every file is a locally sorted capture run.
-Spark's text writer puts the bytes down: a record ends in CR LF CR LF, whose last byte is the writer's line end.
+Spark's text writer puts the bytes down, compressed by gzip: a record ends in CR LF CR LF, whose last byte is the writer's
+line end. Offsets and lengths are those of the uncompressed archive. What equal payloads were found by is deleted once the
+archives are written.
 
 Reading: each file is parsed record by record; payloads are checked against their digests. The entries (CDX) of a file
 are its run, in the file's order. The index merge deals the entries to ranges of the key; a range holds a slice of
@@ -22,6 +24,7 @@ written as often as they occur, all of one type. A null or malformed URL has the
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 import re
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsift.llm.common import saved, scratch, shuffle_partitions
+from textsift.llm.common import drop_table, saved, scratch, shuffle_partitions
 
 CRLF = b"\r\n"
 #: The first capture's time where pages have none; each page follows its id in seconds.
@@ -136,7 +139,9 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     rows = rows.repartition(files, "pid", "sha").join(refers.repartition(files, "pid", "sha"), ["pid", "sha"], "left")
     rows = rows.select("page_id", "url", "captured", F.unhex(F.sha1("payload")).alias("sha1"), "size", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("body"), "refers_to")
     rows = rows.sortWithinPartitions(url_key(F.col("url")), "captured", "page_id")
-    rows.mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    rows.mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    for t in (meta, groups, refers):
+        drop_table(t)
 
 
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -146,7 +151,10 @@ def read_entries(spark: SparkSession, path: str) -> DataFrame:
                             ("payload_digest", pa.string()), ("file", pa.string()), ("seq", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())])
         for b in batches:
             for name, content in zip(b.column(0), b.column(1), strict=True):
-                rows = [x | {"file": name.as_py(), "seq": i} for i, x in enumerate(parse(content.as_buffer().to_pybytes()))]
+                data = content.as_buffer().to_pybytes()
+                if name.as_py().endswith(".gz"):
+                    data = gzip.decompress(data)
+                rows = [x | {"file": name.as_py(), "seq": i} for i, x in enumerate(parse(data))]
                 yield pa.RecordBatch.from_pylist(rows, schema)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     order = [c.split()[0] for c in ENTRY.split(", ")]
