@@ -62,7 +62,7 @@ def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang
     return LanguageModel(np.log(table + 1.0), langs, log_prior, log_denom, buckets)
 
 
-def _python_bucket(word: str, buckets: int) -> int:
+def python_bucket(word: str, buckets: int) -> int:
     return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % P31 % buckets
 
 
@@ -81,7 +81,7 @@ def detected(model: LanguageModel, text: Column) -> Column:
             for i, w in enumerate(() if ws is None else ws):
                 b = slot.get(w)
                 if b is None:
-                    b = slot[w] = _python_bucket(w, buckets)
+                    b = slot[w] = python_bucket(w, buckets)
                 at[i] = b
             n = len(at)
             if not n or not len(prior):

@@ -2,11 +2,14 @@
 
 Two predictor paths:
 
-* built-in: a ``pyspark.ml`` pipeline (hashed term frequencies + multinomial logistic regression) trained on the
-  labelled documents; training and prediction are distributed JVM jobs, no Python in the scoring plan;
+* built-in: three classes of hashed words in closed form. The fit is one aggregation (counts by slot and class, the
+  sufficient statistics); weights are whole numbers (2^-20 of a log likelihood), so sums have one value in any order and
+  any engine. Scoring is in place: no row for a word, no shuffle;
 * pluggable: any Python predictor over Arrow batches (``mapInPandas``), loaded once per task, batches of
   ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows (1,000 like the reference). A failing batch keeps its rows
-  and records the error (the reference dropped the batch).
+  and records the error (the reference dropped the batch). A predictor with a bounded input gets a document as windows of so
+  many words (``score_windows``), where the reference cut the text; a document's scores are those of its windows,
+  weighted by their words.
 
 Outputs follow the reference: ``quality_label`` = argmax of three logits (low, medium, high; first wins ties),
 ``edu_score``, ``depth_score`` and ``binary_edu_score`` = edu >= 2.5.
@@ -14,14 +17,18 @@ Outputs follow the reference: ``quality_label`` = argmax of three logits (low, m
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from typing import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from textsift.functions.text import norm_words
+from textsift.functions.text import norm_words, words
+from textsift.operators.language import python_bucket, word_bucket
 
 # Tier names in logit order, and the binary edu threshold.
 LABELS = ["low", "medium", "high"]
@@ -45,37 +52,65 @@ def training_tier(quality: Column, toxic: Column) -> Column:
     return (F.when(quality == 0, F.lit(0.0)).when(toxic == 1, F.lit(1.0)).otherwise(F.lit(2.0)))
 
 
-def train_quality_model(labelled: DataFrame, *, text_col: str = "text", num_features: int = 1 << 16,
-                        max_iter: int = 30, reg: float = 0.01):
-    """Fit the three-class model. Fit once and pass the model on: scoring is a plan of its own.
-
-    ``num_features`` bounds the coefficients and gradients that every iteration moves (3 x num_features doubles); the
-    gradients meet in a tree of depth 3.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF
-    data = labelled.select(norm_words(F.col(text_col)).alias("words"),
-                           training_tier(F.col("quality"), F.col("toxic")).alias("label"))
-    pipe = Pipeline(stages=[HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
-                            LogisticRegression(featuresCol="tf", labelCol="label", family="multinomial",
-                                               maxIter=max_iter, regParam=reg, aggregationDepth=3)])
-    return pipe.fit(data)
-
-
-def score_documents(model, df: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """C1 + C2 + C3 with the built-in model, over whole texts."""
-    from pyspark.ml.functions import vector_to_array
-    words = norm_words(F.col(text_col))
-    out = model.transform(df.withColumn("words", words))
-    prob = vector_to_array("probability")
-    logits = vector_to_array("rawPrediction")
-    edu = (F.element_at(prob, 2) + F.lit(2.0) * F.element_at(prob, 3)) * F.lit(2.5)
-    res = (out.withColumn("quality_label", argmax_label(logits))
-           .withColumn("edu_score", F.round(edu, 6))
-           .withColumn("depth_score", F.round(F.element_at(prob, 3) * F.lit(5.0), 6))
-           .withColumn("binary_edu_score", binary_edu(edu)))
-    return res.drop("words", "tf", "rawPrediction", "probability", "prediction")
+SCALE = 1 << 20
+
+
+@dataclass
+class QualityModel:
+    """Whole-number weights, 1 / SCALE of a log: (buckets, 3) by slot and class, and the classes' priors."""
+    weights: np.ndarray
+    prior: np.ndarray
+
+
+def train_quality_model(labelled: DataFrame, *, text_col: str = "text", buckets: int = 1 << 18) -> QualityModel:
+    """Fit from counts: weight of a slot and class = log((words of the class in the slot + 1) / (words of the class + buckets)).
+
+    Words are hashed in the JVM as for L1. At most 3 x ``buckets`` counts and 3 priors reach the driver. Fit once and pass the model on: scoring is a plan
+    of its own. A class without documents never wins."""
+    rows = labelled.select(training_tier(F.col("quality"), F.col("toxic")).cast("int").alias("k"), norm_words(F.col(text_col)).alias("w"))
+    counts = rows.select("k", F.explode("w").alias("w")).groupBy("k", word_bucket(F.col("w"), buckets).alias("b")).agg(F.count(F.lit(1)).alias("c")).toPandas()
+    docs = np.zeros(len(LABELS))
+    for r in rows.groupBy("k").count().collect():
+        docs[r["k"]] = r["count"]
+    table = np.zeros((buckets, len(LABELS)), dtype=np.int64)
+    table[counts["b"].to_numpy(np.int64), counts["k"].to_numpy(np.int64)] = counts["c"]
+    whole = lambda x: np.floor(x * SCALE + 0.5).astype(np.int64)
+    prior = np.log(np.where(docs > 0, docs, 1e-300) / max(1.0, docs.sum()))
+    return QualityModel(whole(np.log(table + 1.0) - np.log(table.sum(axis=0) + float(buckets))), whole(prior))
+
+
+def quality_logits(model: QualityModel, text: Column) -> Column:
+    """Logits of the three classes: (prior + sum of the words' weights) / SCALE / sqrt(number of words)."""
+    weights, prior = model.weights, model.prior
+
+    @F.pandas_udf("array<double>")
+    def logits(words: pd.Series) -> pd.Series:
+        slot: dict[str, int] = {}
+        out = []
+        for ws in words:
+            ws = () if ws is None else ws
+            for w in ws:
+                if w not in slot:
+                    slot[w] = python_bucket(w, len(weights))
+            at = np.fromiter((slot[w] for w in ws), np.int64, len(ws))
+            out.append((prior + weights[at].sum(axis=0)) / SCALE / math.sqrt(max(1, len(at))))
+        return pd.Series(out, dtype=object)
+    # Marked non-deterministic only so that a filter on a score isn't pushed below it, which would read each text twice.
+    return logits.asNondeterministic()(norm_words(text))
+
+
+def score_documents(model: QualityModel, df: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """C1 + C2 + C3 with the built-in model, over whole texts. A null or empty text is scored by the priors."""
+    out = df.withColumn("_z", quality_logits(model, F.col(text_col)))
+    e = F.transform("_z", lambda x: F.exp(x - F.array_max("_z")))
+    out = out.withColumn("_e", e)
+    total = F.element_at("_e", 1) + F.element_at("_e", 2) + F.element_at("_e", 3)
+    edu = F.round((F.element_at("_e", 2) + F.lit(2.0) * F.element_at("_e", 3)) / total * F.lit(2.5), 6)
+    res = (out.withColumn("quality_label", argmax_label(F.col("_z")))
+           .withColumn("edu_score", edu)
+           .withColumn("depth_score", F.round(F.element_at("_e", 3) / total * F.lit(5.0), 6))
+           .withColumn("binary_edu_score", binary_edu(F.col("edu_score"))))
+    return res.drop("_z", "_e")
 
 
 PREDICTION_FIELDS = [Ty.StructField("edu_score", Ty.DoubleType()), Ty.StructField("depth_score", Ty.DoubleType()),
@@ -104,6 +139,32 @@ def score_with(df: DataFrame, predictor_factory: Callable[[], Callable[[list[str
             .withColumn("binary_edu_score", binary_edu(F.col("edu_score"))))
 
 
+def text_windows(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokens: int = 512, split: Callable[[Column], Column] = words) -> DataFrame:
+    """(id, window, n_tokens, text): each document as rows of at most ``tokens`` consecutive words; one without words has one empty row.
+
+    ``split`` gives the words of a text; windows join them by one space."""
+    ws = df.select(F.col(id_col), F.inline(F.array(F.struct(F.coalesce(split(F.col(text_col)), F.array().cast("array<string>")).alias("_w")))))
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size("_w") / tokens).cast("int") - 1, F.lit(0))), lambda i: F.slice("_w", i * tokens + 1, tokens))
+    return ws.select(id_col, F.posexplode(cut).alias("window", "_p")).select(id_col, "window", F.size("_p").alias("n_tokens"), F.array_join("_p", " ").alias("text"))
+
+
+def score_windows(df: DataFrame, predictor_factory: Callable[[], Callable[[list[str]], tuple]], *, id_col: str = "doc_id", text_col: str = "text",
+                  tokens: int = 512, split: Callable[[Column], Column] = words) -> DataFrame:
+    """C1 for predictors with a bounded input: (id, n_windows, n_tokens, edu_score, depth_score, logits, error, quality_label, binary_edu_score).
+
+    Windows are predicted in batches, whatever document they come from; a document's scores are the means of its windows',
+    weighted by their words (an empty one counts as one word). Only ids and scores are shuffled. A document with a failing window has
+    no scores and the error. Rows that share an id are one document."""
+    scored = score_with(text_windows(df, id_col=id_col, text_col=text_col, tokens=tokens, split=split), predictor_factory)
+    weight = F.greatest("n_tokens", F.lit(1))
+    mean = lambda c: F.sum(c * weight) / F.sum(weight)
+    some = scored.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_windows"), F.sum("n_tokens").alias("n_tokens"), mean(F.col("edu_score")).alias("edu_score"), mean(F.col("depth_score")).alias("depth_score"),
+                                      F.array(*[mean(F.get("logits", k)) for k in range(len(LABELS))]).alias("logits"), F.min("error").alias("error"))
+    ok = lambda c: F.when(F.col("error").isNull(), c)
+    some = some.select(id_col, "n_windows", "n_tokens", ok(F.col("edu_score")).alias("edu_score"), ok(F.col("depth_score")).alias("depth_score"), ok(F.col("logits")).alias("logits"), "error")
+    return some.withColumn("quality_label", argmax_label(F.col("logits"))).withColumn("binary_edu_score", binary_edu(F.col("edu_score")))
+
+
 def tier_counts(scored: DataFrame, collection_col: str = "collection", label_col: str = "quality_label") -> DataFrame:
     """Documents per (collection, tier)."""
     return scored.groupBy(F.col(collection_col).alias("collection"), F.col(label_col).alias("quality_label")).agg(

@@ -113,6 +113,31 @@ def q_linear_scores(spark, sf_dir):
     return SC.score_with(docs, _linear_predictor).select("doc_id", "edu_score", "depth_score", "quality_label", "binary_edu_score")
 
 
+def _window_predictor():
+    """Scores by formula from a window's length and letters; windows must be short."""
+    def predict(texts):
+        if any(len(t.split()) > 512 for t in texts):
+            raise ValueError("a window is too long")
+        n, e = [len(t) for t in texts], [t.count("e") for t in texts]
+        return [x % 50 / 10 for x in n], [x % 7 for x in e], [[x % 7, x % 5, 2 * (y % 3)] for x, y in zip(n, e)]
+    return predict
+
+
+@register("window_scores", f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(text, {O.lit(O.WORD)}) AS w FROM documents),
+p AS (SELECT doc_id, unnest(list_transform(range(0, greatest(CAST(ceil(len(w) / 512) AS BIGINT), 1)), lambda i: list_slice(w, i * 512 + 1, i * 512 + 512))) AS p FROM w),
+t AS (SELECT doc_id, len(p) AS k, greatest(len(p), 1) AS g, coalesce(array_to_string(p, ' '), '') AS t FROM p),
+f AS (SELECT *, length(t) AS n, length(t) - length(replace(t, 'e', '')) AS e FROM t),
+a AS (SELECT doc_id, count(*) AS n_windows, sum(k) AS n_tokens, sum(g * (n % 50)) / 10 / sum(g) AS edu, sum(g * (e % 7)) / sum(g) AS depth, sum(g * (n % 7)) AS a, sum(g * (n % 5)) AS b, sum(g * 2 * (e % 3)) AS c FROM f GROUP BY doc_id)
+SELECT doc_id, CAST(n_windows AS BIGINT) AS n_windows, CAST(n_tokens AS BIGINT) AS n_tokens, round(edu, 6) AS edu_score, round(depth, 6) AS depth_score,
+  CASE WHEN a >= b AND a >= c THEN 'low' WHEN b >= c THEN 'medium' ELSE 'high' END AS quality_label FROM a""")
+def q_window_scores(spark, sf_dir):
+    """C1 + C2 over windows of 512 words: every word of every document is scored."""
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True).select("doc_id", "text")
+    out = SC.score_windows(docs, _window_predictor)
+    return out.select("doc_id", "n_windows", "n_tokens", F.round("edu_score", 6).alias("edu_score"), F.round("depth_score", 6).alias("depth_score"), "quality_label")
+
+
 @register("failed_scores", "SELECT doc_id, 'ValueError: no model' AS error FROM documents")
 def q_failed_scores(spark, sf_dir):
     """Rows of a failing batch stay, with the error."""
