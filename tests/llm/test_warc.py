@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import random
 
@@ -43,7 +44,7 @@ def test_pages_edges_and_order(spark, tmp_path):
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=key) == sorted(want, key=key)
     # entries point at their records
     for r in got[:20]:
-        data = open(r.file.removeprefix("file:"), "rb").read()[r.offset:r.offset + r.length]
+        data = gzip.open(r.file.removeprefix("file:")).read()[r.offset:r.offset + r.length]
         assert next(W.parse(data))["page_id"] == r.page_id
     assert W.capture_histories(df.limit(0)).count() == 0
     small = W.capture_histories(df, min_payload_bytes=10**6).collect()
