@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,6 +102,23 @@ def token_count(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(TOKEN_RE), 0)).cast("bigint")
 
 
+def subword_count(text: Column, tokenizer: str) -> Column:
+    """Token count of a subword tokenizer: ``tokenizer`` is a file of the tokenizers library, on every executor. Null for a null text.
+
+    Texts are encoded in Arrow batches, whole, without special tokens; a worker loads the file once."""
+    @F.pandas_udf("bigint")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores busy
+        from tokenizers import Tokenizer
+        own = Tokenizer.from_file(tokenizer)
+        own.encode_special_tokens = True
+        for texts in batches:
+            full = texts.notna()
+            n = [len(e.ids) for e in own.encode_batch(texts[full].tolist(), add_special_tokens=False)]
+            yield pd.Series(n, index=texts.index[full], dtype="Int64").reindex(texts.index)
+    return count(text)
+
+
 # --- encoding repair ---------------------------------------------------------------------------------------------
 # Windows-1252 characters in 0x80-0x9F and the byte each stands for (the standard code page).
 CP1252_SPECIALS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
@@ -106,11 +127,12 @@ CP1252_BYTES = [0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x8B
 MOJIBAKE_HINT = r"[ÃÂâ][\x80-\xBF€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
 
 
-def fix_encoding(text: Column) -> Column:
-    """Repair single-level UTF-8-read-as-Latin-1/Windows-1252 mojibake, line by line.
+def fix_encoding(text: Column, levels: int = 2) -> Column:
+    """Repair UTF-8-read-as-Latin-1/Windows-1252 mojibake, line by line, up to ``levels`` times over.
 
     A line is re-decoded only when it looks like mojibake, holds only code points that map back to single bytes
-    and decodes to valid UTF-8; anything else is left untouched.
+    and decodes to valid UTF-8; anything else is left untouched. What is decoded may have been broken before, so it is looked
+    at again.
     """
     c1 = "".join(chr(b) for b in CP1252_BYTES)
 
@@ -121,4 +143,7 @@ def fix_encoding(text: Column) -> Column:
         ok = x.rlike(MOJIBAKE_HINT) & mapped.rlike(r"\A[\x00-\xFF]*\z")
         return F.when(ok, F.coalesce(decoded, x)).otherwise(x)
 
-    return F.array_join(F.transform(T.lines(text), fix_line), "\n")
+    def fix(x: Column, left: int) -> Column:
+        return x if not left else T.let(fix_line(x), lambda y: F.when(y == x, x).otherwise(fix(y, left - 1)))
+    fixed = F.array_join(F.transform(T.lines(text), lambda x: fix(x, levels)), "\n")
+    return F.when(text.rlike(MOJIBAKE_HINT), fixed).otherwise(text)

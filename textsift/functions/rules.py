@@ -7,6 +7,8 @@ rules compare ``num / den`` (double) with the threshold. All builders take a ``C
 
 from __future__ import annotations
 
+import re
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -199,20 +201,40 @@ def doc_quality_metrics(c: Ctx, stop_words: list[str] = STOP_WORDS_PT) -> dict[s
 
 # --- lexicons (G8/G9) ----------------------------------------------------------------------------------------------
 
+def lexicon_key(entry: str) -> tuple[str, ...]:
+    """The normalised words of an entry, as those of a text: hyphenated entries and phrases are several."""
+    return tuple(re.findall(r"[^\W_]+", entry.lower()))
+
+
 def lexicon_hits(c: Ctx, lexicon: list[str], distinct: bool = False) -> Column:
-    """Occurrences (or distinct entries) of a small user lexicon among the normalised words (array literal)."""
-    lx = F.array(*[F.lit(x) for x in lexicon]) if lexicon else F.array().cast("array<string>")
-    if distinct:
-        return F.size(F.array_intersect(F.array_distinct(c.nw), lx)).cast("bigint")
-    return F.size(F.filter(c.nw, lambda x: F.array_contains(lx, x))).cast("bigint")
+    """Occurrences (or distinct entries) of a small user lexicon among the normalised words (array literals).
+
+    Entries of several words match consecutive words; entries that normalise alike are one, entries without words none."""
+    keys: dict[int, set[str]] = {}
+    for k in filter(None, map(lexicon_key, lexicon)):
+        keys.setdefault(len(k), set()).add(" ".join(k))
+    total = F.lit(0).cast("bigint")
+    for n, entries in sorted(keys.items()):
+        lx = F.array(*[F.lit(x) for x in sorted(entries)])
+        grams = c.nw if n == 1 else T.ngram_strings(c.nw, n)
+        total = total + F.size(_among(grams, lx, distinct))
+    return total.cast("bigint")
+
+
+def _among(grams: Column, entries: Column, distinct: bool) -> Column:
+    return F.array_intersect(F.array_distinct(grams), entries) if distinct else F.filter(grams, lambda x: F.array_contains(entries, x))
 
 
 def lexicon_counts(df: DataFrame, lexicon: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    word_col: str = "word") -> DataFrame:
-    """(id, hits) for a large lexicon table: explode normalised words, semi-join with the lexicon (AQE broadcasts it
-    when its measured bytes allow), count per document. Documents without hits get 0."""
-    lx = lexicon.select(F.col(word_col).alias("w")).distinct()
-    words = df.select(F.col(id_col).alias("_id"), F.explode(T.norm_words(F.col(text_col))).alias("w"))
-    hits = words.join(lx, "w", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("hits"))
+    """(id, hits) for a large lexicon table: explode normalised words and, for entries of several words, the word sequences of
+    their lengths; semi-join with the lexicon (AQE broadcasts it when its measured bytes allow), count per document.
+    Documents without hits get 0."""
+    lx = lexicon.select(T.norm_words(F.col(word_col)).alias("k")).where(F.size("k") > 0).select(F.size("k").alias("n"), F.array_join("k", " ").alias("w")).distinct()
+    lengths = sorted(r["n"] for r in lx.select("n").distinct().collect())  # at most the longest entry's words
+    grams = df.select(F.col(id_col).alias("_id"), F.inline(F.array(F.struct(T.norm_words(F.col(text_col)).alias("_w")))))
+    each = F.concat(*[F.col("_w") if n == 1 else T.ngram_strings(F.col("_w"), n) for n in lengths or [1]])
+    words = grams.select("_id", F.explode(each).alias("w"))
+    hits = words.join(lx.select("w"), "w", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("hits"))
     return (df.select(F.col(id_col).alias("_id")).join(hits, "_id", "left")
             .select(F.col("_id").alias(id_col), F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")))

@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from textsift.functions.text import norm_words, words
+from textsift.functions.normalize import TOKEN_RE
+from textsift.functions.text import words
 from textsift.operators.language import python_bucket, word_bucket
 
 # Tier names in logit order, and the binary edu threshold.
@@ -36,9 +37,9 @@ EDU_THRESHOLD = 2.5
 
 
 def argmax_label(logits: Column, labels: list[str] = LABELS) -> Column:
-    """Label of the largest logit; the first one wins ties."""
+    """Label of the largest logit; the first one wins ties. Null logits have no label."""
     pos = F.array_position(logits, F.array_max(logits)).cast("int")
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), pos)
+    return F.when(F.array_max(logits).isNotNull(), F.element_at(F.array(*[F.lit(x) for x in labels]), pos))
 
 
 def binary_edu(edu: Column, threshold: float = EDU_THRESHOLD) -> Column:
@@ -53,6 +54,13 @@ def training_tier(quality: Column, toxic: Column) -> Column:
 
 
 SCALE = 1 << 20
+PRIOR_WORDS = 5000
+
+
+def quality_tokens(text: Column) -> Column:
+    """Lowercased words, and every other character that isn't white space on its own: markup debris tells junk from prose."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
+
 
 
 @dataclass
@@ -63,11 +71,13 @@ class QualityModel:
 
 
 def train_quality_model(labelled: DataFrame, *, text_col: str = "text", buckets: int = 1 << 18) -> QualityModel:
-    """Fit from counts: weight of a slot and class = log((words of the class in the slot + 1) / (words of the class + buckets)).
+    """Fit from counts: weight of a slot and class = log((c + PRIOR_WORDS * p) / (n + PRIOR_WORDS) / p), with c of the class's n
+    tokens in the slot and p = (tokens of the slot + 1) / (all tokens + buckets): a class is pulled towards the whole
+    corpus as if PRIOR_WORDS of its tokens came from there, so classes of few documents aren't at a disadvantage.
 
-    Words are hashed in the JVM as for L1. At most 3 x ``buckets`` counts and 3 priors reach the driver. Fit once and pass the model on: scoring is a plan
+    Tokens are lowercased words and single other characters, hashed in the JVM as for L1. At most 3 x ``buckets`` counts and 3 priors reach the driver. Fit once and pass the model on: scoring is a plan
     of its own. A class without documents never wins."""
-    rows = labelled.select(training_tier(F.col("quality"), F.col("toxic")).cast("int").alias("k"), norm_words(F.col(text_col)).alias("w"))
+    rows = labelled.select(training_tier(F.col("quality"), F.col("toxic")).cast("int").alias("k"), quality_tokens(F.col(text_col)).alias("w"))
     counts = rows.select("k", F.explode("w").alias("w")).groupBy("k", word_bucket(F.col("w"), buckets).alias("b")).agg(F.count(F.lit(1)).alias("c")).toPandas()
     docs = np.zeros(len(LABELS))
     for r in rows.groupBy("k").count().collect():
@@ -76,7 +86,8 @@ def train_quality_model(labelled: DataFrame, *, text_col: str = "text", buckets:
     table[counts["b"].to_numpy(np.int64), counts["k"].to_numpy(np.int64)] = counts["c"]
     whole = lambda x: np.floor(x * SCALE + 0.5).astype(np.int64)
     prior = np.log(np.where(docs > 0, docs, 1e-300) / max(1.0, docs.sum()))
-    return QualityModel(whole(np.log(table + 1.0) - np.log(table.sum(axis=0) + float(buckets))), whole(prior))
+    share = ((table.sum(axis=1) + 1.0) / (table.sum() + buckets))[:, None]
+    return QualityModel(whole(np.log((table + PRIOR_WORDS * share) / (table.sum(axis=0) + PRIOR_WORDS) / share)), whole(prior))
 
 
 def quality_logits(model: QualityModel, text: Column) -> Column:
@@ -96,7 +107,7 @@ def quality_logits(model: QualityModel, text: Column) -> Column:
             out.append((prior + weights[at].sum(axis=0)) / SCALE / math.sqrt(max(1, len(at))))
         return pd.Series(out, dtype=object)
     # Marked non-deterministic only so that a filter on a score isn't pushed below it, which would read each text twice.
-    return logits.asNondeterministic()(norm_words(text))
+    return logits.asNondeterministic()(quality_tokens(text))
 
 
 def score_documents(model: QualityModel, df: DataFrame, *, text_col: str = "text") -> DataFrame:

@@ -539,14 +539,16 @@ QUALITY_BUCKETS = 1 << 18
 
 def _quality_sql(src: str) -> str:
     """CTEs up to ``scored`` (id, quality_label, edu_score, depth_score, binary_edu_score): the model refitted, then the texts of ``src`` (id, text)."""
-    norm, b = O.lit(O.NORM), QUALITY_BUCKETS
+    tok, b, mu = O.lit(N.TOKEN_RE), QUALITY_BUCKETS, SC.PRIOR_WORDS
     return f"""
-qt AS (SELECT CASE WHEN l.quality = 0 THEN 0 WHEN l.toxic = 1 THEN 1 ELSE 2 END AS k, regexp_extract_all(lower(d.text), {norm}) AS w FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+qt AS (SELECT CASE WHEN l.quality = 0 THEN 0 WHEN l.toxic = 1 THEN 1 ELSE 2 END AS k, regexp_extract_all(lower(d.text), {tok}) AS w FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 qc AS (SELECT k, {O.md5_31('word')} % {b} AS bucket, count(*) AS c FROM (SELECT k, unnest(w) AS word FROM qt) GROUP BY ALL),
 qk AS (SELECT d.k, floor(ln(d.n / sum(d.n) OVER ()) * {SC.SCALE} + 0.5) AS prior, coalesce(t.n, 0) AS n FROM (SELECT k, count(*) AS n FROM qt GROUP BY k) d LEFT JOIN (SELECT k, sum(c) AS n FROM qc GROUP BY k) t ON d.k = t.k),
-qw AS (SELECT id, {O.md5_31('word')} % {b} AS bucket, count(*) AS m FROM (SELECT id, unnest(regexp_extract_all(lower(text), {norm})) AS word FROM {src}) GROUP BY ALL),
-qs AS (SELECT qw.id, qk.k, sum(m) AS n, sum(m * floor((ln(coalesce(qc.c, 0) + 1) - ln(qk.n + {b})) * {SC.SCALE} + 0.5)) AS z
-  FROM qw CROSS JOIN qk LEFT JOIN qc ON qc.k = qk.k AND qc.bucket = qw.bucket GROUP BY ALL),
+qw AS (SELECT id, {O.md5_31('word')} % {b} AS bucket, count(*) AS m FROM (SELECT id, unnest(regexp_extract_all(lower(text), {tok})) AS word FROM {src}) GROUP BY ALL),
+qa AS (SELECT bucket, sum(c) AS a FROM qc GROUP BY bucket),
+qp0 AS (SELECT qw.*, (coalesce(qa.a, 0) + 1) / ((SELECT sum(c) FROM qc) + {b}) AS p FROM qw LEFT JOIN qa ON qa.bucket = qw.bucket),
+qs AS (SELECT q.id, qk.k, sum(m) AS n, sum(m * floor(ln((coalesce(qc.c, 0) + {mu} * p) / (qk.n + {mu}) / p) * {SC.SCALE} + 0.5)) AS z
+  FROM qp0 q CROSS JOIN qk LEFT JOIN qc ON qc.k = qk.k AND qc.bucket = q.bucket GROUP BY ALL),
 qz AS (SELECT s.id, qk.k, (qk.prior + coalesce(qs.z, 0)) / {SC.SCALE} / sqrt(greatest(coalesce(qs.n, 0), 1)) AS z FROM {src} s CROSS JOIN qk LEFT JOIN qs ON qs.id = s.id AND qs.k = qk.k),
 qp AS (SELECT id, max(z) FILTER (WHERE k = 0) AS z0, max(z) FILTER (WHERE k = 1) AS z1, max(z) FILTER (WHERE k = 2) AS z2 FROM qz GROUP BY id),
 qe AS (SELECT *, exp(z0 - greatest(z0, z1, z2)) AS e0, exp(z1 - greatest(z0, z1, z2)) AS e1, exp(z2 - greatest(z0, z1, z2)) AS e2 FROM qp),

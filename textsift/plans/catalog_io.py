@@ -20,11 +20,12 @@ from textsift.operators import waterfall as WF
 from textsift.plans import catalog as C
 from textsift.plans import corpus as CP
 from textsift.plans import oracle as O
-from textsift.session import scratch_path
+from textsift.session import drop_path, scratch_path
 from textsift.sinks import writers as K
 from textsift.sources import archive as AR
 from textsift.sources import readers as S
 from textsift.sources.readers import table
+from textsift.streaming import incremental as IN
 
 register = C.register
 
@@ -61,6 +62,22 @@ def q_waterfall_custom_rules(spark, sf_dir):
     return WF.label(docs, C.PARAMS, language_col=None, rules=rules).select("doc_id", "filter_reason")
 
 
+@register("lexicon_matches", f"""
+WITH b AS (SELECT regexp_extract_all(lower(text), {O.lit(O.NORM)}) AS w FROM benchmark),
+lx AS (SELECT DISTINCT k, len(k) AS n FROM (SELECT list_slice(w, 1, 2) AS k FROM b WHERE len(w) >= 2 UNION ALL SELECT list_slice(w, 3, 3) FROM b WHERE len(w) >= 3)),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), {O.lit(O.NORM)}) AS w FROM documents),
+g AS (SELECT doc_id, list_slice(w, i, i) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+  UNION ALL SELECT doc_id, list_slice(w, i, i + 1) FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
+h AS (SELECT doc_id, count(*) AS hits FROM g JOIN lx ON lx.k = g.k GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(h.hits, 0) AS BIGINT) AS hits FROM d LEFT JOIN h ON h.doc_id = d.doc_id""")
+def q_lexicon_matches(spark, sf_dir):
+    """A lexicon of hyphenated entries (the first two words of each benchmark item) and of single words (the third)."""
+    w = T.norm_words(F.col("text"))
+    entries = table(spark, sf_dir, "benchmark").select(F.explode(F.array(F.when(F.size(w) >= 2, F.upper(F.array_join(F.slice(w, 1, 2), "-"))), F.get(w, 2))).alias("word"))
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True).select("doc_id", "text")
+    return R.lexicon_counts(docs, entries.where(F.col("word").isNotNull()))
+
+
 # --- L1 in the flow ----------------------------------------------------------------------------------------------------
 
 _SCORED = f"(SELECT doc_id, text, language, language_score FROM documents JOIN ({C._lang_sql('SELECT doc_id, language, language_score FROM scored')}) USING (doc_id))"
@@ -238,6 +255,49 @@ def q_page_documents(spark, sf_dir):
     return out.select("document.text", "document.title", "document.metadata.url", "document.metadata.date", "document.metadata.file_path")
 
 
+@register("archive_errors", """
+SELECT kind, CAST(CASE WHEN kind <> 'bad' THEN n ELSE 0 END AS BIGINT) AS pages, CAST(CASE WHEN kind = 'bad' THEN 2 ELSE 0 END AS BIGINT) AS errors
+FROM (SELECT count(*) AS n FROM pages), (VALUES ('bad'), ('warc')) k(kind)""")
+def q_archive_errors(spark, sf_dir):
+    """Files that are no archives, next to a good one: they give an error row each, the others' pages stay."""
+    path = scratch_path(spark, "archives")
+    crlf = "\r\n"
+    pages = table(spark, sf_dir, "pages")
+    block = F.concat(F.lit(f"HTTP/1.1 200 OK{crlf}Content-Type: text/html; charset=utf-8{crlf}{crlf}"), F.col("html"))
+    warc = F.concat(F.lit(f"WARC/1.0{crlf}WARC-Type: response{crlf}WARC-Target-URI: "), F.col("url"), F.lit(f"{crlf}Content-Length: "), F.octet_length(block).cast("string"), F.lit(crlf + crlf), block, F.lit(f"{crlf}\r"))
+    pages.select(warc.alias("value")).write.option("compression", "gzip").option("lineSep", "\n").text(f"{path}/warc")
+    pages.select("url").repartitionByRange(2, "page_id").write.text(f"{path}/bad")  # plain text
+    rows = AR.require_some_success(AR.read_archive(spark, path, glob="*/part-*"))
+    kind = F.element_at(F.split("file_path", "/"), -2).alias("kind")
+    return rows.groupBy(kind).agg(F.count_if(F.col("error").isNull()).alias("pages"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+
+
+@register("incremental_runs", C._wf_sql("SELECT id AS doc_id, filter_step, filter_reason FROM lab"))
+def q_incremental_runs(spark, sf_dir):
+    """S8, streaming form: two waves of files, a run after each, and a run whose last batch is replayed: its commit is lost."""
+    src, out, ck = (scratch_path(spark, x) for x in ("waves", "runs", "stream"))
+    docs = table(spark, sf_dir, "documents")
+    record = docs.select("doc_id", F.col("doc_id").cast("string").alias("id"), "text", F.struct(F.col("lang").alias("language"), F.lit(1.0).alias("language_score")).alias("metadata"))
+    for wave in range(2):
+        record.where(F.col("doc_id") % 2 == wave).drop("doc_id").write.option("compression", "gzip").json(f"{src}/wave={wave}")
+        IN.incremental_filter(spark, src, out, checkpoint=ck, params=C.PARAMS, glob="*.json.gz")
+    drop_path(spark, f"{ck}/commits/1")
+    IN.incremental_filter(spark, src, out, checkpoint=ck, params=C.PARAMS, glob="*.json.gz")
+    back = spark.read.option("recursiveFileLookup", "false").parquet(f"{out}/labelled")
+    step = F.when(F.col("filter_step") != "__HIVE_DEFAULT_PARTITION__", F.col("filter_step"))
+    return back.select(F.col("id").cast("bigint").alias("doc_id"), step.alias("filter_step"), "filter_reason")
+
+
+@register("repaired_text", "SELECT doc_id, text FROM documents")
+def q_repaired_text(spark, sf_dir):
+    """T4: texts broken once or twice (their UTF-8 bytes read as Latin-1) are as they were."""
+    def broken(t):
+        return F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+    docs = table(spark, sf_dir, "documents", cpu_heavy=True).select("doc_id", broken(F.col("text")).alias("t"))
+    docs = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, broken(F.col("t"))).otherwise(F.col("t")).alias("t"))
+    return docs.select("doc_id", N.fix_encoding(F.col("t")).alias("text"))
+
+
 # --- S5/A4/A17: rejects count as entries; accounting ------------------------------------------------------------------------
 
 @register("totals_with_rejects", """

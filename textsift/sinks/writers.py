@@ -17,14 +17,20 @@ def as_records(df: DataFrame, *, text_col: str = "text", title_col: str | None =
     cols = [F.col(text_col).alias("text")]
     if title_col and title_col in df.columns:
         cols.append(F.col(title_col).alias("title"))
-    cols.append(F.struct(*[F.col(c) for c in meta]).alias("metadata"))
+    if meta:
+        cols.append(F.struct(*[F.col(c) for c in meta]).alias("metadata"))
     return df.select(*cols, *partition_cols)
 
 
 def write_documents(df: DataFrame, path: str, *, fmt: str = "json", mode: str = "overwrite",
                     partition_cols: tuple[str, ...] = (), **kw) -> None:
-    """K1: gz JSONL (``fmt='json'``) or parquet."""
+    """K1: gz JSONL (``fmt='json'``) or parquet.
+
+    Partitioned writes are rebalanced by the folder first, so a folder gets few files however many tasks wrote to it, and a
+    folder that is larger than others is split by its size."""
     out = as_records(df, partition_cols=partition_cols, **kw)
+    if partition_cols:
+        out = out.hint("rebalance", *partition_cols)
     w = out.write.mode(mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
