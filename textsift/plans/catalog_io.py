@@ -272,6 +272,17 @@ def q_archive_errors(spark, sf_dir):
     return rows.groupBy(kind).agg(F.count_if(F.col("error").isNull()).alias("pages"), F.count_if(F.col("error").isNotNull()).alias("errors"))
 
 
+@register("archive_ranges", "SELECT url, '20080101000000' AS timestamp, html FROM pages")
+def q_archive_ranges(spark, sf_dir):
+    """Pages in archives of one gzip member a record, each archive read by several tasks by byte range."""
+    path = scratch_path(spark, "archives")
+    K.write_archives(table(spark, sf_dir, "pages").withColumn("timestamp", F.lit("20080101000000")), path)
+    largest = spark.read.format("binaryFile").load(f"{path}/*.warc.gz").agg(F.max("length")).first()[0] or 1
+    split = max(1, min(AR.SPLIT_BYTES, largest // 4))  # four ranges or more of the largest one at any size
+    rows = AR.require_some_success(AR.read_archive(spark, path, glob="*.warc.gz", split_bytes=split))
+    return rows.where(F.col("error").isNull()).select("url", "timestamp", "html")
+
+
 @register("incremental_runs", C._wf_sql("SELECT id AS doc_id, filter_step, filter_reason FROM lab"))
 def q_incremental_runs(spark, sf_dir):
     """S8, streaming form: two waves of files, a run after each, and a run whose last batch is replayed: its commit is lost."""

@@ -6,9 +6,15 @@ nested back to the reference's record shape ``{text, title, metadata: {...}}`` o
 
 from __future__ import annotations
 
+import gzip
+import uuid
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textsift.sources.archive import filesystem_of
+
 
 def as_records(df: DataFrame, *, text_col: str = "text", title_col: str | None = "title",
                partition_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -60,3 +66,28 @@ def write_tiers(scored: DataFrame, path: str, **kw) -> None:
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K5: a tidy statistics table as JSON lines (the collection is a column, not part of the file name)."""
     stats.write.mode(mode).json(path)
+
+
+def write_archives(pages: DataFrame, path: str, *, url_col: str = "url", time_col: str = "timestamp", html_col: str = "html") -> None:
+    """Pages as WARC files of one gzip member a record, a file for each partition; ``time_col``: 14 digits.
+
+    A file gets its name when it is whole, so a task that runs twice leaves one. Rows without page are empty pages.
+    """
+    def write(batches):
+        filesystem, folder = filesystem_of(path)
+        filesystem.create_dir(folder, recursive=True)
+        part, out = f"{folder}/.{uuid.uuid4().hex}", None
+        for pdf in batches:
+            out = out or filesystem.open_output_stream(part, compression=None)
+            for url, time, html in zip(pdf["url"], pdf["time"], pdf["html"], strict=True):
+                block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (html or "").encode()
+                date = f"{time[:4]}-{time[4:6]}-{time[6:8]}T{time[8:10]}:{time[10:12]}:{time[12:14]}Z" if time else ""
+                head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {url or ''}\r\nWARC-Date: {date}\r\nContent-Length: {len(block)}\r\n\r\n"
+                out.write(gzip.compress(head.encode() + block + b"\r\n\r\n", 6))
+            yield pdf[["url"]].iloc[:0]
+        if out:
+            out.close()
+            filesystem.move(part, f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz")
+
+    rows = pages.select(F.col(url_col).alias("url"), F.col(time_col).alias("time"), F.col(html_col).alias("html"))
+    rows.mapInPandas(write, "url string").write.format("noop").mode("overwrite").save()
