@@ -89,3 +89,56 @@ def test_wrapped_texts(spark):
              6: "Released  under\t\n \t the MIT\nLicense"}
     got = {r.doc_id: r.sequence for r in L.scan_licenses(spark.createDataFrame(list(parts.items()), "doc_id long, text string")).collect()}
     assert got == {0: "mit_notice", 1: "mit_title", 2: "mit_title", 3: "mit_notice mit_notice", 4: "", 5: "mit_title", 6: "mit_notice"}
+
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented.
+2. Altered source versions must be plainly marked as such, and must not be
+   misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_notices_tags_and_other_texts(spark):
+    lgpl = GPL.replace("GNU General Public License as", "GNU Lesser General Public License as").replace("version 3", "version 2.1").replace("program is free", "library is free")
+    agpl = GPL.replace("GNU General Public License as", "GNU Affero General Public License as")
+    zero = ISC.replace(", provided that the above\ncopyright notice and this permission notice appear in all copies", "")
+    texts = {
+        "This project is licensed under the MIT License.": "MIT", "This file is released under the MIT license, see LICENSE.": "MIT",
+        "This project is not licensed under the MIT License.": "", "We think that this project is licensed under the MIT License.": "", "Licensed under the MIT License of another kind.": "",
+        "Licensed under the BSD 3-Clause License": "BSD-3-Clause", "This library is distributed under the terms of the GNU Lesser General\nPublic License, version 3.": "LGPL-3.0",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "the code is available under the GPLv3 or later; see x": "GPL-3.0-or-later",
+        "SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "<!-- SPDX-License-Identifier: GPL-2.0-or-later -->": "GPL-2.0-or-later", "# spdx-license-identifier:MIT\nx": "MIT",
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "", "SPDX-License-Identifier: Made-Up-1.0\nMIT": "", "mit\nApache 2.0\nunlicense": "",
+        lgpl: "LGPL-2.1-or-later", agpl: "AGPL-3.0-or-later", ISC: "ISC", zero: "0BSD", ZLIB: "Zlib", MPL: "MPL-2.0", ISC.split("\n\n")[0]: "", ZLIB.replace("1. The", "3. The").split("2. Alt")[0]: "",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in L.scan_licenses(df).collect()}
+    assert {t: got[i] for i, t in enumerate(texts)} == texts
+
+
+def test_sql_on_planted_lines(spark):
+    import duckdb
+    texts = [f"{a}{n.title()}{b}\nnext" for n in L.NAMES for a, b in (("This work is licensed under the ", "."), ("Released under ", ", see the LICENSE file for details"), ("", "."), ("Never published under ", ""))]
+    texts += [f"// SPDX-License-Identifier: {x}" for x in L.SPDX] + [k.capitalize() + "." for k in L.SENTENCES] + [None, "", "word " * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    documents = df.toPandas()  # noqa: F841 - read by the SQL
+    columns = ["doc_id", "n_sentences", "sequence", "rules", "licenses"]
+    want = duckdb.sql(L.oracle()).df()[columns].sort_values("doc_id").values.tolist()
+    assert L.scan_licenses(df).toPandas()[columns].sort_values("doc_id").values.tolist() == want
+    assert {r for w in want for r in w[3].split(",")} >= {n for n, _, ids in L.RULES if len(ids) == 1}
