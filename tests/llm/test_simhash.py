@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 
 from textsift.llm import simhash as S
+from textsift.operators.components import connected_components
 
 
 def brute(docs, radius=4, n=4):
@@ -77,11 +78,30 @@ def test_hot_buckets_small_chunks(spark):
     df = spark.createDataFrame([(int(np.uint64(x).view(np.int64)), k) for k, x in rows], "fp long, rep long")
     want = components(rows, 4)
     for chunk in (40, 4096):
-        from textsift.operators.components import connected_components
         got = dict(connected_components(S.links(df, 4, chunk), "u", "v").collect())
         assert [got.get(k, k) for k, _ in rows] == want
 
 
+def test_any_number_of_blocks_finds_every_link(spark):
+    rnd = random.Random(8)
+    fps = []
+    for _ in range(120):
+        f = rnd.getrandbits(64)
+        fps.append(f)
+        for bits in (1, 3, 4, 4, 5, 6):
+            fps.append(f ^ sum(1 << b for b in rnd.sample(range(64), bits)))
+    fps = list(dict.fromkeys(fps))
+    want = dict(enumerate(components(list(enumerate(fps)), 4)))
+    df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f, i) for i, f in enumerate(fps)], "fp long, rep long")
+    for blocks in (7, 10):
+        got = dict(connected_components(S.links(df, 4, 64, blocks), "u", "v").collect())
+        assert {i: got.get(i, i) for i in want} == want, blocks
+    assert [S.blocks_for(n, 4) for n in (0, 10**6, 2 * 10**8, 10**9, 10**10, 10**12)] == [6, 6, 6, 7, 7, 8] and S.blocks_for(10**10, 0) == 2
+    for n in (10**9, 10**10, 10**11):
+        blocks = S.blocks_for(n, 4)
+        assert n >> sum(S.widths_of(blocks)[4:]) <= 256
+
+
 def test_within_counts_every_radius():
     rng = np.random.default_rng(1)
     fps = rng.integers(0, 2**63, 300).astype(np.uint64)

@@ -3,8 +3,9 @@
 1. Every text gets a 64-bit fingerprint: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, shingles of ``shingle`` words
    (fewer words: the whole sequence), XXH64 with seed 42 of each; a bit is 1 if set in over half the hashes.
 2. Equal fingerprints are one row from here on, whatever their number of documents.
-3. The 64 bits are cut into ``radius + 2`` blocks. Fingerprints that differ in at most ``radius`` bits agree on at
-   least two whole blocks, so each pair of blocks gives a table, its two values the bucket: no link is lost.
+3. The 64 bits are cut into B blocks, B at least ``radius + 2``. Fingerprints that differ in at most ``radius`` bits agree on
+   at least B - ``radius`` whole blocks, so each choice of so many blocks gives a table, its values the bucket: no link
+   is lost. B follows the number of fingerprints (``blocks_for``), so that a bucket's rows don't grow with the corpus.
 4. Within a bucket, fingerprints are stored as bit planes (plane b holds bit b of 64 fingerprints a word). The
    distances of many pairs are counted at once with carry-save counters, and a block of words leaves as soon as all
    of its pairs exceed the radius. Small buckets compare the planes with themselves shifted, large ones with one
@@ -20,6 +21,7 @@ vertex for linking, also where their texts differ; each keeps its row. All is do
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -245,21 +247,30 @@ def _tile(radius: int):
     return run
 
 
-def links(groups: DataFrame, radius: int, chunk: int) -> DataFrame:
+def widths_of(blocks: int) -> list[int]:
+    return [64 // blocks + (k < 64 % blocks) for k in range(blocks)]
+
+
+def blocks_for(fingerprints: int, radius: int, rows: int = 256) -> int:
+    """The fewest blocks of which ``blocks - radius`` have so many bits that a bucket of spread fingerprints has at most ``rows``."""
+    blocks = radius + 2
+    while blocks < 64 and fingerprints >> sum(widths_of(blocks)[radius:]) > rows:
+        blocks += 1
+    return blocks
+
+
+def links(groups: DataFrame, radius: int, chunk: int, blocks: int | None = None) -> DataFrame:
     """(u, v) between representatives of fingerprints within the radius: enough of them to join every group.
 
     ``groups``: one row per fingerprint (fp, rep).
     """
-    blocks = radius + 2
-    width = [64 // blocks + (k < 64 % blocks) for k in range(blocks)]
-    low = [sum(width[:k]) for k in range(blocks)]
-    value = lambda k: F.shiftrightunsigned("fp", low[k]).bitwiseAND((1 << width[k]) - 1)
-    pairs = [(i, j) for i in range(blocks) for j in range(i)]
-    bits = 2 * max(width)
-    # with radius 0 all 64 bits are the two blocks; the table number then needs no bits of its own
-    buckets = [F.xxhash64(value(i), value(j), F.lit(t)) if bits > 56 else
-               F.shiftleft(F.lit(t).cast("bigint"), bits) + F.shiftleft(value(i), width[j]) + value(j) for t, (i, j) in enumerate(pairs)]
-    rows = groups.where(F.col("rep").isNotNull()).select("fp", "rep", F.explode(F.array(*buckets)).alias("bucket"))
+    blocks = blocks or blocks_for(groups.count(), radius)
+    width = widths_of(blocks)
+    mask = [((1 << n) - 1) << sum(width[:k]) for k, n in enumerate(width)]
+    tables = [sum(mask[k] for k in chosen) for chosen in combinations(range(blocks), blocks - radius)]
+    # two buckets that share a hash are compared with each other too: more work, no other result
+    buckets = F.transform(F.array(*[F.lit(m - 2**64 if m >= 2**63 else m).cast("bigint") for m in tables]), lambda m, t: F.xxhash64(F.col("fp").bitwiseAND(m), t))
+    rows = groups.where(F.col("rep").isNotNull()).select("fp", "rep", F.explode(buckets).alias("bucket"))
     found = saved(rows.repartition("bucket").sortWithinPartitions("bucket", "fp").mapInPandas(_compare(radius, chunk), LINKS), "links")
     near = found.where(F.col("bucket").isNull()).select("u", "v")
     large = found.where(F.col("bucket").isNotNull()).select("bucket", "chunk", "fp", F.col("u").alias("rep"))
