@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -33,3 +36,70 @@ def test_chain_uses_out_of_fold_probabilities():
     flip = np.where(rng.random(400) < 0.1, 1 - first, first)
     models, out = T.fit_chain(T.Rows(x), np.column_stack([first, flip]), np.arange(400) % 4, 20)
     assert models[1]["e"][0] > 1 and ((out[:, 0] > 0.5) == (first > 0.5)).mean() > 0.97
+
+
+def plain_features(t):
+    out = set()
+    for w in (t or "").split():
+        w = re.sub(r"^\W+|\W+$", "", w.lower())
+        out |= {("word", w)} | {(n, w[:n]) for n in (4, 5, 6) if len(w) > n} if w else set()
+    return out
+
+
+def plain_model(x, y):
+    """Logistic regression with an L2 penalty of 1/2 on all but the intercept, by Newton steps on dense rows."""
+    x = np.column_stack([x, np.ones(len(x))])
+    ridge, v = np.diag([1.0] * (x.shape[1] - 1) + [0.0]), np.zeros(x.shape[1])
+    v[-1] = np.log(y.mean() / (1 - y.mean()))
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ v))
+        v -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge + 1e-9 * np.eye(len(v)), x.T @ (p - y) + ridge @ v)
+    return v
+
+
+def plain_standouts(x, y):
+    n, pos, share = x.sum(0), x.T @ y, y.mean()
+    return (n >= 3) & (np.abs(pos - n * share) / np.sqrt(n * share * (1 - share) + 1e-9) > 1)
+
+
+def test_against_plain_chain(spark):
+    rnd = random.Random(5)
+    words = [f"term{chr(97 + k % 26)}{k}" for k in range(60)]
+    texts, marks = [], []
+    for _ in range(300):
+        t = rnd.choices(words, k=rnd.randrange(3, 25))
+        junk = sum(w in words[:8] for w in t) + rnd.random() > 2.3
+        toxic = sum(w in words[5:15] for w in t) + 1.5 * junk + rnd.random() > 3.2
+        texts.append(" ".join(rnd.choice([w, w.upper(), f"({w})", w + "!"]) for w in t))
+        marks.append((int(junk), int(toxic)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, None if i % 17 == 0 else 1 - a, b) for i, (a, b) in enumerate(marks) if i < 240], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in T.toxicity(docs, labels, T.label_chain(), features=100_000).collect()}
+
+    fold = {r.doc_id: (r.h >> 8) % 4 for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    sets = [plain_features(t) for t in texts]
+    names = sorted(set().union(*sets), key=str)
+    x = np.array([[float(f in s) for f in names] for s in sets])
+    fold = np.array([fold[i] for i in range(300)])
+    y = np.array([[np.nan if i % 17 == 0 or i >= 240 else a, np.nan if i >= 240 else b] for i, (a, b) in enumerate(marks)], float)
+    first = np.zeros(len(names), bool)
+    for c in y.T:  # over the labelled sample, as Spark's first choice
+        ok = ~np.isnan(c)
+        first |= plain_standouts(x[ok], c[ok])
+    first &= x[:240].sum(0) >= 3
+    x = x[:, first]
+    folded, final = np.zeros((300, 0)), np.zeros((300, 0))
+
+    def one(rows, c, e, to, e_to):
+        keep = plain_standouts(x[rows], c[rows])
+        v = plain_model(np.column_stack([x[rows][:, keep], e[rows]]), c[rows])
+        return 1 / (1 + np.exp(-np.column_stack([x[to][:, keep], e_to[to], np.ones(len(to))]) @ v))
+    for c in y.T:
+        ok, out = ~np.isnan(c), np.zeros(300)
+        for f in range(4):
+            to = np.nonzero(fold == f)[0]
+            out[to] = one(np.nonzero(ok & (fold != f))[0], c, folded, to, folded)
+        last = one(np.nonzero(ok)[0], c, folded, np.arange(300), final)
+        folded, final = np.column_stack([folded, out]), np.column_stack([final, last])
+    p = np.array([[got[i].p_junk, got[i].p_toxic] for i in range(300)])
+    assert 0.1 < np.nanmean(y[:, 1]) < 0.9 and np.abs(p - final).max() < 0.02, np.abs(p - final).max()
