@@ -11,9 +11,10 @@ TEXTS = [(3, "Hello world it's 12 o'clock"), (1, None), (2, ""), (7, " \t\n"), (
 TEXTS += [(100 + i, f"word{i % 7} and {'more ' * (i % 50)}") for i in range(300)]
 
 
-def test_round_trip_against_plain_encoding(spark, tmp_path):
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_round_trip_against_plain_encoding(spark, name):
     from tokenizers import Tokenizer
-    path = P.path("word_bpe_49k.json")
+    path = P.path(name)
     df = spark.createDataFrame([(i, t, "x", 5) for i, t in TEXTS], "doc_id long, text string, start string, h int")
     got = T.token_positions(df, path, file_bytes=20000, group_ids=700, block_ids=256).collect()
     plain = Tokenizer.from_file(path)
@@ -36,3 +37,18 @@ def test_damage_is_found():
         bad[at] ^= 1
         with pytest.raises(Exception):  # noqa: B017
             list(T.read_groups(bytes(bad)))
+
+
+def test_tokenizers_encoded_by_word():
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+    load = lambda name: Tokenizer.from_file(P.path(name))
+    assert T.drops_spaces(load("word_bpe_49k.json")) and not T.drops_spaces(load("byte_bpe_50k.json"))
+    own = Tokenizer(models.BPE())
+    assert not T.drops_spaces(own)
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    assert T.drops_spaces(own)
+    own.normalizer = normalizers.Replace("  ", "")  # joins words two spaces apart
+    assert not T.drops_spaces(own)
+    own.normalizer = normalizers.Lowercase()
+    own.add_tokens(["new york"])
+    assert not T.drops_spaces(own)

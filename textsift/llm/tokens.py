@@ -9,9 +9,9 @@ A ``D`` frame lists the documents of a group: part, number, then ids, id flags a
 after it hold the group's blocks: number of ids, CRC-32 of the ids as little-endian u32, alphabet length, alphabet,
 code. Spark's text writer puts the bytes down; the line feed is its line end.
 
-Tokenising is by word: the tokenizer drops white space and no token spans it, so a text's ids are those of its words
-one after another, and equal words are encoded once for a batch (a bounded memory keeps them between batches). Words
-are encoded with the tokenizers library.
+Tokenising is by word where the tokenizer drops white space and no token spans it: a text's ids are then those of its words
+one after another, and equal words are encoded once for a batch (a bounded memory keeps them between batches). Whether
+that holds is probed when the file is loaded (``drops_spaces``); for any other tokenizer whole texts are encoded.
 
 Scale: one shuffle of the texts; a task holds one group (``group_ids`` ids, or one document) at a time. The running
 starts need one row a file.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textsift.llm import idcoder
-from textsift.llm.common import saved, scratch
+from textsift.llm.common import SPACES, saved, scratch
 
 MAGIC = b"TSID"
 HEAD = struct.Struct("<4scII")
@@ -44,6 +44,25 @@ WORDS_KEPT = 1 << 19  # some 100 MB
 DOCS_AT_ONCE = 100
 
 
+# One or two characters of every kind that normalisers and pre-tokenizers tell apart.
+PROBES = ["a", "Z", "7", "'", "'s", "#", "_", ".", "\u00e9", "\u0301", "\u65e5", "\U0001F600", "<", "\u00a0"]
+GAPS = [*SPACES, "  ", " \n", "\r\n"]
+
+
+def drops_spaces(tokenizer) -> bool:
+    """Whether a text's tokens are those of its words: no added token touches white space, and before tokens are looked up
+    a text falls into the pieces of its words, whatever stands on either side of the white space."""
+    before = tokenizer.pre_tokenizer
+    if before is None or tokenizer.truncation or tokenizer.padding:
+        return False
+    if any(t.lstrip or t.rstrip or t.single_word or set(t.content) & set(SPACES) for t in tokenizer.get_added_tokens_decoder().values()):
+        return False
+    form = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+    pieces = lambda text: [p for p, _ in before.pre_tokenize_str(form(text))]
+    alone = {p: pieces(p) for p in PROBES}
+    return all(pieces(x + gap + y) == alone[x] + alone[y] for x in PROBES for y in PROBES for gap in GAPS) and not any(pieces(gap) for gap in GAPS)
+
+
 class WordIds(dict):
     """Ids of a word as little-endian u32; words not known yet are encoded together."""
 
@@ -51,6 +70,7 @@ class WordIds(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores busy
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = drops_spaces(self.tokenizer)
 
     def add(self, words: set[bytes]) -> None:
         if len(self) > WORDS_KEPT:
@@ -60,6 +80,9 @@ class WordIds(dict):
         self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, got, strict=True))
 
     def texts(self, raw: list[bytes], end_id: int) -> list[bytes]:
+        if not self.by_word:
+            got = self.tokenizer.encode_batch([t.decode() for t in raw], add_special_tokens=False)
+            return [np.array([*e.ids, end_id], "<u4").tobytes() for e in got]
         split = [t.split() for t in raw]  # runs of \x20 and \x09-\x0D
         self.add({w for words in split for w in words})
         end = struct.pack("<I", end_id)
