@@ -145,12 +145,11 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text", min_words: int = 20, max_repeat: int = 30, threshold: float = 0.5) -> DataFrame:
-    """The documents kept, with the columns of ``docs``. The rules run a second time instead of storing the texts again."""
+    """The documents kept, with the columns of ``docs``. The documents are written once with their votes, so that the rules run once."""
     prefix = "q_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix += "_"
-    df = measured(docs, text_col, prefix)
+    failed = base_failed(prefix, min_words, max_repeat).alias(prefix + "failed")
+    df = saved(measured(docs, text_col, prefix).select(*docs.columns, *[f"{prefix}v_{r[0]}" for r in RULES], failed), "votes")
     model = estimate(saved(vote_patterns(df, prefix).coalesce(1), "patterns"), prefix)
-    kept = ~base_failed(prefix, min_words, max_repeat) & (posterior(model, prefix) >= threshold)
-    # behind a Generate, so that the filter isn't pushed below the measures and they run once
-    return df.select(*docs.columns, F.inline(F.array(F.struct(kept.alias(prefix + "kept"))))).where(prefix + "kept").select(docs.columns)
+    return df.where(~F.col(prefix + "failed") & (posterior(model, prefix) >= threshold)).select(docs.columns)
