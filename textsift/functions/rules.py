@@ -66,6 +66,61 @@ def ngram_fields(predicate) -> set[str]:
     return set(seen)
 
 
+class Reads:
+    """Stands in for ``Ctx`` to find out what a rule reads: names of arrays in ``arrays``, n-gram metrics in ``ng``."""
+
+    def __init__(self, ngram_engine: str = "arrow"):
+        self.text, self.arrays, self.ng = F.lit(""), set(), NgramFields() if ngram_engine == "arrow" else None
+
+    def _array(self, name: str) -> Column:
+        self.arrays.add(name)
+        return F.array().cast("array<string>")
+
+    w = property(lambda self: self._array(W))
+    nw = property(lambda self: self._array(NW))
+    lines = property(lambda self: self._array(L))
+    nb = property(lambda self: self._array(NB))
+
+
+def first_failing(df: DataFrame, predicates: list, text_col: str = "text", ngram_engine: str = "arrow", name: str = "_rule") -> DataFrame:
+    """``df`` with the number (from 1) of the first of ``predicates(ctx)`` that is true; null where none is.
+
+    Each predicate is evaluated once, and for the documents that passed all before it. So are the arrays and the n-gram
+    metrics: they are bound where the first predicate reads them, and null for documents that are decided by then."""
+    if ngram_engine not in ("arrow", "catalyst"):
+        raise ValueError(f"unknown ngram_engine {ngram_engine!r}")
+    read = []
+    for pred in predicates:
+        read.append(r := Reads(ngram_engine))
+        pred(r)
+    metrics = tuple(sorted(set().union(*[r.ng or () for r in read])))
+    keep, out, bound, chain = df.columns, df, [], None
+    made = {W: T.words(text_col), NW: T.norm_words(text_col), L: T.lines(text_col), NB: T.nonblank(F.col(L))}
+    ctx = Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB), F.col(NG) if metrics else None)
+
+    def decided(rows: DataFrame) -> DataFrame:
+        return rows if chain is None else T.materialize(rows, [*keep, *bound], **{name: chain})
+
+    for i, (pred, r) in enumerate(zip(predicates, read), 1):
+        new = [a for a in (W, NW, L, NB) if a not in bound and (a in r.arrays or a == L and NB in r.arrays)]
+        new += [NG] if r.ng and NG not in bound else []
+        if new:
+            out = decided(out)
+            open_ = F.col(name).isNull() if name in out.columns else F.lit(True)
+            for a in new:
+                if a == NG:
+                    from textsift.functions.ngrams import ngram_metrics
+                    out = out.withColumn(NG, ngram_metrics(F.when(open_, F.col(text_col)), open_, metrics))
+                else:
+                    out = out.withColumn(a, F.when(open_, made[a]))
+            bound += new
+            chain = F.when(F.col(name).isNotNull(), F.col(name)) if name in out.columns else None
+        cond = pred(ctx)
+        chain = F.when(cond, F.lit(i)) if chain is None else chain.when(cond, F.lit(i))
+    bound = []
+    return decided(out) if chain is not None else out.withColumn(name, F.lit(None).cast("int"))
+
+
 def bind(df: DataFrame, text_col: str = "text", ngram_engine: str = "arrow",
          ngram_need=None, fields: tuple[str, ...] | None = None) -> tuple[DataFrame, Ctx]:
     """Materialise the token arrays once; later projections reference them by name.

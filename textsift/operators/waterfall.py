@@ -1,9 +1,9 @@
 """Ordered filter waterfall.
 
 A document is removed by the first rule it fails; later steps see survivors only; one (step, reason) per removed
-document. The whole waterfall is one narrow projection: token arrays are bound once, then a ``CASE WHEN`` chain
-names the first failing rule. ``CASE WHEN`` evaluates lazily, so the costly n-gram rules only run for documents
-that passed every cheaper rule before them. No shuffle.
+document. A ``CASE WHEN`` chain numbers the first failing rule. It evaluates lazily and once, and is cut where a rule
+first reads an array of tokens or the n-gram metrics (``rules.first_failing``), so these are only made for documents
+that passed every rule before. No shuffle.
 """
 
 from __future__ import annotations
@@ -176,26 +176,12 @@ def label(df: DataFrame, params: FilterParams = FilterParams(), *, text_col: str
     body = (rules if rules is not None else default_rules(params)) + list(extra_rules)
     chain += body
 
-    # The n-gram UDF only runs for documents that pass every rule before the first one that reads n-gram metrics;
-    # which rules do, and which metrics, is found by evaluating them on a stand-in, not from their names.
-    fields = [R.ngram_fields(pred) for _s, _r, pred in chain]
-    first_ng = next((i for i, f in enumerate(fields) if f), None)
-
-    def need(c: R.Ctx) -> Column:
-        cond = F.lit(True)
-        for _s, _r, pred in chain[:first_ng]:
-            cond = cond & ~F.coalesce(pred(c), F.lit(False))
-        return cond
-
-    bound, ctx = R.bind(out, text_col, ngram_engine, need if first_ng is not None else None, tuple(sorted(set().union(*fields))))
-    step = reason = None
-    for st, rs, pred in chain:
-        cond = pred(ctx)
-        step = F.when(cond, F.lit(st)) if step is None else step.when(cond, F.lit(st))
-        reason = F.when(cond, F.lit(rs)) if reason is None else reason.when(cond, F.lit(rs))
-    keep = [c for c in out.columns]
-    labelled = R.T.materialize(bound, keep, filter_step=step, filter_reason=reason)
-    return labelled
+    rule = "_rule"
+    while rule in map(str.lower, out.columns):
+        rule = "_" + rule
+    numbered = R.first_failing(out, [pred for _s, _r, pred in chain], text_col, ngram_engine, rule)
+    named = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in chain]), F.col(rule))
+    return numbered.select(*out.columns, named(0).alias("filter_step"), named(1).alias("filter_reason"))
 
 
 def split(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
