@@ -33,3 +33,12 @@ def test_arrays_are_made_for_open_documents_only(spark):
     seen = R.first_failing(df, [lambda c: c.text == "three", lambda c: F.size(c.w) == 2])
     assert {r.id: r._rule for r in seen.collect()} == {1: 2, 2: 1}
     assert "CASE WHEN isnull(_rule" in seen._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_survivors_are_unlabelled(spark):
+    """A document that passes every rule has no step and no reason."""
+    survivor = "A casa que fica no alto foi vista com a lua.\nO mar entrou para uma sala de pedra, e ninguém falou.\nDepois chegaram três barcos pequenos de pesca, cada um com dois homens cansados a bordo.\nUma criança trouxe pão quente, queijo fresco, figos maduros; todos comeram em silêncio sob estrelas."
+    df = spark.createDataFrame([(1, survivor, "pt", 1.0), (2, "one two three", "pt", 1.0)], "id long, text string, language string, language_score double").repartition(1)
+    out = WF.label(df)
+    assert [(r.id, r.filter_step is None, r.filter_reason is None) for r in out.orderBy("id").collect()] == [(1, True, True), (2, False, False)]
+    assert WF.split(out)[0].count() == 1

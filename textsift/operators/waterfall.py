@@ -180,7 +180,8 @@ def label(df: DataFrame, params: FilterParams = FilterParams(), *, text_col: str
     while rule in map(str.lower, out.columns):
         rule = "_" + rule
     numbered = R.first_failing(out, [pred for _s, _r, pred in chain], text_col, ngram_engine, rule)
-    named = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in chain]), F.col(rule))
+    # (``element_at`` counts as never null for an array without nulls, even where its index is null)
+    named = lambda k: F.when(F.col(rule).isNotNull(), F.element_at(F.array(*[F.lit(r[k]) for r in chain]), F.col(rule)))
     return numbered.select(*out.columns, named(0).alias("filter_step"), named(1).alias("filter_reason"))
 
 
