@@ -8,7 +8,7 @@ no signature, and is never a duplicate. Two hash families:
 * ``affine31`` (portable): the first 4 bytes of the shingle's MD5 mod p = 2^31 - 1, and ``(a*h + b) mod p`` with
   ``a, b`` drawn by a fixed rule from MD5 as well, so that any SQL engine can recompute the signature.
 
-Shingles are hashed in the JVM. The minima are taken per document in an Arrow-batched UDF (numpy over the shingle hashes), once; band keys are two
+Shingles are hashed in the JVM. The minima are taken per document in an Arrow UDF (numpy over the shingle hashes), once; band keys are two
 64-bit hashes of the band's values, so the shuffle carries ``(scope, band, key1, key2, id)`` and never the text.
 """
 
@@ -18,7 +18,7 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -82,29 +82,40 @@ def shingles(words, n: int) -> set[str]:
     return {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
-def signature_31(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
+CHUNK_VALUES = 1 << 17  # hash values (shingles x functions) held at once, 1 MB
+
+
+def signature_31(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.full(len(a), P31, dtype=np.int64)
-    h = np.asarray(hashes, dtype=np.int64)
+    h, chunk = np.asarray(hashes, dtype=np.int64), max(1, CHUNK_VALUES // len(a))
     for lo in range(0, len(h), chunk):
         np.minimum(out, ((a[:, None] * h[None, lo:lo + chunk] + b[:, None]) % P31).min(axis=1), out=out)
-    return out.tolist()
+    return out
 
 
-def signature_64(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, chunk: int = 8192) -> list[int]:
+def signature_64(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.full(len(a), 2**64 - 1, dtype=np.uint64)
-    h = np.asarray(hashes, dtype=np.int64).view(np.uint64)
+    h, chunk = np.asarray(hashes, dtype=np.int64).view(np.uint64), max(1, CHUNK_VALUES // len(a))
     for lo in range(0, len(h), chunk):
         np.minimum(out, (a[:, None] * h[None, lo:lo + chunk] + b[:, None]).min(axis=1), out=out)
-    return out.view(np.int64).tolist()
+    return out.view(np.int64)
 
 
 def _signature_udf(cfg: MinhashConfig):
     minima, params = (signature_64, hash_params_64) if cfg.family == "xx64" else (signature_31, hash_params)
     a, b = params(cfg.num_hashes)
 
-    @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
-    def sig(hashes: pd.Series) -> pd.Series:
-        return pd.Series([None if h is None or not len(h) else minima(h, a, b) for h in hashes], dtype=object)
+    @F.arrow_udf(Ty.ArrayType(Ty.LongType()))
+    def sig(hashes: pa.Array) -> pa.Array:
+        # flat on both sides: a batch costs its hashes and 8 bytes a value of its signatures, no Python numbers
+        # (the one hash of a null text is null and counts as the least number)
+        values, ends = hashes.values.fill_null(-1 << 63).to_numpy(), hashes.offsets.to_numpy()
+        some = hashes.is_valid().to_numpy(zero_copy_only=False) & (np.diff(ends) > 0)
+        out = np.empty((int(some.sum()), len(a)), dtype=np.int64)
+        for row, i in enumerate(np.flatnonzero(some)):
+            out[row] = minima(values[ends[i]:ends[i + 1]], a, b)
+        at = np.concatenate([[0], np.cumsum(some)]) * len(a)
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out.ravel()), mask=pa.array(~some))
 
     # Marked non-deterministic only so that a filter on the signature is never pushed below the projection (and below a
     # spread of the input), where it would run the UDF a second time. The values are deterministic.
