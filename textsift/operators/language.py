@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,23 +67,43 @@ def python_bucket(word: str, buckets: int) -> int:
     return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % P31 % buckets
 
 
+#: Words that ``word_slots`` looks at in one go (a longer document is taken whole), and slots that it remembers.
+WORDS_AT_ONCE = 1 << 17
+SLOTS_KEPT = 1 << 17
+
+
+def word_slots(words: pa.Array, buckets: int) -> Iterator[np.ndarray]:
+    """The slot of every word of each document of a batch (a list array; null: no words). A few documents at a time: each distinct
+    word becomes a Python string once, and memory doesn't follow the batch."""
+    slot: dict[str, int] = {}
+    ends = words.offsets.to_numpy()
+    full = words.is_valid().to_numpy(zero_copy_only=False)
+    first = 0
+    while first < len(words):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + WORDS_AT_ONCE, "right")) - 1)
+        coded = words.values.slice(ends[first], ends[last] - ends[first]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(slot) > SLOTS_KEPT:
+            slot.clear()
+        for w in distinct:
+            if w not in slot:
+                slot[w] = python_bucket(w, buckets)
+        at = np.fromiter(map(slot.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        for i in range(first, last):
+            yield at[ends[i] - ends[first]:ends[i + 1] - ends[first]] if full[i] else at[:0]
+        first = last
+
+
 def detected(model: LanguageModel, text: Column) -> Column:
     """Struct (language, language_score) of a text, in place."""
     weights, buckets = model.weights, model.buckets
     prior, denom = np.array(model.log_prior), np.array(model.log_denom)
     names = np.array([*model.languages, None], dtype=object)
 
-    @F.pandas_udf("language string, language_score double")
-    def score(words: pd.Series) -> pd.DataFrame:
-        slot: dict[str, int] = {}
+    @F.arrow_udf("language string, language_score double")
+    def score(words: pa.Array) -> pa.Array:
         out = []
-        for ws in words:
-            at = np.zeros(0 if ws is None else len(ws), dtype=np.int64)
-            for i, w in enumerate(() if ws is None else ws):
-                b = slot.get(w)
-                if b is None:
-                    b = slot[w] = python_bucket(w, buckets)
-                at[i] = b
+        for at in word_slots(words, buckets):
             n = len(at)
             if not n or not len(prior):
                 out.append((None, 0.0))
@@ -91,7 +112,8 @@ def detected(model: LanguageModel, text: Column) -> Column:
             e = np.exp(z - z.max())
             best = int(np.argmax(z))  # first maximum (languages are sorted)
             out.append((names[best], float(e[best] / e.sum())))
-        return pd.DataFrame(out, columns=["language", "language_score"])
+        columns = [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64(), from_pandas=True)]
+        return pa.StructArray.from_arrays(columns, ["language", "language_score"])
 
     return score(norm_words(text))
 

@@ -5,8 +5,8 @@ Two predictor paths:
 * built-in: three classes of hashed words in closed form. The fit is one aggregation (counts by slot and class, the
   sufficient statistics); weights are whole numbers (2^-20 of a log likelihood), so sums have one value in any order and
   any engine. Scoring is in place: no row for a word, no shuffle;
-* pluggable: any Python predictor over Arrow batches (``mapInPandas``), loaded once per task, batches of
-  ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows (1,000 like the reference). A failing batch keeps its rows
+* pluggable: any Python predictor over Arrow batches (``mapInArrow``), loaded once per task, batches of at most 1,000 rows
+  (like the reference) and 8 MB of text, however many rows Spark's own batches have. A failing batch keeps its rows
   and records the error (the reference dropped the batch). A predictor with a bounded input gets a document as windows of so
   many words (``score_windows``), where the reference cut the text; a document's scores are those of its windows,
   weighted by their words.
@@ -19,17 +19,18 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from typing import Callable
+from typing import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from textsift.functions.normalize import TOKEN_RE
 from textsift.functions.text import words
-from textsift.operators.language import python_bucket, word_bucket
+from textsift.operators.language import word_bucket, word_slots
 
 # Tier names in logit order, and the binary edu threshold.
 LABELS = ["low", "medium", "high"]
@@ -94,18 +95,10 @@ def quality_logits(model: QualityModel, text: Column) -> Column:
     """Logits of the three classes: (prior + sum of the words' weights) / SCALE / sqrt(number of words)."""
     weights, prior = model.weights, model.prior
 
-    @F.pandas_udf("array<double>")
-    def logits(words: pd.Series) -> pd.Series:
-        slot: dict[str, int] = {}
-        out = []
-        for ws in words:
-            ws = () if ws is None else ws
-            for w in ws:
-                if w not in slot:
-                    slot[w] = python_bucket(w, len(weights))
-            at = np.fromiter((slot[w] for w in ws), np.int64, len(ws))
-            out.append((prior + weights[at].sum(axis=0)) / SCALE / math.sqrt(max(1, len(at))))
-        return pd.Series(out, dtype=object)
+    @F.arrow_udf("array<double>")
+    def logits(words: pa.Array) -> pa.Array:
+        out = [(prior + weights[at].sum(axis=0)) / SCALE / math.sqrt(max(1, len(at))) for at in word_slots(words, len(weights))]
+        return pa.array(out, pa.list_(pa.float64()))
     # Marked non-deterministic only so that a filter on a score isn't pushed below it, which would read each text twice.
     return logits.asNondeterministic()(quality_tokens(text))
 
@@ -128,24 +121,46 @@ PREDICTION_FIELDS = [Ty.StructField("edu_score", Ty.DoubleType()), Ty.StructFiel
                      Ty.StructField("logits", Ty.ArrayType(Ty.DoubleType())), Ty.StructField("error", Ty.StringType())]
 
 
+#: A predictor's batch: rows (like the reference) and bytes of text; a longer text is a batch of its own.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Cuts an Arrow batch so that column ``at`` of a piece is bounded, however many rows Spark puts into a batch."""
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    first = 0
+    while first < batch.num_rows:
+        last = min(first + BATCH_ROWS, max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_BYTES, "right")) - 1))
+        last = min(last, batch.num_rows)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def score_with(df: DataFrame, predictor_factory: Callable[[], Callable[[list[str]], tuple]], *,
                text_col: str = "text") -> DataFrame:
     """C1 + C6 with a user predictor: ``predictor_factory()`` runs once per task and returns
     ``predict(texts) -> (edu_scores, depth_scores, logits)``. Errors are kept per batch in ``error``."""
     schema = Ty.StructType(df.schema.fields + PREDICTION_FIELDS)
+    at = df.columns.index(text_col)
+    kinds = [pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.string()]
 
     def run(batches):
         predict = predictor_factory()
-        for pdf in batches:
-            try:
-                edu, depth, logits = predict(pdf[text_col].tolist())
-                out = pdf.assign(edu_score=list(edu), depth_score=list(depth), logits=[list(x) for x in logits],
-                                 error=None)
-            except Exception as e:  # noqa: BLE001 - a failing batch keeps its rows
-                out = pdf.assign(edu_score=None, depth_score=None, logits=None, error=f"{type(e).__name__}: {e}")
-            yield out
-
-    scored = df.mapInPandas(run, schema)
+        for whole in batches:
+            for b in small_batches(whole, at):
+                n = b.num_rows
+                try:
+                    edu, depth, logits = predict(b.column(at).to_pylist())
+                    made = [list(edu), list(depth), [list(x) for x in logits], [None] * n]
+                    if any(len(m) != n for m in made):
+                        raise ValueError(f"a batch of {n} texts has {[len(m) for m in made[:3]]} predictions")
+                    columns = [pa.array(m, k, from_pandas=True) for m, k in zip(made, kinds)]
+                except Exception as e:  # noqa: BLE001 - a failing batch keeps its rows
+                    columns = [pa.nulls(n, k) for k in kinds[:3]] + [pa.array([f"{type(e).__name__}: {e}"] * n, kinds[3])]
+                yield pa.RecordBatch.from_arrays([*b.columns, *columns], schema.names)
+
+    scored = df.mapInArrow(run, schema)
     return (scored.withColumn("quality_label", argmax_label(F.col("logits")))
             .withColumn("binary_edu_score", binary_edu(F.col("edu_score"))))
 
