@@ -2,8 +2,8 @@
 
 These chain the operators the way the reference chains its scripts, but as one Spark program per entry: the only
 shuffles are the spread of small inputs, the MinHash band aggregation, the component rounds and the statistics.
-The labelled frame is checkpointed once (reliable, in ``spark.checkpoint.dir``) because both its kept and removed
-halves are consumed.
+The labelled frame is written once, as a table in the shared folder, because both its kept and removed halves are
+consumed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from textsift.operators import language as LG
 from textsift.operators import minhash as M
 from textsift.operators import scoring as SC
 from textsift.operators import waterfall as WF
-from textsift.session import checkpoint_dir
+from textsift.session import saved
 
 
 def pages_to_documents(pages: DataFrame, *, id_col: str = "page_id", variant: str | None = "br",
@@ -41,11 +41,9 @@ def curate(docs: DataFrame, quality_model, *, params: WF.FilterParams = WF.Filte
     Returns ``(tiered, labelled)``: the final documents with ``quality_label`` etc., and the labelled frame with
     every removed document's step and reason (for the removed sinks and the reason statistics).
     """
-    spark = docs.sparkSession
-    checkpoint_dir(spark)
     if language_model is not None:
         docs = LG.with_language(language_model, docs)
-    labelled = WF.label(docs, params).checkpoint()
+    labelled = saved(WF.label(docs, params), "labelled")  # an eager checkpoint would run the waterfall twice
     kept, _removed = WF.split(labelled)
     formatted = WF.format_survivors(kept)
     deduped, _dups = D.dedup(formatted, cfg, id_col=id_col, scope=(collection_col,))
