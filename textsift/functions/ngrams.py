@@ -16,11 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
-from textsift.functions.text import WORD_RE
-
 TOP_NS = (2, 3, 4)
 DUP_NS = (5, 6, 7, 8, 9, 10)
-_WORD = re.compile(WORD_RE)
 FIELDS = tuple(f"top_{n}gram_chars" for n in TOP_NS) + tuple(f"dup_{n}gram_chars" for n in DUP_NS)
 _FIELD = re.compile(r"(top|dup)_([0-9]+)gram_chars")
 
@@ -37,11 +34,12 @@ def metrics(text: str, tops: tuple[int, ...] = TOP_NS, dups: tuple[int, ...] = D
     (exact, no hashing), and each size costs one sort of whole numbers. From the size on at which no n-gram
     repeats, none needs numbering.
     """
-    words = _WORD.findall(text)
+    raw = text.encode()
+    words = raw.split()  # the white space of bytes is that of WORD_RE
     k = len(words)
-    number: dict[str, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, k)
-    lens = np.fromiter(map(len, words), np.int64, k)
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, k)
+    lens = np.fromiter(map(len, number) if len(raw) == len(text) else (len(w.decode()) for w in number), np.int64, len(number))[ids]
     ends = np.concatenate([[0], np.cumsum(lens)])
     got: dict[tuple[str, int], int] = {}
     grams, repeats = ids, len(number) < k

@@ -31,8 +31,11 @@ def dedup_lines(ls: Column) -> Column:
     """Drop second and later occurrences of a line (compared trimmed); blank lines are kept as separators.
 
     Sort (trimmed line, position) pairs, keep the first position of each run, then restore document order.
-    O(k log k) per document, no shuffle.
+    O(k log k) per document, no shuffle. Lines of which none repeats are left as they are.
     """
+    def repeats(ls: Column) -> Column:
+        return T.let(F.transform(T.nonblank(ls), lambda x: F.trim(x)), lambda t: F.size(F.array_distinct(t)) < F.size(t))
+
     def dedup(ls: Column) -> Column:
         k = F.size(ls)
         tagged = F.transform(F.sequence(F.lit(1), k),
@@ -50,12 +53,14 @@ def dedup_lines(ls: Column) -> Column:
         keep = F.array_sort(F.array_union(T.let(F.array_sort(tagged), firsts), blanks))
         return F.transform(keep, lambda p: F.element_at(ls, p))
 
-    return T.let(ls, dedup)
+    return T.let(ls, lambda ls: F.when(repeats(ls), dedup(ls)).otherwise(ls))
 
 
 def drop_short_lines(ls: Column, min_words: int = 3) -> Column:
     """Drop non-blank lines with fewer than ``min_words`` words."""
-    return F.filter(ls, lambda x: ~x.rlike(T.NONBLANK_RE) | (F.size(T.words(x)) >= min_words))
+    space, word = r"[ \t\r\f\x0B]", T.NONBLANK_RE
+    enough = rf"\A{space}*+(?:{word}++{space}++){{{max(min_words, 1) - 1}}}{word}"
+    return F.filter(ls, lambda x: ~x.rlike(T.NONBLANK_RE) | x.rlike(enough))
 
 
 def post_scrape(text: Column, remove_dup_lines: bool = True, remove_short_lines: bool = True,

@@ -38,6 +38,7 @@ BULLET_LINE_RE = r"\A[ \t]*" + _cls(BULLETS)
 
 # Columns bound once per row by ``bind``.
 W, NW, L, NB, NG = "_w", "_nw", "_l", "_nb", "_ng"
+WS = "_ws"  # counts of the words, for rules that need no array
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,28 @@ class Ctx:
     lines: Column
     nb: Column
     ng: Column | None = None  # struct from ngrams.ngram_metrics when engine="arrow"
+    ws: Column | None = None  # struct from word_counts, where it is bound
+
+    @property
+    def n_words(self) -> Column:
+        return F.size(self.w) if self.ws is None else self.ws["n"]
+
+    @property
+    def word_chars(self) -> Column:
+        return T.total_length(self.w) if self.ws is None else self.ws["chars"]
+
+    @property
+    def alpha_words(self) -> Column:
+        return alpha_words(self.w) if self.ws is None else self.ws["alpha"]
+
+
+def alpha_words(ws: Column) -> Column:
+    return F.size(F.filter(ws, lambda x: x.rlike(T.ALPHA_RE)))
+
+
+def word_counts(text: str | Column) -> Column:
+    """Struct of the number of words, their characters and the words with a letter; the array of words is not kept."""
+    return T.let(T.words(text), lambda w: F.struct(F.size(w).alias("n"), T.total_length(w).alias("chars"), alpha_words(w).alias("alpha")))
 
 
 class NgramFields(dict):
@@ -80,6 +103,7 @@ class Reads:
     nw = property(lambda self: self._array(NW))
     lines = property(lambda self: self._array(L))
     nb = property(lambda self: self._array(NB))
+    n_words = word_chars = alpha_words = property(lambda self: self.arrays.add(WS) or F.lit(0))
 
 
 def first_failing(df: DataFrame, predicates: list, text_col: str = "text", ngram_engine: str = "arrow", name: str = "_rule") -> DataFrame:
@@ -95,14 +119,14 @@ def first_failing(df: DataFrame, predicates: list, text_col: str = "text", ngram
         pred(r)
     metrics = tuple(sorted(set().union(*[r.ng or () for r in read])))
     keep, out, bound, chain = df.columns, df, [], None
-    made = {W: T.words(text_col), NW: T.norm_words(text_col), L: T.lines(text_col), NB: T.nonblank(F.col(L))}
-    ctx = Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB), F.col(NG) if metrics else None)
+    made = {W: T.words(text_col), WS: word_counts(text_col), NW: T.norm_words(text_col), L: T.lines(text_col), NB: T.nonblank(T.lines(text_col))}
+    ctx = Ctx(F.col(text_col), F.col(W), F.col(NW), F.col(L), F.col(NB), F.col(NG) if metrics else None, F.col(WS))
 
     def decided(rows: DataFrame) -> DataFrame:
         return rows if chain is None else T.materialize(rows, [*keep, *bound], **{name: chain})
 
     for i, (pred, r) in enumerate(zip(predicates, read), 1):
-        new = [a for a in (W, NW, L, NB) if a not in bound and (a in r.arrays or a == L and NB in r.arrays)]
+        new = [a for a in (W, WS, NW, L, NB) if a not in bound and a in r.arrays]
         new += [NG] if r.ng and NG not in bound else []
         if new:
             out = decided(out)

@@ -89,7 +89,7 @@ def repetition_rules(p: FilterParams) -> list[Rule]:
                     > thr))
     for n, thr in p.dup_n_grams:
         out.append((s, f"duplicated_{n}_n_grams",
-                    lambda c, n=n, thr=thr: ratio(R.dup_chars_n(c, n), R.T.total_length(c.w)) > thr))
+                    lambda c, n=n, thr=thr: ratio(R.dup_chars_n(c, n), c.word_chars) > thr))
     return out
 
 
@@ -106,24 +106,24 @@ def line_quality_rules(p: FilterParams) -> list[Rule]:
         out.append((s, "char_dup_ratio", lambda c: ratio(R.T.dup_chars(c.nb), R.T.total_length(c.nb))
                     >= p.char_duplicates_ratio))
     if p.new_line_ratio is not None:
-        out.append((s, "list_ratio", lambda c: ratio(F.size(c.lines) - 1, F.size(c.w)) > p.new_line_ratio))
+        out.append((s, "list_ratio", lambda c: ratio(R.T.count_substr(c.text, "\n"), c.n_words) > p.new_line_ratio))
     return out
 
 
 def doc_quality_rules(p: FilterParams) -> list[Rule]:
     s = STEP_DOC_QUALITY
     out: list[Rule] = []
-    nw = lambda c: F.size(c.w)
+    nw = lambda c: c.n_words
     if p.min_doc_words is not None:
         out.append((s, "gopher_short_doc", lambda c: nw(c) < p.min_doc_words))
     if p.max_doc_words is not None:
         out.append((s, "gopher_long_doc", lambda c: nw(c) > p.max_doc_words))
     if p.min_avg_word_length is not None:
         out.append((s, "gopher_below_avg_threshold",
-                    lambda c: ratio(R.T.total_length(c.w), nw(c)) < p.min_avg_word_length))
+                    lambda c: ratio(c.word_chars, nw(c)) < p.min_avg_word_length))
     if p.max_avg_word_length is not None:
         out.append((s, "gopher_above_avg_threshold",
-                    lambda c: ratio(R.T.total_length(c.w), nw(c)) > p.max_avg_word_length))
+                    lambda c: ratio(c.word_chars, nw(c)) > p.max_avg_word_length))
     if p.max_symbol_word_ratio is not None:
         out.append((s, "gopher_too_many_hashes",
                     lambda c: ratio(R.T.count_substr(c.text, "#"), nw(c)) > p.max_symbol_word_ratio))
@@ -137,8 +137,7 @@ def doc_quality_rules(p: FilterParams) -> list[Rule]:
             F.size(F.filter(c.nb, lambda x: x.rlike(R.ELLIPSIS_LINE_RE))), F.size(c.nb))
             > p.max_ellipsis_lines_ratio))
     if p.max_non_alpha_words_ratio is not None:
-        out.append((s, "gopher_below_alpha_threshold", lambda c: ratio(
-            F.size(F.filter(c.w, lambda x: x.rlike(R.T.ALPHA_RE))), nw(c)) < p.max_non_alpha_words_ratio))
+        out.append((s, "gopher_below_alpha_threshold", lambda c: ratio(c.alpha_words, nw(c)) < p.max_non_alpha_words_ratio))
     if p.max_lexicon_hits is not None and p.lexicon:
         out.append((s, "lexicon_hits", lambda c: R.lexicon_hits(c, list(p.lexicon)) > p.max_lexicon_hits))
     if p.min_stop_words is not None and p.stop_words:

@@ -60,6 +60,13 @@ def spread(df: DataFrame, tasks_per_core: int = 4) -> DataFrame:
     return df
 
 
+def spread_files(df: DataFrame, tasks_per_core: int = 4) -> DataFrame:
+    """``spread`` for rows of files that can't be split (gzip): as many partitions as were read say how many tasks there are,
+    the files' compressed bytes don't. With several a core it is a no-op."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism * tasks_per_core
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *, cpu_heavy: bool = False) -> DataFrame:
     """A driver table ``{sf_dir}/{name}.parquet``; ``cpu_heavy`` spreads it over the cores."""
     ship(spark)

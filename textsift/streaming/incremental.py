@@ -5,6 +5,7 @@ The reference skips inputs whose output already exists. Here a file-source Struc
 later picks up only files that arrived since. The caller names the checkpoint folder, which must be the same in every run and on
 shared storage, so a later or restarted job resumes where the last one stopped. Each micro-batch goes through the same
 waterfall and replaces the folder ``batch_id=<n>``: a batch that is replayed after a failure overwrites what it had written.
+Gzip files are not splittable, so a batch of few files is dealt to several tasks a core before its documents are filtered.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsift.operators import waterfall as WF
-from textsift.sources.readers import DOCUMENT_SCHEMA
+from textsift.sources.readers import DOCUMENT_SCHEMA, spread_files
 
 
 def read_documents_stream(spark: SparkSession, path: str, glob: str = "*.jsonl.gz",
@@ -37,13 +38,13 @@ def incremental_filter(spark: SparkSession, input_path: str, output_path: str, *
     flat = src.select("id", "text", F.col("metadata.url").alias("url"), F.col("metadata.date").alias("date"),
                       F.col("metadata.language").alias("language"),
                       F.col("metadata.language_score").alias("language_score"))
-    labelled = WF.label(flat, params)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         folder = posixpath.join(output_path, "labelled", f"batch_id={batch_id}")
-        batch.write.mode("overwrite").partitionBy("filter_step").parquet(folder)
+        labelled = WF.label(spread_files(batch), params)
+        labelled.write.mode("overwrite").partitionBy("filter_step").parquet(folder)
 
-    q = (labelled.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    q = (flat.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
