@@ -52,3 +52,28 @@ def test_tokenizers_encoded_by_word():
     own.normalizer = normalizers.Lowercase()
     own.add_tokens(["new york"])
     assert not T.drops_spaces(own)
+
+
+def test_words_are_encoded_in_lines(monkeypatch):
+    """Words joined to lines have the ids they have alone, those with the mark in them too; known words outlive a task."""
+    path = P.path("word_bpe_49k.json")
+    words = [w.encode() for w in ["plain", "a~b", "~", "café", "é", "日本", "'s", "don't", "x" * 300, "\x00", " ", "12,5", "|~|", "<unk>"]]
+    own = T.WordIds(path)
+    alone = {w: np.array(own.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words}
+    asked = []
+    monkeypatch.setattr(T.WordIds, "encode", lambda self, texts, f=T.WordIds.encode: asked.append(len(texts)) or f(self, texts))
+    for size in (1, 3, 200):
+        monkeypatch.setattr(T, "WORDS_A_LINE", size)
+        own.clear()
+        own.add(set(words))
+        assert dict(own) == alone
+    own.clear()
+    asked.clear()
+    own.add({w for w in words if b"~" not in w})
+    assert sum(asked) == 1
+    monkeypatch.setattr(T, "WORDS_KEPT", 2)
+    for _ in range(2):  # the memory is cut: what was met last stays
+        own.add({b"plain", b"12,5"})
+        assert own.keys() == {b"plain", b"12,5"} and len(own.before) > 1
+    assert sum(asked) == 1
+    assert T.word_ids(path) is T.word_ids(path)

@@ -10,7 +10,7 @@ after it hold the group's blocks: number of ids, CRC-32 of the ids as little-end
 code. Spark's text writer puts the bytes down; the line feed is its line end.
 
 Tokenising is by word where the tokenizer drops white space and no token spans it: a text's ids are then those of its words
-one after another, and equal words are encoded once for a batch (a bounded memory keeps them between batches). Whether
+one after another, and equal words are encoded once for a batch (a bounded memory keeps them between batches and tasks). Whether
 that holds is probed when the file is loaded (``drops_spaces``); for any other tokenizer whole texts are encoded.
 
 Scale: one shuffle of the texts; a task holds one group (``group_ids`` ids, or one document) at a time. The running
@@ -22,6 +22,7 @@ ordered by a hash of their text, then the text. An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 import struct
@@ -41,6 +42,8 @@ from textsift.llm.common import SPACES, saved, scratch
 MAGIC = b"TSID"
 HEAD = struct.Struct("<4scII")
 WORDS_KEPT = 1 << 19  # some 100 MB
+WORDS_A_LINE = 200
+MARKS = "~|^`"
 DOCS_AT_ONCE = 100
 
 
@@ -64,31 +67,65 @@ def drops_spaces(tokenizer) -> bool:
 
 
 class WordIds(dict):
-    """Ids of a word as little-endian u32; words not known yet are encoded together."""
+    """Ids of a word as little-endian u32; words not known yet are encoded together.
+
+    They are joined to lines, a mark of one id between them: a line costs about half of its words one by one. A line in which the
+    mark's id isn't there as often as the mark is encoded by word."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores busy
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.before = Tokenizer.from_file(path), {}
         self.by_word = drops_spaces(self.tokenizer)
+        self.mark = next(((m, ids[0]) for m in MARKS if len(ids := self.encode([m])[0]) == 1), None)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def add(self, words: set[bytes]) -> None:
-        if len(self) > WORDS_KEPT:
+        if len(self) > WORDS_KEPT // 2:  # words met since stay, those before go
+            self.before = dict(self)
             self.clear()
-        new = [w for w in words if w not in self]
-        got = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, got, strict=True))
+        new = []
+        for w in words - self.keys():
+            if (ids := self.before.get(w)) is None:
+                new.append(w)
+            else:
+                self[w] = ids
+        lines = [new[a:a + WORDS_A_LINE] for a in range(0, len(new), WORDS_A_LINE)]
+        if self.mark:
+            gap = f" {self.mark[0]} ".encode()
+            got = self.encode([gap.join(line).decode() for line in lines])
+        for i, line in enumerate(lines):
+            if self.mark:
+                ids = np.array(got[i], "<u4")
+                cuts = np.flatnonzero(ids == self.mark[1])
+            if self.mark and len(cuts) == len(line) - 1:
+                raw, at = ids.tobytes(), [-4, *(4 * cuts).tolist(), 4 * len(ids)]
+                self.update((w, raw[at[k] + 4:at[k + 1]]) for k, w in enumerate(line))
+            else:
+                self.update((w, np.array(x, "<u4").tobytes()) for w, x in zip(line, self.encode([w.decode() for w in line]), strict=True))
 
     def texts(self, raw: list[bytes], end_id: int) -> list[bytes]:
         if not self.by_word:
-            got = self.tokenizer.encode_batch([t.decode() for t in raw], add_special_tokens=False)
-            return [np.array([*e.ids, end_id], "<u4").tobytes() for e in got]
+            return [np.array([*ids, end_id], "<u4").tobytes() for ids in self.encode([t.decode() for t in raw])]
         split = [t.split() for t in raw]  # runs of \x20 and \x09-\x0D
         self.add({w for words in split for w in words})
         end = struct.pack("<I", end_id)
         return [b"".join([*map(self.__getitem__, words), end]) for words in split]
 
 
+@functools.lru_cache(maxsize=1)
+def _loaded(path: str, _changed: tuple[int, int]) -> WordIds:
+    return WordIds(path)
+
+
+def word_ids(path: str) -> WordIds:
+    """The tokenizer file's word ids, kept by a Python worker from task to task until the file changes."""
+    at = os.stat(path)
+    return _loaded(path, (at.st_mtime_ns, at.st_size))
+
+
 # --- frames --------------------------------------------------------------------------------------------------------
 
 def frame(kind: bytes, payload: bytes) -> bytes:
@@ -155,7 +192,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
                  block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 2_000_000) -> None:
     """Tokenise ``docs`` and write them below ``path`` in ascending order of id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, words, held, size = TaskContext.get().partitionId(), 0, WordIds(tokenizer), ([], []), 0
+        part, number, words, held, size = TaskContext.get().partitionId(), 0, word_ids(tokenizer), ([], []), 0
         out = lambda made: pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["frame"])
         for b in batches:
             for a in range(0, b.num_rows, DOCS_AT_ONCE):
