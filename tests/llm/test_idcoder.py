@@ -32,3 +32,12 @@ def test_compresses_repetition_and_uniform():
 def test_runs_up_to_the_confidence_limits():
     a = np.array([1, 2, 3] * 3000 + [4, 2, 3, 1] * 1000 + list(range(3000)))
     round_trip(a, 7)
+
+
+def test_carries_run_through_the_code():
+    """Long blocks of likely and unlikely ids in turn: the code's carries reach units put out before."""
+    rng = np.random.default_rng(1)
+    for odds in (0.01, 0.3, 0.9):
+        ids = np.where(rng.random(60000) < odds, rng.integers(0, 1 << 20, 60000), 7)
+        round_trip(ids, 31)
+    assert C.encode([np.zeros(1, np.uint32)])[0][1] and round_trip([5], 1) < 16

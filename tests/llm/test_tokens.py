@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textsift.llm import tokens as T
@@ -77,3 +78,50 @@ def test_words_are_encoded_in_lines(monkeypatch):
         assert own.keys() == {b"plain", b"12,5"} and len(own.before) > 1
     assert sum(asked) == 1
     assert T.word_ids(path) is T.word_ids(path)
+
+
+def test_words_of_letters_skip_the_file_s_pipeline(monkeypatch):
+    """Letters, with punctuation behind them or not, have the ids of plain encoding, whatever the letters; they go to the model in lines without marks."""
+    path = P.path("word_bpe_49k.json")
+    own = T.WordIds(path)
+    easy = ["plain", "Plain", "PLAIN", "Straße", "ÉTÉ", "été,", "naïve...", "x" * 300, "word'", "a|;", "foo<|", "ÿ", "Þ", "b)}]", "!?", "'", ""]
+    hard = ["\u0130stanbul", "\u212a", "\u212bngstr\u00f6m", "e\u0301te\u0301", "\u0301a", "don't", "'s", "a's,", "a.b", "\u00d7", "a\u00d7b", "\u00f7", "12,5", "a1", "\u65e5\u672c,",
+            "\u03a3\u0391\u03a3", "\u01c5", "<|endoftext|>", "a<|startoftext|>b", "\ufb01n", "\u0149", "\u2014", "a\u2014", "\u00a0a", "a\u0085", "\x1ca", "#a"]
+    asked = []
+    monkeypatch.setattr(T.WordIds, "encode", lambda self, texts, f=T.WordIds.encode: asked.extend(texts) or f(self, texts))
+    for _ in range(2):
+        got = own.of_words(pa.array(easy + hard, pa.string())).to_pylist()
+        assert got == [np.array(own.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in easy + hard]
+    assert len(asked) == 1 and not {"plain", "straße", "été"} & set(asked[0].lower().split())
+    monkeypatch.setattr(own.letters, "usable", False)
+    assert own.of_words(pa.array(easy + hard, pa.string())).to_pylist() == got
+    own.letters.usable = True
+    monkeypatch.setattr(T, "LETTERS_KEPT", 2)
+    for _ in range(3):  # the memory is cut
+        assert own.of_words(pa.array(easy + hard, pa.string())).to_pylist() == got
+
+
+def test_other_files_are_encoded_as_they_say(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+    path = str(tmp_path / "own.json")
+    words = pa.array(["Plain", "été,", "new", "york!", "plain?"])
+    for change in (lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.WhitespaceSplit()), lambda t: t.add_tokens(["new"]), lambda t: t.add_tokens(["k!"])):
+        own = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+        change(own)
+        own.save(path)
+        got = T.WordIds(path)
+        assert not got.letters.usable
+        assert got.of_words(words).to_pylist() == [np.array(own.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words.to_pylist()]
+
+
+def test_a_word_is_one_number(monkeypatch):
+    """A group lists the ids of a word once, and codes a number for each word, not for each id."""
+    own, texts = T.WordIds(P.path("word_bpe_49k.json")), ["onorheat  thanheha, \n", "", "Thanheha, onorheat onorheat"] * 50
+    plain = [[*own.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    made = own.runs(pa.chunked_array([texts[:7], texts[7:]], pa.string()), 2)
+    monkeypatch.setattr(T, "BLOCKS_AT_ONCE", 3)
+    data = b"".join(f + b"\n" for f in T.write_runs(0, 1, list(range(150)), *made, 16))
+    (part, number, docs, ids), = T.read_groups(data)
+    assert (part, number, docs, [x.tolist() for x in ids]) == (0, 1, list(range(150)), plain)
+    blocks = [p for kind, p in T.frames(data) if kind == b"B"]
+    assert sum(int.from_bytes(p[:4], "little") for p in blocks) == 50 * 5 + 150 < sum(map(len, plain)) // 2
