@@ -52,10 +52,10 @@ HEAD = struct.Struct("<4scII")
 WORDS_KEPT = 1 << 19  # some 100 MB
 WORDS_A_LINE = 200
 MARKS = "~|^`"
-LETTERS_KEPT = 1 << 20  # some 200 MB
+LETTERS_KEPT = 1 << 20  # some 40 MB
 DOCS_AT_ONCE = 100
 BLOCKS_AT_ONCE = 4096
-MEAN_WORD = 6  # bytes of a word and the space behind it, about
+MEAN_WORD = 7  # bytes of a word and the space behind it, rather more than less
 
 
 # One or two characters of every kind that normalisers and pre-tokenizers tell apart.
@@ -88,14 +88,15 @@ LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 LETTERS_MARKS = re.compile(f"(?:{LETTERS.pattern})?[{re.escape(string.punctuation)}]*")
 
 
-class Letters(dict):
+class Letters:
     """Ids of runs of ``LETTERS`` (A-Z lower-cased) as little-endian u32, by the file's model after a pre-tokenizer that only cuts at
-    spaces; None for other texts. A run ends with a token of the end-of-word suffix, so a line of runs is cut there."""
+    spaces; null for other texts. A run ends with a token of the end-of-word suffix, so a line of runs is cut there. Those met last
+    are kept in two Arrow arrays, a tenth of what a dict takes."""
 
     def __init__(self, tokenizer, form: dict):
         from tokenizers import Tokenizer, pre_tokenizers
-        self.before, suffix = {}, form["model"].get("end_of_word_suffix")
-        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        suffix, added = form["model"].get("end_of_word_suffix"), [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.known, self.coded, self.met, self.calls = pa.array([""]), pa.array([b""]), np.zeros(1, np.int64), 0
         self.usable = (form["normalizer"], form["pre_tokenizer"]) == APART and bool(suffix) and not form["model"].get("dropout") and not any(map(LETTERS_MARKS.fullmatch, added))
         if self.usable:
             self.bare = Tokenizer(tokenizer.model)
@@ -104,28 +105,32 @@ class Letters(dict):
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
-    def add(self, runs: list[str]) -> None:
-        if len(self) > LETTERS_KEPT // 2:  # runs met since stay, those before go
-            self.before = dict(self)
-            self.clear()
-        self[""], new, none = b"", [], b"none"
-        for r in runs:
-            if r not in self:
-                if (ids := self.before.get(r, none)) is not none:
-                    self[r] = ids
-                elif LETTERS.fullmatch(r):
-                    new.append(r)
-                else:
-                    self[r] = None
-        lines = [new[a:a + WORDS_A_LINE] for a in range(0, len(new), WORDS_A_LINE)]
-        for line, e in zip(lines, self.bare.encode_batch_fast([" ".join(x).lower() for x in lines], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            cuts = 4 * np.flatnonzero(self.ends[ids]) + 4
-            if len(cuts) == len(line) and cuts[-1] == 4 * len(ids):
-                raw, at = ids.tobytes(), [0, *cuts.tolist()]
-                self.update((r, raw[at[k]:at[k + 1]]) for k, r in enumerate(line))
-            else:
-                self.update(dict.fromkeys(line))
+    def ids(self, runs: pa.Array) -> pa.Array:
+        """Of distinct runs."""
+        self.calls += 1
+        at = pc.index_in(runs, self.known)
+        new = runs.filter(at.is_null())
+        self.met[at.drop_null().to_numpy()] = self.calls
+        known, coded = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.coded, self.encoded(listed(new))])
+        self.met = np.concatenate([self.met, np.full(len(new), self.calls)])
+        out = coded.take(pc.index_in(runs, known) if len(new) else at)
+        if len(known) > LETTERS_KEPT:
+            last = pa.array(np.sort(np.argsort(-self.met, kind="stable")[:LETTERS_KEPT // 4 * 3]))
+            known, coded, self.met = known.take(last), coded.take(last), self.met[last.to_numpy()]
+        self.known, self.coded = known, coded
+        return out
+
+    def encoded(self, runs: list[str]) -> pa.Array:
+        got, good = dict.fromkeys(runs), [r for r in runs if LETTERS.fullmatch(r)]
+        lines = [good[a:a + WORDS_A_LINE] for a in range(0, len(good), WORDS_A_LINE)]
+        for a in range(0, len(lines), 100):
+            for line, e in zip(lines[a:a + 100], self.bare.encode_batch_fast([" ".join(x).lower() for x in lines[a:a + 100]], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = 4 * np.flatnonzero(self.ends[ids]) + 4
+                if len(cuts) == len(line) and cuts[-1] == 4 * len(ids):
+                    raw, at = ids.tobytes(), [0, *cuts.tolist()]
+                    got.update((r, raw[at[k]:at[k + 1]]) for k, r in enumerate(line))
+        return pa.array(got.values(), pa.binary())
 
 
 class WordIds(dict):
@@ -185,31 +190,34 @@ class WordIds(dict):
         marked = np.flatnonzero(pc.binary_length(words).to_numpy() > size)
         tails = [w[n:] for w, n in zip(listed(words.take(pa.array(marked)).cast(pa.binary())), size[marked].tolist(), strict=True)]
         heads = pc.ascii_lower(heads).dictionary_encode()
-        runs, at = listed(heads.dictionary), heads.indices.to_numpy()
-        self.letters.add(runs)
-        ids = [self.letters[r] for r in runs]
-        coded = [ids[i] for i in at.tolist()]
-        other = np.flatnonzero(np.array([x is None for x in ids], bool)[at])
+        heads = self.letters.ids(heads.dictionary).take(heads.indices)
+        other = np.flatnonzero(heads.is_null().to_numpy(zero_copy_only=False))
         whole = listed(words.take(pa.array(other)).cast(pa.binary()))
         self.add({*tails, *whole})
-        for i, tail in zip(marked.tolist(), tails, strict=True):
-            if coded[i] is not None:
-                coded[i] += self[tail]
-        for i, w in zip(other.tolist(), whole, strict=True):
-            coded[i] = self[w]
-        return pa.array(coded, pa.binary())
+        behind = pa.DictionaryArray.from_arrays(*self.tails(marked, tails, len(words))).dictionary_decode()
+        coded = pc.binary_join_element_wise(heads, behind, b"")
+        return pc.replace_with_mask(coded, coded.is_null(), pa.array([self[w] for w in whole], pa.binary())) if len(whole) else coded
+
+    def tails(self, marked: np.ndarray, tails: list[bytes], n: int) -> tuple[pa.Array, pa.Array]:
+        """The ids of the punctuation behind ``n`` words as a dictionary's numbers and values; none but behind ``marked``."""
+        number = {t: i for i, t in enumerate(dict.fromkeys(tails), 1)}
+        at = np.zeros(n, np.int32)
+        at[marked] = [number[t] for t in tails]
+        return pa.array(at), pa.array([b"", *map(self.__getitem__, number)], pa.binary())
 
     def runs(self, texts: pa.ChunkedArray, end_id: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Runs of ids in texts (those of words, and the end id), the texts as numbers of runs, and how many each has."""
         lists = pc.ascii_split_whitespace(texts)  # at runs of \x20 and \x09-\x0D
-        found = pc.list_flatten(lists).combine_chunks().dictionary_encode()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        found = pc.list_flatten(lists).dictionary_encode().combine_chunks()
+        del lists
         coded = self.of_words(found.dictionary).dictionary_encode()
-        number = coded.indices.to_numpy()[found.indices.to_numpy()]
         runs = pa.concat_arrays([coded.dictionary, pa.array([struct.pack("<I", end_id)], pa.binary())])
-        some = pc.binary_length(coded.dictionary).to_numpy()[number] > 0  # a word may have no ids
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-        kept = np.concatenate([[0], np.cumsum(some)])[ends]
-        return runs, np.insert(number[some], kept, len(runs) - 1), np.diff(kept, prepend=0) + 1
+        number = coded.indices.to_numpy().take(found.indices.to_numpy())
+        # a word may have no ids
+        some = (pc.binary_length(coded.dictionary).to_numpy() > 0).take(number)
+        ends -= np.searchsorted(np.flatnonzero(~some), ends)
+        return runs, np.insert(number[some], ends, len(runs) - 1), np.diff(ends, prepend=0) + 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -348,16 +356,21 @@ def read_groups(data: bytes) -> Iterator[tuple[int, int, list[int | None], list[
 # --- Spark ---------------------------------------------------------------------------------------------------------
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                 block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 5_000_000) -> None:
+                 block_ids: int = 2048, file_bytes: int = 24 << 20, group_ids: int = 2_000_000) -> None:
     """Tokenise ``docs`` and write them below ``path`` in ascending order of id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, words, held, size = TaskContext.get().partitionId(), 0, word_ids(tokenizer), ([], []), 0
 
         def made() -> pa.RecordBatch:
+            ids, texts = held[0].copy(), held[1].copy()
+            held[0].clear()
+            held[1].clear()
             if words.by_word:
-                group = write_runs(part, number, held[0], *words.runs(pa.chunked_array(held[1], pa.string()), end_id), block_ids)
+                split = words.runs(pa.chunked_array(texts, pa.string()), end_id)
+                texts.clear()
+                group = write_runs(part, number, ids, *split, block_ids)
             else:
-                group = write_group(part, number, *held, block_ids)
+                group = write_group(part, number, ids, texts, block_ids)
             return pa.RecordBatch.from_arrays([pa.array(list(group), pa.binary())], ["frame"])
         for b in batches:
             for a in range(0, b.num_rows, DOCS_AT_ONCE):
@@ -373,7 +386,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
                     size += sum(map(len, coded)) // 4
                 if size >= group_ids:
                     yield made()
-                    number, held, size = number + 1, ([], []), 0
+                    number, size = number + 1, 0
         if held[0]:
             yield made()
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
