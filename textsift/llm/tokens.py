@@ -111,11 +111,12 @@ class Letters:
         at = pc.index_in(runs, self.known)
         new = runs.filter(at.is_null())
         self.met[at.drop_null().to_numpy()] = self.calls
+        self.met[0] = self.calls  # the empty run stays, and stays the first
         known, coded = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.coded, self.encoded(listed(new))])
         self.met = np.concatenate([self.met, np.full(len(new), self.calls)])
         out = coded.take(pc.index_in(runs, known) if len(new) else at)
         if len(known) > LETTERS_KEPT:
-            last = pa.array(np.sort(np.argsort(-self.met, kind="stable")[:LETTERS_KEPT // 4 * 3]))
+            last = pa.array(np.sort(np.argsort(-self.met, kind="stable")[:LETTERS_KEPT * 3 // 4]))
             known, coded, self.met = known.take(last), coded.take(last), self.met[last.to_numpy()]
         self.known, self.coded = known, coded
         return out
